@@ -1,0 +1,35 @@
+"""Joins whose broadcast side has a checked size."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A table goes to every task only when it has at most this many
+# rows.  Beyond it the join shuffles both sides on the keys, and AQE's skew
+# handling splits any key that holds an outsized share of the big side.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, bound: int) -> bool:
+    """True when ``df`` has at most ``bound`` rows.
+
+    Reads at most ``bound + 1`` rows, so the check itself is bounded whatever
+    the table's size.
+    """
+    return df.limit(bound + 1).count() <= bound
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: Sequence[str] | Column,
+                 how: str = "inner",
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` to ``small``, broadcasting ``small`` only if its row count
+    is checked to be within ``max_broadcast_rows``.
+
+    ``small`` should be materialised (checkpointed or a table) so the check
+    does not recompute it.
+    """
+    side = F.broadcast(small) if row_count_at_most(small, max_broadcast_rows) else small
+    return big.join(side, on=on if isinstance(on, Column) else list(on), how=how)
