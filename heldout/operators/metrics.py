@@ -19,14 +19,15 @@ from heldout.operators.ranking import running_totals
 
 def _safe_div(num: Column, den: Column) -> Column:
     """num / den, null where den is 0 (no ANSI error)."""
-    return F.try_divide(num.cast("double"), F.nullif(den, F.lit(0)).cast("double"))
+    return F.try_divide(num.cast("double"), den.cast("double"))
 
 
 def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
                       positive=1, group_cols: Sequence[str] = ()) -> DataFrame:
     """tp, fp, tn, fn, n, accuracy, precision, recall, f1, mcc.
 
-    Ratios with a zero denominator are null.  Ratios are rounded to 9 places.
+    Ratios with a zero denominator are null.  They are quotients of exact
+    integer counts, so they are not rounded.
     """
     actual = F.col(label_col) == F.lit(positive)
     predicted = F.col(prediction_col) == F.lit(positive)
@@ -49,11 +50,11 @@ def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
                     F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)))
     return counts.select(
         *group_cols, "tp", "fp", "tn", "fn", n.cast("long").alias("n"),
-        F.round(_safe_div(tp + tn, n), 9).alias("accuracy"),
-        F.round(precision, 9).alias("precision"),
-        F.round(recall, 9).alias("recall"),
-        F.round(f1, 9).alias("f1"),
-        F.round(mcc, 9).alias("mcc"),
+        _safe_div(tp + tn, n).alias("accuracy"),
+        precision.alias("precision"),
+        recall.alias("recall"),
+        f1.alias("f1"),
+        mcc.alias("mcc"),
     )
 
 
@@ -70,7 +71,7 @@ def score_counts(df: DataFrame, label_col: str, score_col: str, positive=1) -> D
 
 def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
             num_partitions: int | None = None) -> DataFrame:
-    """One row: n_pos, n_neg, auc (exact, ties count one half, 9 places)."""
+    """One row: n_pos, n_neg, auc (exact; a tied pair counts one half)."""
     per_score = score_counts(df, label_col, score_col, positive)
     with_below = running_totals(per_score, [F.col("score").asc()], ["neg"], num_partitions)
     credit = F.col("pos").cast("double") * (
@@ -82,5 +83,5 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
     )
     return totals.select(
         "n_pos", "n_neg",
-        F.round(_safe_div(F.col("_credit"), F.col("n_pos") * F.col("n_neg")), 9).alias("auc"),
+        _safe_div(F.col("_credit"), F.col("n_pos") * F.col("n_neg")).alias("auc"),
     )

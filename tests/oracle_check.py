@@ -32,7 +32,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return float(f"{v:.10g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
