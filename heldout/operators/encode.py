@@ -9,8 +9,10 @@ from heldout.operators.joins import join_checked
 from heldout.operators.ranking import global_row_index
 
 # The largest number of distinct values a one-hot pivot may
-# turn into columns (the same default as Spark's spark.sql.pivotMaxValues).
+# turn into columns (the same default as Spark's spark.sql.pivotMaxValues),
+# and the most values counted as separate conditional aggregates.
 MAX_ONE_HOT_VALUES = 10_000
+MAX_CONDITIONAL_COUNTS = 200
 
 
 def frequency_index(df: DataFrame, col: str, index_col: str | None = None,
@@ -48,9 +50,16 @@ def one_hot_counts(df: DataFrame, key_col: str, col: str,
     """One row per key, one column per value of ``col`` holding how many of
     the key's rows have that value (0 when none).
 
-    Spark pivots by aggregating (key, value) pairs map-side first, so a hot
-    key is pre-combined in every task before the shuffle.
+    Up to ``MAX_CONDITIONAL_COUNTS`` values this is one grouped aggregation
+    of conditional counts: a single shuffle on the key, with partial
+    aggregation, so a hot key is pre-combined in every task.  Beyond that the
+    aggregate would be too wide to compile well, and Spark's pivot is used:
+    it shuffles twice (on key and value, then on key), both pre-combined.
     """
     values = pivot_values(df, col, max_values)
+    if len(values) <= MAX_CONDITIONAL_COUNTS:
+        return df.groupBy(key_col).agg(*[
+            F.count(F.when(F.col(col) == F.lit(v), 1)).alias(str(v)) for v in values
+        ])
     counts = df.groupBy(key_col).pivot(col, values).agg(F.count(F.lit(1)))
     return counts.na.fill(0, subset=[str(v) for v in values])

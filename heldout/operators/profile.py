@@ -18,14 +18,29 @@ def _rows_from_wide(wide: DataFrame, entries: list[tuple[list, str]]) -> DataFra
     return wide.select(F.inline(F.array(*structs)))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name, n_distinct`` for each column, from one scan.
+
+    Every row becomes one (column, value) pair per column; pairs are deduped
+    map-side before the shuffle and counted per column afterwards.
+    """
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+        for c in columns
+    ]))).where(F.col("v").isNotNull())
+    return (pairs.select("column_name", "v").distinct()
+            .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
+
+
 def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """One row per column: n, n_null, n_distinct, min, max, mean, stddev.
 
     Numbers are cast to double.  The mean is the exact decimal(38, 6) sum of
     the values, as a double, over the count, so it is the same bits in any
-    summation order; the sample deviation is rounded to ``digits`` places.  Exact
-    distinct counts are computed in the same pass (Spark expands each row once
-    per distinct-counted column and dedups map-side before the shuffle).
+    summation order; the sample deviation is rounded to ``digits`` places.
+    Plain statistics come from one aggregation pass; exact distinct counts
+    from a second (see ``distinct_counts``), and the two results, one row per
+    column each, are joined.
     """
     aggs = []
     for c in columns:
@@ -33,7 +48,6 @@ def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Da
         aggs += [
             F.count(x).alias(f"{c}__n"),
             (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__null"),
-            F.count_distinct(x).alias(f"{c}__distinct"),
             F.min(x).alias(f"{c}__min"),
             F.max(x).alias(f"{c}__max"),
             F.sum(F.col(c).cast("decimal(38,6)")).alias(f"{c}__sum"),
@@ -44,13 +58,19 @@ def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Da
         F.lit(c).alias("column_name"),
         F.col(f"{c}__n").cast("long").alias("n"),
         F.col(f"{c}__null").cast("long").alias("n_null"),
-        F.col(f"{c}__distinct").cast("long").alias("n_distinct"),
         F.col(f"{c}__min").alias("min_value"),
         F.col(f"{c}__max").alias("max_value"),
         F.try_divide(F.col(f"{c}__sum").cast("double"), F.col(f"{c}__n")).alias("mean"),
         F.round(F.col(f"{c}__std"), digits).alias("stddev"),
     ], c) for c in columns]
-    return _rows_from_wide(wide, entries)
+    stats = _rows_from_wide(wide, entries)
+    # Both sides have one row per profiled column.
+    distinct = F.broadcast(distinct_counts(df, columns))
+    return stats.join(distinct, "column_name", "left").select(
+        "column_name", "n", "n_null",
+        F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long").alias("n_distinct"),
+        "min_value", "max_value", "mean", "stddev",
+    )
 
 
 def class_balance(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:

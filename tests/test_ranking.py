@@ -26,3 +26,20 @@ def test_row_index_descending_with_tiebreak(spark):
     got = got.sort_values("i").reset_index(drop=True)
     assert list(got["i"]) == list(range(len(want)))
     assert list(got["p_brand"]) == list(want["p_brand"])
+
+
+def test_one_hot_paths_agree(spark):
+    from heldout.operators import encode
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select(
+        "l_suppkey", F.col("l_linenumber").cast("string").alias("line"))
+    wide = encode.one_hot_counts(li, "l_suppkey", "line")
+    old = encode.MAX_CONDITIONAL_COUNTS
+    encode.MAX_CONDITIONAL_COUNTS = 0
+    try:
+        pivoted = encode.one_hot_counts(li, "l_suppkey", "line")
+    finally:
+        encode.MAX_CONDITIONAL_COUNTS = old
+    assert sorted(wide.columns) == sorted(pivoted.columns)
+    cols = sorted(wide.columns)
+    assert sorted(wide.select(cols).collect()) == sorted(pivoted.select(cols).collect())
