@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from heldout.functions import is_train, line_count, log_length, word_count
 from heldout.operators.metrics import roc_auc
-from heldout.sources import read_table
+from heldout.sources import read_table, spread_for_cpu
 
 # Tokens split on runs of space, tab, CR and newline, lower-cased;
 # 2048 hashed term-count features; 20 iterations; regularisation 0.05.
@@ -34,7 +34,8 @@ SEED = 7
 def text_feature_table(spark, sf_dir: str, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
     """doc_id, features (hashed terms + length features), quality, toxic,
     is_train for labelled documents; checkpointed."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+    docs = spread_for_cpu(
+        read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
     tokens = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=TOKEN_SPLIT,
                             toLowercase=True).transform(docs)
     hashed = HashingTF(inputCol="tokens", outputCol="terms",

@@ -1,3 +1,3 @@
-from heldout.sources.tables import TABLES, labelled_documents, read_table
+from heldout.sources.tables import TABLES, labelled_documents, read_table, spread_for_cpu
 
-__all__ = ["TABLES", "labelled_documents", "read_table"]
+__all__ = ["TABLES", "labelled_documents", "read_table", "spread_for_cpu"]

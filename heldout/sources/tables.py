@@ -26,6 +26,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def spread_for_cpu(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when it has fewer partitions than the
+    cluster runs tasks at once, so CPU-heavy per-row work (regexes over whole
+    texts, model fits) uses every core.
+
+    A large input already arrives in many splits and is left as it is: no
+    shuffle is added where the scan itself gives enough parallelism.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, key)
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str,
                        doc_features: DataFrame | None = None,
                        feature_builder=None) -> DataFrame:
@@ -38,7 +52,8 @@ def labelled_documents(spark: SparkSession, sf_dir: str,
     """
     docs = doc_features
     if docs is None:
-        raw = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+        raw = spread_for_cpu(
+            read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
         docs = feature_builder(raw) if feature_builder else raw
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     return docs.join(labels, "doc_id", "inner").select(
