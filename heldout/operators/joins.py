@@ -24,12 +24,13 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
 
 def join_checked(big: DataFrame, small: DataFrame, on: Sequence[str] | Column,
                  how: str = "inner",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Join ``big`` to ``small``, broadcasting ``small`` only if its row count
     is checked to be within ``max_broadcast_rows``.
 
     ``small`` should be materialised (checkpointed or a table) so the check
     does not recompute it.
     """
-    side = F.broadcast(small) if row_count_at_most(small, max_broadcast_rows) else small
+    bound = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    side = F.broadcast(small) if row_count_at_most(small, bound) else small
     return big.join(side, on=on if isinstance(on, Column) else list(on), how=how)
