@@ -56,7 +56,8 @@ def kfold_predictions(df: DataFrame, id_col: str, label_col: str,
                       features: Sequence[str], k: int = 5,
                       max_classes: int = MAX_CLASSES) -> DataFrame:
     """``df`` plus ``fold`` and ``prediction`` (by the model not trained on
-    the row's fold)."""
+    the row's fold); for classes {0, 1} also ``score``, that model's log odds
+    of class 1."""
     with_fold = df.withColumn("fold", fold_of(id_col, k))
     sums = fold_sums(with_fold.where(F.col(label_col).isNotNull()), label_col, features)
     rows = sums.limit(k * max_classes + 1).collect()
@@ -66,4 +67,11 @@ def kfold_predictions(df: DataFrame, id_col: str, label_col: str,
     pred: Column = F.lit(None)
     for f, model in sorted(models.items()):
         pred = F.when(F.col("fold") == F.lit(f), model.predict()).otherwise(pred)
-    return with_fold.withColumn("prediction", pred)
+    out = with_fold.withColumn("prediction", pred)
+    binary = all(set(m.classes) == {0, 1} for m in models.values())
+    if binary:
+        score: Column = F.lit(None).cast("double")
+        for f, model in sorted(models.items()):
+            score = F.when(F.col("fold") == F.lit(f), model.log_odds(1, 0)).otherwise(score)
+        out = out.withColumn("score", score)
+    return out

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heldout.operators.joins import join_checked
 from heldout.operators.ranking import running_totals
 
 
@@ -58,11 +59,12 @@ def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
     )
 
 
-def score_counts(df: DataFrame, label_col: str, score_col: str, positive=1) -> DataFrame:
-    """One row per distinct score: positives and negatives with that score."""
+def score_counts(df: DataFrame, label_col: str, score_col: str, positive=1,
+                 group_cols: Sequence[str] = ()) -> DataFrame:
+    """One row per group and distinct score: positives and negatives."""
     is_pos = F.col(label_col) == F.lit(positive)
     return df.where(F.col(score_col).isNotNull()).groupBy(
-        F.col(score_col).cast("double").alias("score")
+        *group_cols, F.col(score_col).cast("double").alias("score")
     ).agg(
         F.sum(F.when(is_pos, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(is_pos, 0).otherwise(1)).cast("long").alias("neg"),
@@ -70,18 +72,32 @@ def score_counts(df: DataFrame, label_col: str, score_col: str, positive=1) -> D
 
 
 def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
-            num_partitions: int | None = None) -> DataFrame:
-    """One row: n_pos, n_neg, auc (exact; a tied pair counts one half)."""
-    per_score = score_counts(df, label_col, score_col, positive)
-    with_below = running_totals(per_score, [F.col("score").asc()], ["neg"], num_partitions)
+            group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Per group (or overall): n_pos, n_neg, auc.
+
+    Exact; a tied (positive, negative) pair counts one half.  The negatives
+    below each score are a running total in (group, score) order over all
+    groups at once, so a group with most of the rows is still spread over
+    many range partitions; each group's starting total (one row per group)
+    is then subtracted.
+    """
+    group_cols = list(group_cols)
+    per_score = score_counts(df, label_col, score_col, positive, group_cols)
+    order = [F.col(g).asc() for g in group_cols] + [F.col("score").asc()]
+    with_below = running_totals(per_score, order, ["neg"], num_partitions)
+    if group_cols:
+        starts = with_below.groupBy(*group_cols).agg(
+            F.min("neg_before").alias("_start")).checkpoint(eager=True)
+        with_below = join_checked(with_below, starts, group_cols).withColumn(
+            "neg_before", F.col("neg_before") - F.col("_start"))
     credit = F.col("pos").cast("double") * (
         F.col("neg_before").cast("double") + F.col("neg").cast("double") / 2.0)
-    totals = with_below.agg(
+    totals = with_below.groupBy(*group_cols).agg(
         F.sum("pos").cast("long").alias("n_pos"),
         F.sum("neg").cast("long").alias("n_neg"),
         F.sum(credit).alias("_credit"),
     )
     return totals.select(
-        "n_pos", "n_neg",
+        *group_cols, "n_pos", "n_neg",
         _safe_div(F.col("_credit"), F.col("n_pos") * F.col("n_neg")).alias("auc"),
     )

@@ -229,6 +229,26 @@ pred AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, cls) AS rk FROM jll)
   WHERE rk = 1
 ),
+odds AS (
+  SELECT doc_id, fold, quality,
+         max(CASE WHEN cls = 1 THEN s END) - max(CASE WHEN cls = 0 THEN s END) AS score
+  FROM jll GROUP BY doc_id, fold, quality
+),
+ranked AS (
+  SELECT fold, quality,
+         rank() OVER (PARTITION BY fold ORDER BY score)
+         + (count(*) OVER (PARTITION BY fold, score) - 1) / 2.0 AS r
+  FROM odds
+),
+aucs AS (
+  SELECT fold,
+         (sum(CASE WHEN quality = 1 THEN r ELSE 0 END)
+          - CAST(sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS DOUBLE)
+            * (sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) + 1) / 2)
+         / nullif(CAST(sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS DOUBLE)
+                  * sum(CASE WHEN quality = 1 THEN 0 ELSE 1 END), 0) AS auc
+  FROM ranked GROUP BY fold
+),
 counts AS (
   SELECT fold,
          CAST(sum(CASE WHEN actual = 1 AND predicted = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
@@ -237,14 +257,15 @@ counts AS (
          CAST(sum(CASE WHEN actual = 1 AND predicted <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
   FROM pred GROUP BY fold
 )
-SELECT fold, tp, fp, tn, fn, tp + fp + tn + fn AS n,
+SELECT counts.fold, tp, fp, tn, fn, tp + fp + tn + fn AS n,
        CAST(tp + tn AS DOUBLE) / nullif(tp + fp + tn + fn, 0) AS accuracy,
        CAST(tp AS DOUBLE) / nullif(tp + fp, 0) AS precision,
        CAST(tp AS DOUBLE) / nullif(tp + fn, 0) AS recall,
        CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0) AS f1,
        (CAST(tp AS DOUBLE) * tn - CAST(fp AS DOUBLE) * fn)
-         / nullif(sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn)), 0) AS mcc
-FROM counts""",
+         / nullif(sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn)), 0) AS mcc,
+       aucs.auc
+FROM counts LEFT JOIN aucs ON counts.fold = aucs.fold""",
     "nb_quality_holdout": "WITH" + _NB_SCORED + r"""
 SELECT quality AS actual, predicted, count(*) AS n FROM pred GROUP BY quality, predicted""",
     "nb_quality_confusion": "WITH" + _NB_SCORED + r""",

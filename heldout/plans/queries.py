@@ -159,10 +159,14 @@ def embedding_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_quality_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-fold naive Bayes on all labelled documents: confusion per fold."""
+    """5-fold naive Bayes on all labelled documents: confusion counts, ratios
+    and exact ROC area per fold."""
     table = labelled_feature_table(spark, sf_dir)
-    preds = kfold_predictions(table, "doc_id", "quality", NB_FEATURES, k=5)
-    return confusion_metrics(preds, "quality", "prediction", group_cols=["fold"])
+    preds = kfold_predictions(table, "doc_id", "quality", NB_FEATURES, k=5).checkpoint(eager=True)
+    confusion = confusion_metrics(preds, "quality", "prediction", group_cols=["fold"])
+    auc = roc_auc(preds, "quality", "score", group_cols=["fold"]).select("fold", "auc")
+    # Both sides have one row per fold.
+    return confusion.join(F.broadcast(auc), "fold", "left")
 
 
 def text_models_auc(spark: SparkSession, sf_dir: str) -> DataFrame:

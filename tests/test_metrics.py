@@ -36,3 +36,17 @@ def test_confusion_counts(spark):
     assert row["tp"] == int(((pdf.quality == 1) & (pdf.prediction == 1)).sum())
     assert row["tn"] == int(((pdf.quality != 1) & (pdf.prediction != 1)).sum())
     assert row["n"] == len(pdf)
+
+
+def test_grouped_auc_with_hot_group_matches_pairs(spark):
+    scored = _nb_scored_test(spark, SF001).withColumn(
+        "g", F.when(F.col("doc_id") % 3 == 0, F.lit("rest")).otherwise(F.lit("hot"))
+    ).withColumn("coarse", F.round("score", 1))
+    got = {r["g"]: r["auc"] for r in
+           roc_auc(scored, "quality", "coarse", group_cols=["g"], num_partitions=5).collect()}
+    pdf = scored.select("g", "quality", "coarse").toPandas()
+    for g, part in pdf.groupby("g"):
+        pos = part[part.quality == 1].coarse.to_numpy()
+        neg = part[part.quality != 1].coarse.to_numpy()
+        wins = sum((p > neg).sum() + 0.5 * (p == neg).sum() for p in pos)
+        assert got[g] == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
