@@ -126,12 +126,12 @@ SELECT c.c_custkey, c.c_mktsegment, round(coalesce(c.acctbal, med.median), 6) AS
 FROM c LEFT JOIN med ON c.c_mktsegment = med.c_mktsegment""",
     "segment_acctbal_quartiles": r"""
 SELECT c_mktsegment, prob, round(value, 6) AS value FROM (
-  SELECT c_mktsegment, 0.25 AS prob, quantile_cont(c_acctbal, 0.25) AS value
+  SELECT c_mktsegment, CAST(0.25 AS DOUBLE) AS prob, quantile_cont(c_acctbal, 0.25) AS value
   FROM customer GROUP BY c_mktsegment
   UNION ALL
-  SELECT c_mktsegment, 0.5, quantile_cont(c_acctbal, 0.5) FROM customer GROUP BY c_mktsegment
+  SELECT c_mktsegment, CAST(0.5 AS DOUBLE), quantile_cont(c_acctbal, 0.5) FROM customer GROUP BY c_mktsegment
   UNION ALL
-  SELECT c_mktsegment, 0.75, quantile_cont(c_acctbal, 0.75) FROM customer GROUP BY c_mktsegment
+  SELECT c_mktsegment, CAST(0.75 AS DOUBLE), quantile_cont(c_acctbal, 0.75) FROM customer GROUP BY c_mktsegment
 )""",
     "part_type_index": r"""
 SELECT p_type, count(*) AS n,

@@ -28,6 +28,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # Checkpoint files of DataFrames that are no longer referenced are
+        # deleted, so repeated fits do not fill the shared folder.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

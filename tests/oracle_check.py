@@ -44,6 +44,20 @@ def _rows(columns, records):
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+_SPARK_TO_DUCK = {
+    "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
+    "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "FloatType": "FLOAT",
+    "ShortType": "SMALLINT", "ByteType": "TINYINT",
+}
+
+
+def _duck_type(spark_type) -> str:
+    name = type(spark_type).__name__
+    if name == "DecimalType":
+        return f"DECIMAL({spark_type.precision},{spark_type.scale})"
+    return _SPARK_TO_DUCK.get(name, name)
+
+
 def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
     con = con or duck_connection(sf_dir)
     sdf = query(spark, sf_dir)
@@ -51,6 +65,8 @@ def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
     s_rows = [tuple(r) for r in sdf.collect()]
     rel = con.sql(sql)
     d_cols = rel.columns
+    s_types = {f.name: _duck_type(f.dataType) for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     out = {
         "name": name,
@@ -59,7 +75,12 @@ def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
         "columns_match": sorted(s_cols) == sorted(d_cols),
         "spark_columns": s_cols,
         "oracle_columns": d_cols,
+        "types_match": s_types == d_types,
     }
+    if not out["types_match"]:
+        out["type_differences"] = {c: (s_types.get(c), d_types.get(c))
+                                   for c in set(s_types) | set(d_types)
+                                   if s_types.get(c) != d_types.get(c)}
     out["values_match"] = out["columns_match"] and _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
     if not out["values_match"]:
         a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
@@ -87,6 +108,6 @@ if __name__ == "__main__":
             print(json.dumps({"name": n, "rows": df.count(), "oracle": None}))
             continue
         res = compare(spark, sf, n, qs[n], sqls[n], con)
-        ok &= res["values_match"] and res["spark_rows"] == res["oracle_rows"]
+        ok &= res["values_match"] and res["types_match"] and res["spark_rows"] == res["oracle_rows"]
         print(json.dumps(res, default=str))
     sys.exit(0 if ok else 1)

@@ -13,6 +13,7 @@ ORACLES = entry_mod.oracle_sql()
 def test_query_matches_oracle(spark, duck001, name):
     res = compare(spark, SF001, name, entry_mod.queries()[name], ORACLES[name], duck001)
     assert res["columns_match"], res
+    assert res["types_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_match"], res
 
