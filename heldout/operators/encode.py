@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heldout.operators.joins import join_checked
 from heldout.operators.ranking import global_row_index
+from heldout.session import materialize
 
 # The largest number of distinct values a one-hot pivot may
 # turn into columns (the same default as Spark's spark.sql.pivotMaxValues),
@@ -28,7 +29,7 @@ def frequency_index(df: DataFrame, col: str, index_col: str | None = None,
         F.count(F.lit(1)).alias("n"))
     ranked = global_row_index(counts, [F.col("n").desc(), F.col(col).asc()],
                               index_col, num_partitions)
-    return ranked.checkpoint(eager=True)
+    return materialize(ranked)
 
 
 def apply_index(df: DataFrame, col: str, index: DataFrame, index_col: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from heldout.operators.joins import join_checked
 from heldout.operators.ranking import running_totals
+from heldout.session import materialize
 
 
 def _safe_div(num: Column, den: Column) -> Column:
@@ -86,8 +87,8 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
     order = [F.col(g).asc() for g in group_cols] + [F.col("score").asc()]
     with_below = running_totals(per_score, order, ["neg"], num_partitions)
     if group_cols:
-        starts = with_below.groupBy(*group_cols).agg(
-            F.min("neg_before").alias("_start")).checkpoint(eager=True)
+        starts = materialize(with_below.groupBy(*group_cols).agg(
+            F.min("neg_before").alias("_start")))
         with_below = join_checked(with_below, starts, group_cols).withColumn(
             "neg_before", F.col("neg_before") - F.col("_start"))
     credit = F.col("pos").cast("double") * (

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from heldout.functions import is_train, line_count, log_length, word_count
 from heldout.operators.metrics import roc_auc
 from heldout.sources import read_table, spread_for_cpu
+from heldout.session import materialize
 
 # Tokens split on runs of space, tab, CR and newline, lower-cased;
 # 2048 hashed term-count features; 20 iterations; regularisation 0.05.
@@ -51,7 +52,7 @@ def text_feature_table(spark, sf_dir: str, num_features: int = NUM_TEXT_FEATURES
     ).transform(numeric).select("doc_id", "features")
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     table = assembled.join(labels, "doc_id").withColumn("is_train", is_train("doc_id"))
-    return table.checkpoint(eager=True)
+    return materialize(table)
 
 
 def _estimator(kind: str, label: str):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heldout.operators.joins import join_checked
-from heldout.session import ensure_checkpoint_dir
+from heldout.session import ensure_checkpoint_dir, materialize
 
 _KEY = "_qkey"
 
@@ -52,12 +52,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         F.col(value_col).cast("double").alias("_x"),
     ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
-    stats = data.groupBy(*groups).agg(
-        F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
-    ).checkpoint(eager=True)
+    stats = materialize(data.groupBy(*groups).agg(
+        F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
 
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (
+    targets = materialize(
         stats.select(*groups, "_n", F.explode(prob_arr).alias("_p"))
         .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
         .select(
@@ -66,17 +65,16 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
             F.ceil("_h").cast("long").alias("_rhi"),
             (F.col("_h") - F.floor("_h")).alias("_frac"),
         )
-        .checkpoint(eager=True)
     )
     ranks = (
         targets.select(*groups, F.col("_rlo").alias("_r"))
         .union(targets.select(*groups, F.col("_rhi").alias("_r")))
         .distinct()
     )
-    state = ranks.join(stats, groups).select(
+    state = materialize(ranks.join(stats, groups).select(
         *groups, "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_off"),
         F.col("_n").alias("_cnt"),
-    ).checkpoint(eager=True)
+    ))
 
     def in_interval(frame: DataFrame, intervals: DataFrame) -> DataFrame:
         joined = join_checked(frame, intervals, groups)
@@ -87,7 +85,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         open_ = state.where(is_open)
         if open_.isEmpty():
             break
-        intervals = open_.select(*groups, "_lo", "_hi").distinct().checkpoint(eager=True)
+        intervals = materialize(open_.select(*groups, "_lo", "_hi").distinct())
         # Halves keep hi - lo finite for any pair of finite doubles.
         pos = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
         bucket = F.least(F.floor(pos * bins), F.lit(bins - 1)).cast("long")
@@ -111,14 +109,14 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                 F.col("_c").alias("_cnt"),
             )
         )
-        state = state.where(~is_open).unionByName(refined).checkpoint(eager=True)
+        state = materialize(state.where(~is_open).unionByName(refined))
     else:
         raise RuntimeError("exact_quantiles did not converge")
 
     single = state.where(F.col("_lo") == F.col("_hi")).select(
         *groups, "_r", F.col("_lo").alias("_v"))
     to_sort = state.where(F.col("_lo") < F.col("_hi"))
-    finish_intervals = to_sort.select(*groups, "_lo", "_hi").distinct().checkpoint(eager=True)
+    finish_intervals = materialize(to_sort.select(*groups, "_lo", "_hi").distinct())
     # Every finishing interval holds at most `finish_rows` values.
     sorted_vals = in_interval(data, finish_intervals).groupBy(*groups, "_lo", "_hi").agg(
         F.sort_array(F.collect_list("_x")).alias("_vals"))

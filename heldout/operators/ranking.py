@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heldout.session import ensure_checkpoint_dir
+from heldout.session import ensure_checkpoint_dir, materialize
 
 _PART = "_part"
 
@@ -36,11 +36,8 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[st
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = _partition_count(df, num_partitions)
-    parts = (
-        df.repartitionByRange(n, *order)
-        .withColumn(_PART, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    parts = materialize(
+        df.repartitionByRange(n, *order).withColumn(_PART, F.spark_partition_id()))
     # Partition totals: one row per range partition, so at most n rows.
     totals = parts.groupBy(_PART).agg(*[F.sum(c).alias(f"_{c}_t") for c in sum_cols])
     by_part = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

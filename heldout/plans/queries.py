@@ -23,7 +23,7 @@ from heldout.operators.naive_bayes import fit_gaussian_nb
 from heldout.operators.profile import class_balance, column_profile, correlations
 from heldout.operators.quantiles import exact_quantiles
 from heldout.operators.scale import scale_columns
-from heldout.session import ensure_checkpoint_dir
+from heldout.session import ensure_checkpoint_dir, materialize
 from heldout.sources import labelled_documents, read_table
 
 NB_FEATURES = ("log_chars", "n_words")
@@ -38,7 +38,7 @@ def labelled_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ensure_checkpoint_dir(spark)
     table = labelled_documents(spark, sf_dir, feature_builder=document_features)
-    return table.withColumn("is_train", is_train("doc_id")).checkpoint(eager=True)
+    return materialize(table.withColumn("is_train", is_train("doc_id")))
 
 
 def _nb_scored_test(spark: SparkSession, sf_dir: str, target: str = "quality") -> DataFrame:
@@ -162,7 +162,7 @@ def nb_quality_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-fold naive Bayes on all labelled documents: confusion counts, ratios
     and exact ROC area per fold."""
     table = labelled_feature_table(spark, sf_dir)
-    preds = kfold_predictions(table, "doc_id", "quality", NB_FEATURES, k=5).checkpoint(eager=True)
+    preds = materialize(kfold_predictions(table, "doc_id", "quality", NB_FEATURES, k=5))
     confusion = confusion_metrics(preds, "quality", "prediction", group_cols=["fold"])
     auc = roc_auc(preds, "quality", "score", group_cols=["fold"]).select("fold", "auc")
     # Both sides have one row per fold.

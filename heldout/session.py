@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -60,3 +61,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         )
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="heldout-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, store it in the shared checkpoint folder and return
+    a DataFrame that reads it back (lineage cut).
+
+    A reliable checkpoint is written by a second job after the first one
+    computes the rows; persisting first lets that job read the computed rows
+    instead of running the plan again.  The persisted copy is released once
+    the checkpoint files exist.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
