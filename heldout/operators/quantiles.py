@@ -15,7 +15,8 @@ values at the needed ranks by narrowing a value interval:
 
 Each round strictly shrinks every open interval, and on smooth data divides
 its row count by about ``bins``, so a few scans suffice at any size.  The
-state between rounds (one row per group and rank) is checkpointed.
+per-group statistics and the state after each round (one row per group and
+rank) are checkpointed.
 
 Result semantics equal ``percentile`` / ``quantile_cont``: with ``n`` values
 and fraction ``p``, ``h = (n - 1) p`` and the answer is
@@ -56,7 +57,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
 
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = materialize(
+    # Targets, ranks and the first state are cheap projections of `stats`,
+    # which is already cut from the data scan.
+    targets = (
         stats.select(*groups, "_n", F.explode(prob_arr).alias("_p"))
         .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
         .select(
@@ -71,10 +74,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         .union(targets.select(*groups, F.col("_rhi").alias("_r")))
         .distinct()
     )
-    state = materialize(ranks.join(stats, groups).select(
+    state = ranks.join(stats, groups).select(
         *groups, "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_off"),
         F.col("_n").alias("_cnt"),
-    ))
+    )
 
     def in_interval(frame: DataFrame, intervals: DataFrame) -> DataFrame:
         joined = join_checked(frame, intervals, groups)
@@ -85,7 +88,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         open_ = state.where(is_open)
         if open_.isEmpty():
             break
-        intervals = materialize(open_.select(*groups, "_lo", "_hi").distinct())
+        intervals = open_.select(*groups, "_lo", "_hi").distinct()
         # Halves keep hi - lo finite for any pair of finite doubles.
         pos = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
         bucket = F.least(F.floor(pos * bins), F.lit(bins - 1)).cast("long")
@@ -109,6 +112,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                 F.col("_c").alias("_cnt"),
             )
         )
+        # Cut here: the next round must not re-run this round's scan.
         state = materialize(state.where(~is_open).unionByName(refined))
     else:
         raise RuntimeError("exact_quantiles did not converge")
@@ -116,7 +120,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     single = state.where(F.col("_lo") == F.col("_hi")).select(
         *groups, "_r", F.col("_lo").alias("_v"))
     to_sort = state.where(F.col("_lo") < F.col("_hi"))
-    finish_intervals = materialize(to_sort.select(*groups, "_lo", "_hi").distinct())
+    finish_intervals = to_sort.select(*groups, "_lo", "_hi").distinct()
     # Every finishing interval holds at most `finish_rows` values.
     sorted_vals = in_interval(data, finish_intervals).groupBy(*groups, "_lo", "_hi").agg(
         F.sort_array(F.collect_list("_x")).alias("_vals"))
