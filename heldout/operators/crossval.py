@@ -1,10 +1,12 @@
 """K-fold evaluation of Gaussian naive Bayes in one aggregation pass.
 
-Per (fold, class) the pass collects the row count and the sums of each
-feature and of its square.  The training statistics of fold ``f`` are the
-totals minus fold ``f``'s own sums, so all ``k`` models come from the same
-``k x classes`` row table instead of ``k`` separate fits.  Every row is then
-scored by its own fold's model, expressed as a ``CASE`` over folds.
+Per (fold, class) the pass collects the row count, and the mean and population
+variance of each feature (Spark's numerically stable aggregates).  The
+training statistics of fold ``f`` merge the other folds' statistics with the
+pairwise formula of Chan, Golub and LeVeque (no difference of large sums), so
+all ``k`` models come from one ``k x classes`` row table instead of ``k``
+separate fits.  Every row is then scored by its own fold's model, expressed as
+a ``CASE`` over folds.
 """
 
 from __future__ import annotations
@@ -20,14 +22,28 @@ from heldout.operators.naive_bayes import (
 )
 
 
-def fold_sums(df: DataFrame, label_col: str, features: Sequence[str]) -> DataFrame:
+def fold_statistics(df: DataFrame, label_col: str, features: Sequence[str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n")]
     for feat in features:
         x = F.col(feat).cast("double")
-        aggs += [F.sum(x).alias(f"s1_{feat}"), F.sum(x * x).alias(f"s2_{feat}")]
+        aggs += [F.avg(x).alias(f"mean_{feat}"), F.var_pop(x).alias(f"var_{feat}")]
     return df.groupBy("fold", label_col).agg(*aggs)
 
 
+def merge_moments(parts: Sequence[tuple[int, float, float]]) -> tuple[int, float, float]:
+    """Combine (count, mean, population variance) of disjoint row sets."""
+    n, mean, m2 = 0, 0.0, 0.0
+    for nb, mean_b, var_b in parts:
+        if nb == 0:
+            continue
+        total = n + nb
+        delta = mean_b - mean
+        mean += delta * nb / total
+        m2 += var_b * nb + delta * delta * n * nb / total
+        n = total
+    return n, mean, (m2 / n if n else 0.0)
+
+
 def fold_models(rows, k: int, label_col: str, features: Sequence[str],
                 var_smoothing: float = VAR_SMOOTHING) -> dict[int, GaussianNBModel]:
     classes = sorted({r[label_col] for r in rows})
@@ -35,17 +51,17 @@ def fold_models(rows, k: int, label_col: str, features: Sequence[str],
     for f in range(k):
         train_rows = []
         for c in classes:
-            part = [r for r in rows if r[label_col] == c and r["fold"] != f]
+            part = sorted((r for r in rows if r[label_col] == c and r["fold"] != f),
+                          key=lambda r: r["fold"])
             n = sum(r["n"] for r in part)
             if n == 0:
                 continue
             stats = {label_col: c, "n": n}
             for feat in features:
-                s1 = sum(r[f"s1_{feat}"] for r in part)
-                s2 = sum(r[f"s2_{feat}"] for r in part)
-                mean = s1 / n
+                _, mean, var = merge_moments(
+                    [(r["n"], r[f"mean_{feat}"], r[f"var_{feat}"]) for r in part])
                 stats[f"mean_{feat}"] = mean
-                stats[f"var_{feat}"] = max(s2 / n - mean * mean, 0.0)
+                stats[f"var_{feat}"] = var
             train_rows.append(stats)
         if train_rows:
             models[f] = model_from_statistics(train_rows, label_col, features, var_smoothing)
@@ -59,8 +75,8 @@ def kfold_predictions(df: DataFrame, id_col: str, label_col: str,
     the row's fold); for classes {0, 1} also ``score``, that model's log odds
     of class 1."""
     with_fold = df.withColumn("fold", fold_of(id_col, k))
-    sums = fold_sums(with_fold.where(F.col(label_col).isNotNull()), label_col, features)
-    rows = sums.limit(k * max_classes + 1).collect()
+    stats = fold_statistics(with_fold.where(F.col(label_col).isNotNull()), label_col, features)
+    rows = stats.limit(k * max_classes + 1).collect()
     if len(rows) > k * max_classes:
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     models = fold_models(rows, k, label_col, features)

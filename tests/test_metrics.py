@@ -50,3 +50,17 @@ def test_grouped_auc_with_hot_group_matches_pairs(spark):
         neg = part[part.quality != 1].coarse.to_numpy()
         wins = sum((p > neg).sum() + 0.5 * (p == neg).sum() for p in pos)
         assert got[g] == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+
+
+def test_merged_moments_equal_direct_statistics():
+    import numpy as np
+
+    from heldout.operators.crossval import merge_moments
+
+    rng = np.random.default_rng(3)
+    chunks = [1e9 + rng.normal(0, 1e-3, size=n) for n in (5, 17, 1, 40)]
+    n, mean, var = merge_moments([(len(c), c.mean(), c.var()) for c in chunks])
+    allv = np.concatenate(chunks)
+    assert n == len(allv)
+    assert mean == pytest.approx(allv.mean(), rel=1e-15)
+    assert var == pytest.approx(allv.var(), rel=1e-6)
