@@ -9,16 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "heldout") -> SparkSession:
+                  app_name: str = "heldout", event_log_dir: str | None = None) -> SparkSession:
     """Session with the settings every job here assumes.
 
     AQE re-plans joins and aggregations from measured shuffle sizes: it turns a
     sort-merge join into a broadcast join only when the built side is measured
     small, splits skewed join partitions, and coalesces tiny shuffle
-    partitions.  The UI stays off (no server is opened).
+    partitions.  The UI stays off (no server is opened); stage and task times
+    can instead go to a Spark event log in ``event_log_dir``.
     """
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
