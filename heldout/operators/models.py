@@ -74,20 +74,25 @@ MODEL_KINDS = ("logistic_regression", "decision_tree", "random_forest",
 
 def holdout_auc(table: DataFrame, kinds: Sequence[str], targets: Sequence[str]) -> DataFrame:
     """One row per (model, target): held-out rows, positives, negatives and
-    exact ROC area of the positive-class probability."""
-    results = []
+    exact ROC area of the positive-class probability.
+
+    Every fitted model scores the held-out rows; the scores of all models and
+    targets are stacked and measured by one grouped ROC pass.
+    """
+    scored_parts = []
     for target in targets:
         train = table.where("is_train").withColumn("label", F.col(target).cast("double"))
         test = table.where(~F.col("is_train"))
         for kind in kinds:
             model = _estimator(kind, "label").fit(train)
-            scored = model.transform(test).withColumn(
-                "score", vector_to_array("probability")[1])
-            auc = roc_auc(scored, target, "score").select(
+            scored_parts.append(model.transform(test).select(
                 F.lit(kind).alias("model"), F.lit(target).alias("target"),
-                (F.col("n_pos") + F.col("n_neg")).alias("n_test"), "n_pos", "n_neg", "auc")
-            results.append(auc)
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+                F.col(target).alias("actual"),
+                vector_to_array("probability")[1].alias("score"),
+            ))
+    scored = scored_parts[0]
+    for part in scored_parts[1:]:
+        scored = scored.unionByName(part)
+    auc = roc_auc(scored, "actual", "score", group_cols=["model", "target"])
+    return auc.select("model", "target", (F.col("n_pos") + F.col("n_neg")).alias("n_test"),
+                      "n_pos", "n_neg", "auc")
