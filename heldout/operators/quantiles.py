@@ -128,7 +128,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         *groups, "_r",
         F.element_at("_vals", (F.col("_r") - F.col("_off") + 1).cast("int")).alias("_v"),
     )
-    values = single.unionByName(picked)
+    # One row per group and rank; cut so that the two joins below (lower and
+    # upper rank) do not each repeat the finishing scan of the data.
+    values = materialize(single.unionByName(picked))
 
     lo_v = values.select(*groups, F.col("_r").alias("_rlo"), F.col("_v").alias("_vlo"))
     hi_v = values.select(*groups, F.col("_r").alias("_rhi"), F.col("_v").alias("_vhi"))
