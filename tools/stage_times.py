@@ -34,6 +34,30 @@ def _events(path: Path):
                 yield json.loads(line)
 
 
+def table_scans(path: Path) -> dict:
+    """Per job group: how many Parquet scans of each table its SQL
+    executions planned (one count per scan node)."""
+    plans: dict[int, str] = {}
+    exec_group: dict[int, str] = {}
+    for ev in _events(path):
+        kind = ev.get("Event", "")
+        if kind.endswith("SparkListenerSQLExecutionStart"):
+            plans[ev["executionId"]] = ev.get("physicalPlanDescription", "")
+        elif kind == "SparkListenerJobStart":
+            props = ev.get("Properties", {})
+            eid = props.get("spark.sql.execution.id")
+            if eid is not None:
+                exec_group.setdefault(int(eid), props.get("spark.jobGroup.id", "(none)"))
+    out: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
+    for eid, group in exec_group.items():
+        plan = plans.get(eid, "")
+        for line in plan.splitlines():
+            if line.startswith("Location: InMemoryFileIndex"):
+                table = line.rsplit("/", 1)[-1].rstrip("]").replace(".parquet", "")
+                out[group][table] += 1
+    return {g: dict(t) for g, t in out.items()}
+
+
 def summarise(path: Path) -> dict:
     job_group: dict[int, str] = {}
     stage_job: dict[int, int] = {}
@@ -67,6 +91,8 @@ def summarise(path: Path) -> dict:
 
 if __name__ == "__main__":
     res = summarise(Path(sys.argv[1]))
+    scans = table_scans(Path(sys.argv[1]))
     for group, rec in sorted(res.items(), key=lambda kv: -kv[1]["task_ms"]):
         rec["shuffle_write_mb"] = round(rec["shuffle_write_mb"], 2)
+        rec["table_scans"] = scans.get(group, {})
         print(group, json.dumps(rec))
