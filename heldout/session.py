@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     gets a fresh scratch folder of its own.  A cluster session without one is
     an error: a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder.
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -34,8 +34,12 @@ def spread_for_cpu(df: DataFrame, key: str) -> DataFrame:
     A large input already arrives in many splits and is left as it is: no
     shuffle is added where the scan itself gives enough parallelism.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD view: leave the input as is.
+        return df
+    if partitions >= parallelism:
         return df
     return df.repartition(parallelism, key)
 
