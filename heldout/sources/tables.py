@@ -44,9 +44,7 @@ def spread_for_cpu(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(parallelism, key)
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str,
-                       doc_features: DataFrame | None = None,
-                       feature_builder=None) -> DataFrame:
+def labelled_documents(spark: SparkSession, sf_dir: str, feature_builder=None) -> DataFrame:
     """Documents that carry a label, joined on ``doc_id``.
 
     ``feature_builder`` maps the raw ``documents`` frame to ``doc_id`` plus
@@ -54,11 +52,9 @@ def labelled_documents(spark: SparkSession, sf_dir: str,
     features instead of whole texts.  ``doc_id`` is unique on both sides, so
     the join has no hot key.
     """
-    docs = doc_features
-    if docs is None:
-        raw = spread_for_cpu(
-            read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
-        docs = feature_builder(raw) if feature_builder else raw
+    raw = spread_for_cpu(
+        read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
+    docs = feature_builder(raw) if feature_builder else raw
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     return docs.join(labels, "doc_id", "inner").select(
         "doc_id", *[c for c in docs.columns if c != "doc_id"],

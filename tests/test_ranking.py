@@ -43,3 +43,24 @@ def test_one_hot_paths_agree(spark):
     assert sorted(wide.columns) == sorted(pivoted.columns)
     cols = sorted(wide.columns)
     assert sorted(wide.select(cols).collect()) == sorted(pivoted.select(cols).collect())
+
+
+def test_apply_index_matches_frequency_order(spark):
+    from heldout.operators import joins
+    from heldout.operators.encode import apply_index, frequency_index
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_orderkey", "l_returnflag")
+    index = frequency_index(li, "l_returnflag", "flag_index", num_partitions=3)
+    want = li.toPandas()["l_returnflag"].value_counts()
+    want = sorted(want.items(), key=lambda kv: (-kv[1], kv[0]))
+    expected = {flag: i for i, (flag, _) in enumerate(want)}
+    for bound in (None, 0):  # broadcast, then the shuffle join
+        old = joins.DEFAULT_BROADCAST_ROWS
+        if bound is not None:
+            joins.DEFAULT_BROADCAST_ROWS = bound
+        try:
+            rows = apply_index(li, "l_returnflag", index, "flag_index").collect()
+        finally:
+            joins.DEFAULT_BROADCAST_ROWS = old
+        assert len(rows) == li.count()
+        assert all(r["flag_index"] == expected[r["l_returnflag"]] for r in rows)
