@@ -16,8 +16,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heldout.session import materialize
+
+# Centroids are inlined into the plan as literal arrays, so at
+# most this many classes and this many centroid values in total.
 MAX_CLASSES = 1_000
-MAX_DIMENSIONS = 100_000
+MAX_MODEL_VALUES = 100_000
 
 
 @dataclass(frozen=True)
@@ -47,18 +51,20 @@ class CentroidModel:
 
 def fit_centroids(df: DataFrame, feature_col: str, label_col: str,
                   max_classes: int = MAX_CLASSES) -> CentroidModel:
-    means = (
+    means = materialize(
         df.where(F.col(label_col).isNotNull())
         .groupBy(label_col)
         .agg(Summarizer.mean(array_to_vector(F.col(feature_col))).alias("_mean"))
         .select(label_col, vector_to_array("_mean").alias("_mean"))
     )
-    rows = means.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
+    # Check the model's size on the cluster before any of it reaches the driver.
+    size = means.agg(F.count(F.lit(1)).alias("k"),
+                     F.sum(F.size("_mean")).alias("values")).first()
+    if size["k"] > max_classes:
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
-    rows.sort(key=lambda r: r[label_col])
-    if rows and len(rows[0]["_mean"]) > MAX_DIMENSIONS:
-        raise ValueError("feature arrays are too long for literal centroids")
+    if (size["values"] or 0) > MAX_MODEL_VALUES:
+        raise ValueError("too many centroid values to score as column expressions")
+    rows = sorted(means.collect(), key=lambda r: r[label_col])
     return CentroidModel(
         feature_col=feature_col,
         classes=tuple(r[label_col] for r in rows),

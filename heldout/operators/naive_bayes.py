@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 # Variance smoothing adds this share of the largest feature
 # variance (over all training rows) to every class variance.
 VAR_SMOOTHING = 1e-9
-MAX_CLASSES = 10_000
+# Scoring inlines classes x features constants into the plan, so the model
+# size is bounded: at most this many classes and this many constants.
+MAX_CLASSES = 1_000
+MAX_MODEL_VALUES = 100_000
 
 
 @dataclass(frozen=True)
@@ -102,4 +105,6 @@ def fit_gaussian_nb(df: DataFrame, label_col: str, features: Sequence[str],
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     if not rows:
         raise ValueError("no training rows")
+    if len(rows) * len(features) * 2 > MAX_MODEL_VALUES:
+        raise ValueError("model too large to score as column expressions")
     return model_from_statistics(rows, label_col, features, var_smoothing)
