@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from heldout.operators.joins import join_checked
 from heldout.operators.quantiles import exact_quantiles
-from heldout.session import materialize
 
 
 def group_medians(df: DataFrame, group_cols: Sequence[str], value_col: str,
                   **quantile_opts) -> DataFrame:
-    """``group_cols + [median]`` over the non-null values of each group."""
+    """``group_cols + [median]`` over the non-null values of each group.
+
+    The result is a join of two small checkpointed tables (per-group counts
+    and the values at the needed ranks), so it is cheap to read twice (size
+    check, then join) and needs no cut of its own.
+    """
     q = exact_quantiles(df, value_col, [0.5], group_cols, **quantile_opts)
-    return materialize(q.select(*group_cols, F.col("value").alias("median")))
+    return q.select(*group_cols, F.col("value").alias("median"))
 
 
 def impute_group_median(df: DataFrame, group_cols: Sequence[str], value_col: str,

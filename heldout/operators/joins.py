@@ -28,8 +28,8 @@ def join_checked(big: DataFrame, small: DataFrame, on: Sequence[str] | Column,
     """Join ``big`` to ``small``, broadcasting ``small`` only if its row count
     is checked to be within ``max_broadcast_rows``.
 
-    ``small`` should be materialised (checkpointed or a table) so the check
-    does not recompute it.
+    ``small`` should be materialised (checkpointed or a table), or be cheap to
+    derive from such tables, since the check and the join each read it.
     """
     bound = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     side = F.broadcast(small) if row_count_at_most(small, bound) else small
