@@ -137,6 +137,13 @@ SELECT c_mktsegment, prob, round(value, 6) AS value FROM (
 SELECT p_type, count(*) AS n,
        row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS type_index
 FROM part GROUP BY p_type""",
+    "event_type_indexed": r"""
+WITH idx AS (
+  SELECT event_type, row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS type_index
+  FROM events GROUP BY event_type
+)
+SELECT e.event_id, e.event_type, idx.type_index
+FROM events e LEFT JOIN idx ON e.event_type = idx.event_type""",
     "event_type_one_hot": r"""
 PIVOT (SELECT user_id, event_type FROM events) ON event_type USING count(*) GROUP BY user_id""",
     "order_price_scaled": r"""

@@ -15,7 +15,7 @@ from heldout.functions import document_features, is_train
 from heldout.operators.bins import quantile_bin_column
 from heldout.operators.centroid import fit_centroids
 from heldout.operators.crossval import kfold_predictions
-from heldout.operators.encode import frequency_index, one_hot_counts
+from heldout.operators.encode import apply_index, frequency_index, one_hot_counts
 from heldout.operators.impute import impute_group_median
 from heldout.operators.metrics import confusion_metrics, roc_auc
 from heldout.operators.models import MODEL_KINDS, holdout_auc, text_feature_table
@@ -109,6 +109,15 @@ def part_type_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequency_index(part, "p_type", "type_index")
 
 
+def event_type_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the frequency index of its event type (0 = most
+    frequent type), fitted on the events table and joined back to its rows."""
+    events = read_table(spark, sf_dir, "events", ["event_id", "event_type"])
+    index = frequency_index(events, "event_type", "type_index")
+    return apply_index(events, "event_type", index, "type_index").select(
+        "event_id", "event_type", "type_index")
+
+
 def event_type_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, one column per event type holding the user's event count."""
     events = read_table(spark, sf_dir, "events", ["user_id", "event_type"])
@@ -191,6 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "acctbal_median_impute": acctbal_median_impute,
     "segment_acctbal_quartiles": segment_acctbal_quartiles,
     "part_type_index": part_type_index,
+    "event_type_indexed": event_type_indexed,
     "event_type_one_hot": event_type_one_hot,
     "order_price_scaled": order_price_scaled,
     "order_price_quartile_bins": order_price_quartile_bins,
