@@ -53,3 +53,25 @@ def test_global_quantiles_ignore_nulls(spark):
     vals = orders.toPandas()["price"].dropna().to_numpy(dtype=float)
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
+
+
+def test_hot_group_through_shuffle_join(spark):
+    from heldout.operators import joins
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select(
+        F.when(F.col("l_linenumber") <= 2, F.lit("hot"))
+        .otherwise(F.col("l_returnflag")).alias("g"),
+        "l_extendedprice",
+    )
+    probs = [0.5, 0.9]
+    old = joins.DEFAULT_BROADCAST_ROWS
+    joins.DEFAULT_BROADCAST_ROWS = 0
+    try:
+        got = exact_quantiles(li, "l_extendedprice", probs, ["g"], bins=8,
+                              finish_rows=200).collect()
+    finally:
+        joins.DEFAULT_BROADCAST_ROWS = old
+    want = _numpy_quantiles(li.toPandas(), "g", "l_extendedprice", probs)
+    assert len(got) == len(want)
+    for r in got:
+        assert r["value"] == pytest.approx(want[(r["g"], r["prob"])], abs=1e-9)
