@@ -74,3 +74,34 @@ def test_join_checked_broadcasts_only_within_bound(spark):
     big = joins.join_checked(orders, cust, ["o_custkey"], max_broadcast_rows=10)
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
     assert small.count() == big.count() == orders.count()
+
+
+def test_hot_key_is_split_by_aqe_when_not_broadcast(spark):
+    """Beyond the broadcast bound, a key with a third of the rows is split by
+    AQE's skew join (thresholds lowered here so test-sized data counts)."""
+    confs = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").repartition(8).select(
+        F.when(F.col("l_linenumber") <= 2, F.lit("hot")).otherwise(F.col("l_returnflag")).alias("g"),
+        "l_orderkey", "l_extendedprice")
+    meds = li.groupBy("g").agg(F.median("l_extendedprice").alias("m")).checkpoint()
+    expected = sorted(joins.join_checked(li, meds, ["g"]).collect())
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        out = joins.join_checked(li, meds, ["g"], max_broadcast_rows=0)
+        got = sorted(out.collect())
+        final_plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in final_plan
+    assert got == expected
