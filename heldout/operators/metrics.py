@@ -87,9 +87,12 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
     order = [F.col(g).asc() for g in group_cols] + [F.col("score").asc()]
     with_below = running_totals(per_score, order, ["neg"], num_partitions)
     if group_cols:
-        starts = materialize(with_below.groupBy(*group_cols).agg(
+        # Join on one struct key: structs with null fields compare equal, so a
+        # NULL group keeps its rows.
+        with_below = with_below.withColumn("_gk", F.struct(*group_cols))
+        starts = materialize(with_below.groupBy("_gk").agg(
             F.min("neg_before").alias("_start")))
-        with_below = join_checked(with_below, starts, group_cols).withColumn(
+        with_below = join_checked(with_below, starts, ["_gk"]).withColumn(
             "neg_before", F.col("neg_before") - F.col("_start"))
     credit = F.col("pos").cast("double") * (
         F.col("neg_before").cast("double") + F.col("neg").cast("double") / 2.0)

@@ -46,11 +46,14 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     if bins < 2:
         raise ValueError("bins must be at least 2")
     ensure_checkpoint_dir(df.sparkSession)
-    groups = list(group_cols) or [_KEY]
+    # All internal joins use one struct key over the group columns: a struct
+    # is never null, and structs with null fields compare equal, so a group
+    # whose key is NULL is kept, as GROUP BY keeps it.
+    key = (F.struct(*[F.col(g) for g in group_cols]) if group_cols
+           else F.struct(F.lit(0).alias("all")))
+    groups = [_KEY]
     data = df.select(
-        *[F.col(g) for g in group_cols],
-        *([] if group_cols else [F.lit(0).alias(_KEY)]),
-        F.col(value_col).cast("double").alias("_x"),
+        key.alias(_KEY), F.col(value_col).cast("double").alias("_x"),
     ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
     stats = materialize(data.groupBy(*groups).agg(
@@ -137,7 +140,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     out = (
         targets.join(lo_v, groups + ["_rlo"]).join(hi_v, groups + ["_rhi"])
         .select(
-            *[F.col(g) for g in group_cols],
+            *[F.col(_KEY)[g].alias(g) for g in group_cols],
             F.col("_p").alias("prob"),
             (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"),
         )

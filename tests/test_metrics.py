@@ -64,3 +64,17 @@ def test_merged_moments_equal_direct_statistics():
     assert n == len(allv)
     assert mean == pytest.approx(allv.mean(), rel=1e-15)
     assert var == pytest.approx(allv.var(), rel=1e-6)
+
+
+def test_grouped_auc_keeps_null_group(spark):
+    scored = _nb_scored_test(spark, SF001).withColumn(
+        "g", F.when(F.col("doc_id") % 2 == 0, F.lit("even")))
+    got = {r["g"]: r["auc"] for r in roc_auc(scored, "quality", "score", group_cols=["g"]).collect()}
+    assert set(got) == {None, "even"}
+    pdf = scored.select("g", "quality", "score").toPandas()
+    for g, part in pdf.groupby("g", dropna=False):
+        key = None if not isinstance(g, str) else g
+        pos = part[part.quality == 1].score.to_numpy()
+        neg = part[part.quality != 1].score.to_numpy()
+        wins = sum((p > neg).sum() + 0.5 * (p == neg).sum() for p in pos)
+        assert got[key] == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)

@@ -75,3 +75,17 @@ def test_hot_group_through_shuffle_join(spark):
     assert len(got) == len(want)
     for r in got:
         assert r["value"] == pytest.approx(want[(r["g"], r["prob"])], abs=1e-9)
+
+
+def test_null_group_key_is_kept(spark):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select(
+        F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")).alias("g"), "l_discount")
+    got = exact_quantiles(li, "l_discount", [0.5], ["g"], bins=4, finish_rows=50).collect()
+    pdf = li.toPandas()
+    want = {k: float(np.quantile(v["l_discount"].to_numpy(dtype=float), 0.5))
+            for k, v in pdf.groupby("g", dropna=False)}
+    got_map = {r["g"]: r["value"] for r in got}
+    assert None in got_map and len(got_map) == len(want)
+    for k, v in want.items():
+        key = None if k is None or (isinstance(k, float) and np.isnan(k)) else k
+        assert got_map[key] == pytest.approx(v, abs=1e-12)
