@@ -30,7 +30,8 @@ def impute_group_median(df: DataFrame, group_cols: Sequence[str], value_col: str
 
     The medians table has one row per group; it is broadcast only when its
     row count is checked small, otherwise the join shuffles and AQE splits hot
-    groups.  A group with no non-null value keeps nulls.
+    groups.  A group with no non-null value keeps nulls, and so do rows whose
+    group key is NULL (the join uses SQL equality).
     """
     out_col = out_col or f"{value_col}_filled"
     medians = group_medians(df, group_cols, value_col, **quantile_opts)
