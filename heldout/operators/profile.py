@@ -32,7 +32,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
 
 
-def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6,
+                   approx_distinct_rsd: float | None = None) -> DataFrame:
     """One row per column: n, n_null, n_distinct, min, max, mean, stddev.
 
     Numbers are cast to double.  The mean is the exact decimal(38, 6) sum of
@@ -41,6 +42,11 @@ def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Da
     Plain statistics come from one aggregation pass; exact distinct counts
     from a second (see ``distinct_counts``), and the two results, one row per
     column each, are joined.
+
+    With ``approx_distinct_rsd`` set, distinct counts are HyperLogLog++
+    estimates with that relative standard deviation, taken in the first pass.
+    Their state is a few kilobytes per column however large the table, so
+    there is no second pass and no shuffle of distinct values.
     """
     aggs = []
     for c in columns:
@@ -53,6 +59,9 @@ def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Da
             F.sum(F.col(c).cast("decimal(38,6)")).alias(f"{c}__sum"),
             F.stddev_samp(x).alias(f"{c}__std"),
         ]
+    if approx_distinct_rsd is not None:
+        aggs += [F.approx_count_distinct(F.col(c).cast("double"), approx_distinct_rsd)
+                 .alias(f"{c}__distinct") for c in columns]
     wide = df.agg(*aggs)
     entries = [([
         F.lit(c).alias("column_name"),
@@ -63,6 +72,12 @@ def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Da
         F.try_divide(F.col(f"{c}__sum").cast("double"), F.col(f"{c}__n")).alias("mean"),
         F.round(F.col(f"{c}__std"), digits).alias("stddev"),
     ], c) for c in columns]
+    if approx_distinct_rsd is not None:
+        for (cols, c) in entries:
+            cols.insert(3, F.col(f"{c}__distinct").cast("long").alias("n_distinct"))
+        return _rows_from_wide(wide, entries).select(
+            "column_name", "n", "n_null", "n_distinct", "min_value", "max_value",
+            "mean", "stddev")
     stats = _rows_from_wide(wide, entries)
     # Both sides have one row per profiled column.
     distinct = F.broadcast(distinct_counts(df, columns))

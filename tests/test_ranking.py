@@ -64,3 +64,16 @@ def test_apply_index_matches_frequency_order(spark):
             joins.DEFAULT_BROADCAST_ROWS = old
         assert len(rows) == li.count()
         assert all(r["flag_index"] == expected[r["l_returnflag"]] for r in rows)
+
+
+def test_profile_approx_distinct_close_to_exact(spark):
+    from heldout.operators.profile import column_profile
+
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select(*cols)
+    exact = {r["column_name"]: r for r in column_profile(li, cols).collect()}
+    approx = {r["column_name"]: r for r in
+              column_profile(li, cols, approx_distinct_rsd=0.02).collect()}
+    for c in cols:
+        assert approx[c]["n_distinct"] == pytest.approx(exact[c]["n_distinct"], rel=0.08)
+        assert approx[c]["mean"] == exact[c]["mean"] and approx[c]["n"] == exact[c]["n"]
