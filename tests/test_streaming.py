@@ -28,3 +28,17 @@ def test_stream_scoring_matches_batch(spark):
     diff = streamed.exceptAll(batch).count() + batch.exceptAll(streamed).count()
     assert diff == 0
     assert streamed.where(F.col("prediction").isNull()).count() == 0
+
+
+def test_restarted_stream_resumes_from_its_checkpoint(spark):
+    table = labelled_feature_table(spark, SF001)
+    model = fit_gaussian_nb(table.where("is_train"), "quality", NB_FEATURES)
+    out_dir = tempfile.mkdtemp(prefix="heldout-stream-out-", dir="/tmp")
+    for _ in range(2):
+        stream = document_stream(spark, SF001, file_glob="documents.parquet")
+        query = score_document_stream(spark, stream, model, out_dir, "score_docs_restart")
+        query.awaitTermination(300)
+        assert query.exception() is None
+    # The second run found every input file already committed: no duplicates.
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    assert spark.read.parquet(out_dir).count() == docs.count()
