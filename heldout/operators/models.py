@@ -9,6 +9,7 @@ by the hashed feature count, not by the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
@@ -72,24 +73,35 @@ MODEL_KINDS = ("logistic_regression", "decision_tree", "random_forest",
                "gradient_boosted_trees")
 
 
-def holdout_auc(table: DataFrame, kinds: Sequence[str], targets: Sequence[str]) -> DataFrame:
+def holdout_auc(table: DataFrame, kinds: Sequence[str], targets: Sequence[str],
+                parallelism: int = 4) -> DataFrame:
     """One row per (model, target): held-out rows, positives, negatives and
     exact ROC area of the positive-class probability.
 
-    Every fitted model scores the held-out rows; the scores of all models and
-    targets are stacked and measured by one grouped ROC pass.
+    The (model, target) fits are independent, so up to ``parallelism`` of them
+    are submitted at once from driver threads, as Spark ML's
+    ``CrossValidator(parallelism=...)`` does.  Every fitted model scores the
+    held-out rows; the scores of all models and targets are stacked and
+    measured by one grouped ROC pass.
     """
-    scored_parts = []
-    for target in targets:
+    test = table.where(~F.col("is_train"))
+
+    def fit(task):
+        kind, target = task
         train = table.where("is_train").withColumn("label", F.col(target).cast("double"))
-        test = table.where(~F.col("is_train"))
-        for kind in kinds:
-            model = _estimator(kind, "label").fit(train)
-            scored_parts.append(model.transform(test).select(
-                F.lit(kind).alias("model"), F.lit(target).alias("target"),
-                F.col(target).alias("actual"),
-                vector_to_array("probability")[1].alias("score"),
-            ))
+        return kind, target, _estimator(kind, "label").fit(train)
+
+    tasks = [(kind, target) for target in targets for kind in kinds]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fitted = list(pool.map(fit, tasks))
+    scored_parts = [
+        model.transform(test).select(
+            F.lit(kind).alias("model"), F.lit(target).alias("target"),
+            F.col(target).alias("actual"),
+            vector_to_array("probability")[1].alias("score"),
+        )
+        for kind, target, model in fitted
+    ]
     scored = scored_parts[0]
     for part in scored_parts[1:]:
         scored = scored.unionByName(part)
