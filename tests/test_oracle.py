@@ -27,3 +27,13 @@ def test_entry_runs_on_smallest_tables(spark):
     assert df.columns == ["actual", "predicted", "n"]
     rows = df.collect()
     assert rows and sum(r["n"] for r in rows) > 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_schema_is_the_same_at_every_scale(spark, name):
+    from conftest import SF0001
+
+    query = entry_mod.queries()[name]
+    small = query(spark, SF0001).schema.simpleString()
+    larger = query(spark, SF001).schema.simpleString()
+    assert small == larger
