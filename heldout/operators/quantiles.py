@@ -51,39 +51,38 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     # whose key is NULL is kept, as GROUP BY keeps it.
     key = (F.struct(*[F.col(g) for g in group_cols]) if group_cols
            else F.struct(F.lit(0).alias("all")))
-    groups = [_KEY]
     data = df.select(
         key.alias(_KEY), F.col(value_col).cast("double").alias("_x"),
     ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
-    stats = materialize(data.groupBy(*groups).agg(
+    stats = materialize(data.groupBy(_KEY).agg(
         F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
 
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     # Targets, ranks and the first state are cheap projections of `stats`,
     # which is already cut from the data scan.
     targets = (
-        stats.select(*groups, "_n", F.explode(prob_arr).alias("_p"))
+        stats.select(_KEY, "_n", F.explode(prob_arr).alias("_p"))
         .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
         .select(
-            *groups, "_p",
+            _KEY, "_p",
             F.floor("_h").cast("long").alias("_rlo"),
             F.ceil("_h").cast("long").alias("_rhi"),
             (F.col("_h") - F.floor("_h")).alias("_frac"),
         )
     )
     ranks = (
-        targets.select(*groups, F.col("_rlo").alias("_r"))
-        .union(targets.select(*groups, F.col("_rhi").alias("_r")))
+        targets.select(_KEY, F.col("_rlo").alias("_r"))
+        .union(targets.select(_KEY, F.col("_rhi").alias("_r")))
         .distinct()
     )
-    state = ranks.join(stats, groups).select(
-        *groups, "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_off"),
+    state = ranks.join(stats, _KEY).select(
+        _KEY, "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_off"),
         F.col("_n").alias("_cnt"),
     )
 
     def in_interval(frame: DataFrame, intervals: DataFrame) -> DataFrame:
-        joined = join_checked(frame, intervals, groups)
+        joined = join_checked(frame, intervals, [_KEY])
         return joined.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
 
     is_open = (F.col("_cnt") > finish_rows) & (F.col("_lo") < F.col("_hi"))
@@ -91,26 +90,26 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         open_ = state.where(is_open)
         if open_.isEmpty():
             break
-        intervals = open_.select(*groups, "_lo", "_hi").distinct()
+        intervals = open_.select(_KEY, "_lo", "_hi").distinct()
         # Halves keep hi - lo finite for any pair of finite doubles.
         pos = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
         bucket = F.least(F.floor(pos * bins), F.lit(bins - 1)).cast("long")
-        hist = in_interval(data, intervals).groupBy(*groups, "_lo", "_hi", bucket.alias("_b")).agg(
+        hist = in_interval(data, intervals).groupBy(_KEY, "_lo", "_hi", bucket.alias("_b")).agg(
             F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"),
             F.max("_x").alias("_bmax"),
         )
         # At most `bins` buckets per rank, so this window is bounded per key.
-        per_rank = Window.partitionBy(*groups, "_r").orderBy("_b").rowsBetween(
+        per_rank = Window.partitionBy(_KEY, "_r").orderBy("_b").rowsBetween(
             Window.unboundedPreceding, -1)
         refined = (
-            open_.join(hist, groups + ["_lo", "_hi"])
+            open_.join(hist, [_KEY, "_lo", "_hi"])
             .withColumn("_before", F.coalesce(F.sum("_c").over(per_rank), F.lit(0)))
             .where(
                 (F.col("_off") + F.col("_before") <= F.col("_r"))
                 & (F.col("_r") < F.col("_off") + F.col("_before") + F.col("_c"))
             )
             .select(
-                *groups, "_r", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                _KEY, "_r", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
                 (F.col("_off") + F.col("_before")).alias("_off"),
                 F.col("_c").alias("_cnt"),
             )
@@ -121,24 +120,24 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         raise RuntimeError("exact_quantiles did not converge")
 
     single = state.where(F.col("_lo") == F.col("_hi")).select(
-        *groups, "_r", F.col("_lo").alias("_v"))
+        _KEY, "_r", F.col("_lo").alias("_v"))
     to_sort = state.where(F.col("_lo") < F.col("_hi"))
-    finish_intervals = to_sort.select(*groups, "_lo", "_hi").distinct()
+    finish_intervals = to_sort.select(_KEY, "_lo", "_hi").distinct()
     # Every finishing interval holds at most `finish_rows` values.
-    sorted_vals = in_interval(data, finish_intervals).groupBy(*groups, "_lo", "_hi").agg(
+    sorted_vals = in_interval(data, finish_intervals).groupBy(_KEY, "_lo", "_hi").agg(
         F.sort_array(F.collect_list("_x")).alias("_vals"))
-    picked = to_sort.join(sorted_vals, groups + ["_lo", "_hi"]).select(
-        *groups, "_r",
+    picked = to_sort.join(sorted_vals, [_KEY, "_lo", "_hi"]).select(
+        _KEY, "_r",
         F.element_at("_vals", (F.col("_r") - F.col("_off") + 1).cast("int")).alias("_v"),
     )
     # One row per group and rank; cut so that the two joins below (lower and
     # upper rank) do not each repeat the finishing scan of the data.
     values = materialize(single.unionByName(picked))
 
-    lo_v = values.select(*groups, F.col("_r").alias("_rlo"), F.col("_v").alias("_vlo"))
-    hi_v = values.select(*groups, F.col("_r").alias("_rhi"), F.col("_v").alias("_vhi"))
+    lo_v = values.select(_KEY, F.col("_r").alias("_rlo"), F.col("_v").alias("_vlo"))
+    hi_v = values.select(_KEY, F.col("_r").alias("_rhi"), F.col("_v").alias("_vhi"))
     out = (
-        targets.join(lo_v, groups + ["_rlo"]).join(hi_v, groups + ["_rhi"])
+        targets.join(lo_v, [_KEY, "_rlo"]).join(hi_v, [_KEY, "_rhi"])
         .select(
             *[F.col(_KEY)[g].alias(g) for g in group_cols],
             F.col("_p").alias("prob"),
