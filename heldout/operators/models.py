@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from heldout.functions import is_train, line_count, log_length, word_count
 from heldout.operators.metrics import roc_auc
-from heldout.sources import read_table, spread_for_cpu
+from heldout.sources import labelled_documents
 from heldout.session import materialize
 
 # Tokens split on runs of space, tab, CR and newline, lower-cased;
@@ -33,11 +33,9 @@ REG_PARAM = 0.05
 SEED = 7
 
 
-def text_feature_table(spark, sf_dir: str, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
-    """doc_id, features (hashed terms + length features), quality, toxic,
-    is_train for labelled documents; checkpointed."""
-    docs = spread_for_cpu(
-        read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
+def text_features(docs: DataFrame, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
+    """doc_id and one vector: hashed lower-cased term counts of the whole text
+    plus log length, word count and line count."""
     tokens = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=TOKEN_SPLIT,
                             toLowercase=True).transform(docs)
     hashed = HashingTF(inputCol="tokens", outputCol="terms",
@@ -48,12 +46,17 @@ def text_feature_table(spark, sf_dir: str, num_features: int = NUM_TEXT_FEATURES
         word_count("text").cast("double").alias("n_words"),
         line_count("text").cast("double").alias("n_lines"),
     )
-    assembled = VectorAssembler(
+    return VectorAssembler(
         inputCols=["terms", "log_chars", "n_words", "n_lines"], outputCol="features"
     ).transform(numeric).select("doc_id", "features")
-    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
-    table = assembled.join(labels, "doc_id").withColumn("is_train", is_train("doc_id"))
-    return materialize(table)
+
+
+def text_feature_table(spark, sf_dir: str, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
+    """doc_id, features, quality, toxic, is_train for labelled documents;
+    checkpointed, so every fit reads vectors instead of texts."""
+    table = labelled_documents(
+        spark, sf_dir, feature_builder=lambda raw: text_features(raw, num_features))
+    return materialize(table.withColumn("is_train", is_train("doc_id")))
 
 
 def _estimator(kind: str, label: str):

@@ -49,13 +49,20 @@ def labelled_documents(spark: SparkSession, sf_dir: str, feature_builder=None) -
 
     ``feature_builder`` maps the raw ``documents`` frame to ``doc_id`` plus
     feature columns *before* the join, so the join shuffles small per-document
-    features instead of whole texts.  ``doc_id`` is unique on both sides, so
-    the join has no hot key.
+    features instead of whole texts.  When the label table is checked to be
+    small, the documents are first reduced to labelled ones by a broadcast
+    semi-join, which filters inside the scan's stage, so no per-text work is
+    spent on unlabelled documents.  ``doc_id`` is unique on both sides, so the
+    join has no hot key.
     """
+    from heldout.operators import joins
+
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     raw = spread_for_cpu(
         read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
+    if joins.row_count_at_most(labels, joins.DEFAULT_BROADCAST_ROWS):
+        raw = raw.join(F.broadcast(labels.select("doc_id")), "doc_id", "left_semi")
     docs = feature_builder(raw) if feature_builder else raw
-    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     return docs.join(labels, "doc_id", "inner").select(
         "doc_id", *[c for c in docs.columns if c != "doc_id"],
         F.col("quality"), F.col("toxic"),
