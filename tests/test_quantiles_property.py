@@ -23,7 +23,7 @@ def lineitem(spark):
     return df, df.toPandas()
 
 
-@settings(max_examples=12, deadline=None,
+@settings(max_examples=12, deadline=None, derandomize=True,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     groups=st.sampled_from(GROUPS),
