@@ -87,6 +87,9 @@ def model_from_statistics(rows, label_col: str, features: Sequence[str],
             r["n"] * (r[f"var_{feat}"] + (r[f"mean_{feat}"] - grand) ** 2) for r in rows
         ) / total)
     eps = var_smoothing * max(overall)
+    if any(r[f"var_{f}"] + eps <= 0.0 for r in rows for f in features):
+        raise ValueError("every feature is constant within a class and overall; "
+                         "Gaussian naive Bayes needs some variance")
     return GaussianNBModel(
         features=tuple(features),
         classes=tuple(r[label_col] for r in rows),
