@@ -22,7 +22,12 @@ from heldout.sources import TABLES  # noqa: E402
 def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = Path(f"{sf_dir}/{t}.parquet")
+        if not path.exists():
+            continue
+        # A table written by Spark is a folder of part files.
+        source = f"{path}/*.parquet" if path.is_dir() else str(path)
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{source}')")
     return con
 
 
