@@ -21,15 +21,17 @@ def _rows_from_wide(wide: DataFrame, entries: list[tuple[list, str]]) -> DataFra
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name, n_distinct`` for each column, from one scan.
 
-    Every row becomes one (column, value) pair per column; pairs are deduped
-    map-side before the shuffle and counted per column afterwards.
+    A single aggregation of ``count_distinct`` per column: Spark expands each
+    row once per column, dedups (column, value) pairs map-side before the
+    shuffle and counts them per column afterwards.  Kept apart from the other
+    statistics, whose buffers would otherwise ride along on every expanded row.
     """
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
-        for c in columns
-    ]))).where(F.col("v").isNotNull())
-    return (pairs.select("column_name", "v").distinct()
-            .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
+    wide = df.agg(*[F.count_distinct(F.col(c).cast("double")).alias(f"{c}__distinct")
+                    for c in columns])
+    return _rows_from_wide(wide, [([
+        F.lit(c).alias("column_name"),
+        F.col(f"{c}__distinct").cast("long").alias("n_distinct"),
+    ], c) for c in columns])
 
 
 def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6,
