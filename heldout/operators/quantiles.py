@@ -10,8 +10,8 @@ values at the needed ranks by narrowing a value interval:
    interval into ``bins`` equal-width buckets (partially aggregated, so a hot
    group is pre-aggregated in every task), and the rank moves to the bucket
    that holds it, whose exact min and max become the new interval;
-3. the at most ``finish_rows`` values of each final interval are sorted, and
-   the rank is read off.
+3. the at most ``finish_rows`` values of each final interval are numbered in
+   order (a window sort), and the rows at the needed positions are kept.
 
 Each round strictly shrinks every open interval, and on smooth data divides
 its row count by about ``bins``, so a few scans suffice at any size.  The
@@ -129,13 +129,16 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         _KEY, "_r", F.col("_lo").alias("_v"))
     to_sort = state.where(F.col("_lo") < F.col("_hi"))
     finish_intervals = to_sort.select(_KEY, "_lo", "_hi").distinct()
-    # Every finishing interval holds at most `finish_rows` values.
-    sorted_vals = in_interval(data, finish_intervals).groupBy(_KEY, "_lo", "_hi").agg(
-        F.sort_array(F.collect_list("_x")).alias("_vals"))
-    picked = to_sort.join(sorted_vals, [_KEY, "_lo", "_hi"]).select(
-        _KEY, "_r",
-        F.element_at("_vals", (F.col("_r") - F.col("_off") + 1).cast("int")).alias("_v"),
-    )
+    # Every finishing interval holds at most `finish_rows` values.  They are
+    # numbered in order by a window (Spark's spillable sorter, no boxing), and
+    # the row at each needed position is kept.
+    in_order = Window.partitionBy(_KEY, "_lo", "_hi").orderBy("_x")
+    numbered = in_interval(data, finish_intervals).select(
+        _KEY, "_lo", "_hi", "_x", F.row_number().over(in_order).alias("_pos"))
+    wanted = to_sort.select(_KEY, "_lo", "_hi", "_r",
+                            (F.col("_r") - F.col("_off") + 1).alias("_pos"))
+    picked = join_checked(numbered, wanted, [_KEY, "_lo", "_hi", "_pos"]).select(
+        _KEY, "_r", F.col("_x").alias("_v"))
     # One row per group and rank; cut so that the two joins below (lower and
     # upper rank) do not each repeat the finishing scan of the data.
     values = materialize(single.unionByName(picked))
