@@ -105,3 +105,14 @@ def test_hot_key_is_split_by_aqe_when_not_broadcast(spark):
                 spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in final_plan
     assert got == expected
+
+
+def test_no_query_has_a_cross_join_or_python_udf(spark):
+    from conftest import SF0001
+
+    for name, query in entry_mod.queries().items():
+        plan = _plan(query(spark, SF0001))
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
+        assert not any(k in plan for k in ("BatchEvalPython", "ArrowEvalPython",
+                                           "FlatMapGroupsInPandas", "MapInPandas")), name
