@@ -32,3 +32,24 @@ def test_model_comparison_includes_baseline(spark):
     rows = entry_mod.queries()["model_comparison"](spark, SF001).collect()
     models = {r["model"] for r in rows}
     assert "gaussian_naive_bayes" in models and len(rows) == 5
+
+
+def test_grouped_auc_equals_spark_ml_evaluator_on_model_scores(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from heldout.operators.metrics import roc_auc
+    from heldout.operators.models import _estimator, text_feature_table
+
+    table = text_feature_table(spark, SF001)
+    for target in ("quality", "toxic"):
+        train = table.where("is_train").withColumn("label", F.col(target).cast("double"))
+        model = _estimator("logistic_regression", "label").fit(train)
+        scored = model.transform(table.where("not is_train")).select(
+            F.col(target).cast("double").alias("label"),
+            vector_to_array("probability")[1].alias("score"))
+        ours = roc_auc(scored, "label", "score", positive=1.0).first()["auc"]
+        theirs = BinaryClassificationEvaluator(
+            rawPredictionCol="score", labelCol="label", numBins=0).evaluate(scored)
+        assert ours == pytest.approx(theirs, abs=1e-12), target
