@@ -77,14 +77,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
             (F.col("_h") - F.floor("_h")).alias("_frac"),
         )
     )
-    ranks = (
-        targets.select(_KEY, F.col("_rlo").alias("_r"))
-        .union(targets.select(_KEY, F.col("_rhi").alias("_r")))
-        .distinct()
-    )
-    state = ranks.join(stats, _KEY).select(
-        _KEY, "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_off"),
-        F.col("_n").alias("_cnt"),
+    # The distinct ranks each group needs, built from its own stats row with
+    # array functions, so no aggregation or join is needed.
+    def position(p):
+        return (F.col("_n") - 1).cast("double") * p
+
+    needed = F.array_distinct(F.flatten(F.transform(
+        prob_arr, lambda p: F.array(F.floor(position(p)).cast("long"),
+                                    F.ceil(position(p)).cast("long")))))
+    state = stats.select(
+        _KEY, F.explode(needed).alias("_r"), "_lo", "_hi",
+        F.lit(0).cast("long").alias("_off"), F.col("_n").alias("_cnt"),
     )
 
     def in_interval(frame: DataFrame, intervals: DataFrame) -> DataFrame:
