@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -63,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder"
         )
@@ -71,18 +72,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """This application's folder of stored tables below the checkpoint folder.
+    The file system deletes it when the application ends."""
+    root = f"{ensure_checkpoint_dir(spark)}/heldout-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return root
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, store it in the shared checkpoint folder and return
-    a DataFrame that reads it back (lineage cut).
+    """Compute ``df`` once: one Parquet write below the shared checkpoint
+    folder, read back (lineage cut).
 
-    A reliable checkpoint is written by a second job after the first one
-    computes the rows; persisting first lets that job read the computed rows
-    instead of running the plan again.  The persisted copy is released once
-    the checkpoint files exist.
+    The rows survive the loss of any executor.  Reading back lets later steps
+    prune columns and gives AQE a measured size; a plan that ends in a shuffle
+    is coalesced by AQE before the write, so a small table is a handful of
+    files however many shuffle partitions the session has.  ``release``
+    deletes the files early; otherwise they go when the application ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of tables from ``materialize`` that nothing reads any
+    more.  Frames from elsewhere are ignored."""
+    for df in frames:
+        stored_at = getattr(df, "_stored_at", None)
+        if stored_at:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(stored_at)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
