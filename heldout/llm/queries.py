@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from heldout.llm.minhash import near_duplicates
+from heldout.llm.recompression import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,8 +21,17 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), n=4, percent=80)
 
 
+def op2_recompression_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents covered by 13-word windows that also start in a
+    document with a smaller doc_id."""
+    cut = remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"), width=13, layout=False)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
+    "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
