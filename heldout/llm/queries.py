@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heldout.llm import bpe, langid
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
 
@@ -28,10 +30,28 @@ def op2_recompression_substring_dedup(spark: SparkSession, sf_dir: str) -> DataF
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    return model.transform(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and the text that they decode to."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
+    "op3_crf_language_id": op3_crf_language_id,
+    "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
 ORACLE_SQL: dict[str, str] = {}
