@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, pre_tokenizers
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from heldout.llm import common
 
@@ -75,6 +75,7 @@ class Bpe:
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
         self._words = regex.compile(WORDS)
+        self._compose, self._lower = normalizers.NFC(), normalizers.Lowercase()
         self._newer = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True)
 
     def _split(self, chunk: str) -> list[bytes | int]:
@@ -84,13 +85,14 @@ class Bpe:
             if i % 2:
                 out.append(self.special[part])
             elif part:
-                part = unicodedata.normalize("NFC", part)
-                # sign by sign: a sigma is lower-cased alike wherever it stands
-                part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
                 if not part.isascii() and "Cn" in map(unicodedata.category, part):
-                    # letters newer than Python's tables: what the library's own tables say
+                    # signs newer than Python's tables: what the library's own tables say
+                    part = self._lower.normalize_str(self._compose.normalize_str(part))
                     words = [w for w, _ in self._newer.pre_tokenize_str(part)]
                 else:
+                    part = unicodedata.normalize("NFC", part)
+                    # sign by sign: a sigma is lower-cased alike wherever it stands
+                    part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
                     words = self._words.findall(part)
                 out += [w.encode() for w in words]
         return out

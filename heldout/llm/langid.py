@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heldout.llm import common
 
@@ -106,9 +107,9 @@ class Model:
     links: np.ndarray
     token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def transform(self, docs: DataFrame) -> DataFrame:
+    def transform(self, docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         """Rows (doc_id, lang_pred, score, words), one for each row of ``docs``
-        (doc_id, text; nothing else is read).
+        (doc_id, text); with the columns named in ``carry`` in front of them.
 
         ``score`` is the share of label probability of the predicted language
         over all words, ``words`` the number of words labelled with each
@@ -116,8 +117,11 @@ class Model:
         0; equal shares go to the first language in order.
         """
         sent = docs.sparkSession.sparkContext.broadcast(self)
-        return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                .mapInArrow(_scorer(sent), "doc_id long, lang_pred string, score double, words map<string,long>"))
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                           *[F.col(c) for c in carry if c not in ("doc_id", "text")])
+        schema = T.StructType([rows.schema[c] for c in (carry or ("doc_id",))]).add("lang_pred", "string").add(
+            "score", "double").add("words", T.MapType(T.StringType(), T.LongType()))
+        return rows.mapInArrow(_scorer(sent, list(carry or ("doc_id",))), schema)
 
 
 class _Scores(dict):
@@ -139,7 +143,7 @@ class _Scores(dict):
 _KNOWN: dict[str, _Scores] = {}
 
 
-def _scorer(sent):
+def _scorer(sent, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for piece in common.pieces(batches, "text", 1 << 20):
@@ -174,8 +178,8 @@ def _scorer(sent):
             score = np.where(total > 0, share.max(axis=1, initial=0.0) / np.maximum(total, 1e-300), 0.0).clip(0, 1)
             by_lang = [[(x, int(c)) for x, c in zip(model.langs, row, strict=True) if c] for row in count]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(by_lang, pa.map_(pa.string(), pa.int64()))], names=["doc_id", "lang_pred", "score", "words"])
+                [*map(piece.column, carry), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
+                 pa.array(by_lang, pa.map_(pa.string(), pa.int64()))], names=[*carry, "lang_pred", "score", "words"])
     return run
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heldout.llm import bpe, langid
+from heldout.llm import bpe, langid, mixing
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
 
@@ -38,6 +38,28 @@ def op3_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: Levels of the budget tree and target weights of their nodes (1 if not named).
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = {"domain": {"web": 4, "books": 3, "forum": 2, "news": 1},
+               "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 1.2, 4, 11
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Stand-in for a column that the documents table lacks: a domain for each
+    source, by the digits in its name."""
+    digits = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
+    number = F.when(digits == "", F.lit(0)).otherwise(F.substring(digits, -1, 1).cast("int"))
+    return docs.withColumn("domain", F.element_at(F.array(*map(F.lit, ("web", "books", "forum", "news"))), number % 4 + 1))
+
+
+def op7_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a mix of 1.2 times all tokens takes each document, with a
+    budget tree of domain, language and source and up to four epochs."""
+    docs = with_domain(_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return mixing.mix(docs, MIX_LEVELS, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, and the text that they decode to."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -51,7 +73,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op3_crf_language_id": op3_crf_language_id,
+    "op7_hierarchical_mix": op7_hierarchical_mix,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _mix_level(i: int) -> str:
+    """SQL of one level's shares; ``i`` counts from the root."""
+    level, above = MIX_LEVELS[i], MIX_LEVELS[:i]
+    keys, parent = ", ".join(MIX_LEVELS[:i + 1]), ", ".join(above)
+    by = f"PARTITION BY {parent} " if parent else ""
+    weight = "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in MIX_WEIGHTS.get(level, {"": 1}).items()) + " ELSE 1 END"
+    given = f"JOIN share{i - 1} USING ({parent})" if i else \
+        "CROSS JOIN (SELECT least(sum(n) * 1.2::DOUBLE, sum(n) * 4::DOUBLE) AS budget FROM leaves)"
+    return f"""
+  node{i} AS (SELECT {keys}, sum(n) * 4::DOUBLE AS cap, ({weight})::DOUBLE AS w FROM leaves GROUP BY {keys}),
+  step{i} AS (SELECT {keys}, cap, w, cap / w AS ratio,
+      (budget - coalesce(sum(cap) OVER ({by}ORDER BY cap / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(w) OVER ({by}ORDER BY cap / w, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl
+    FROM node{i} {given}),
+  share{i} AS (SELECT {keys}, CASE WHEN ratio <= lvl THEN cap
+      ELSE w * max(CASE WHEN ratio > lvl THEN lvl END) OVER ({by.strip()}) END AS budget FROM step{i}),"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_hierarchical_mix": f"""
+WITH docs AS (
+    SELECT doc_id, lang, source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens,
+      (['web', 'books', 'forum', 'news'])[coalesce(try_cast(right(regexp_extract(source, '([0-9]+)$', 1), 1) AS INT), 0) % 4 + 1] AS domain
+    FROM documents),
+  leaves AS (SELECT domain, lang, source, sum(tokens) AS n FROM docs GROUP BY ALL),{_mix_level(0)}{_mix_level(1)}{_mix_level(2)}
+  allot AS (SELECT domain, lang, source, n, floor(budget + 1e-6)::BIGINT AS a FROM leaves JOIN share2 USING (domain, lang, source)),
+  epoch AS (SELECT *, CASE WHEN n > 0 THEN a // n ELSE 0 END::BIGINT AS whole FROM allot),
+  placed AS (SELECT d.*, whole, a - whole * n AS rest,
+      sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || whole || ':' || doc_id)) - tokens AS start
+    FROM docs d JOIN epoch USING (domain, lang, source))
+SELECT doc_id, tokens, domain, lang, source, (whole + CASE WHEN start < rest THEN 1 ELSE 0 END)::BIGINT AS epochs FROM placed
+""",
+}

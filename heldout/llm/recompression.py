@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heldout.llm import common
 from heldout.llm.common import U64
@@ -325,7 +326,7 @@ def _lost_spans(table: pa.Table) -> pa.Table:
     return pa.table({"t1": own[head], "start": place[head], "many": np.diff(np.append(head, len(own)))})
 
 
-def _cut(width: int, layout: bool):
+def _cut(width: int, layout: bool, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in common.pieces(batches, "text", 1 << 22):
             n_words, n_removed, kept = [], [], []
@@ -357,14 +358,16 @@ def _cut(width: int, layout: bool):
                             out += cells[first + 2 * i:first + 2 * i + 2]
                     kept.append(b"".join(out))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+                [*map(piece.column, carry), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())], names=[*carry, "n_words", "n_removed", "kept"])
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, layout: bool = True, upto: int = LEVELS) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, layout: bool = True, upto: int = LEVELS,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows (doc_id, n_words, n_removed, kept), one for each row of ``docs``
-    (doc_id long, text string; other columns are ignored).
+    (doc_id long, text string; other columns are ignored, apart from those
+    named in ``carry``, which stand behind doc_id).
 
     A word is removed if a window of ``width`` words that covers it also
     starts, word for word, in a document with a smaller doc_id.  Windows are
@@ -379,7 +382,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, layout: bool = True, upt
     gives no rows.
     """
     spark = docs.sparkSession
+    carried = [f"carried_{i}" for i in range(len(carry))]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       *[F.col(c).alias(x) for c, x in zip(carry, carried, strict=True)],
                        F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
     known = docs.where("doc_id is not null and text is not null")
     reps = materialize(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"),
@@ -396,9 +401,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, layout: bool = True, upt
             .mapInArrow(_window_blocks(width, upto, parts), _BLOCK)
             .groupBy("part").applyInArrow(_lost_spans, "t1 long, start long, many long")
             .groupBy("t1").agg(F.collect_list(F.struct("start", "many")).alias("lost")))
+    schema = T.StructType([docs.schema[c] for c in ("doc_id", *carried)]).add("n_words", "long").add(
+        "n_removed", "long").add("kept", "string")
     told = reps.select("t1", "t2", "rep").join(lost, "t1", "left")
     return (docs.join(told, ["t1", "t2"], "left")
             .withColumn("copy", F.coalesce(F.col("doc_id") > F.col("rep"), F.lit(False)))
             .withColumn("lost", F.when(F.col("doc_id").isNotNull(), F.col("lost")))
-            .select("doc_id", "text", "copy", "lost")
-            .mapInArrow(_cut(width, layout), "doc_id long, n_words long, n_removed long, kept string"))
+            .select("doc_id", *carried, "text", "copy", "lost")
+            .mapInArrow(_cut(width, layout, ["doc_id", *carried]), schema)
+            .withColumnsRenamed(dict(zip(carried, carry, strict=True))))
