@@ -9,7 +9,8 @@ binary search over the sorted pair keys, takes the lowest rank of each word and
 merges it wherever it stands, left to right; words without a known pair leave.
 
 Chunks between ASCII white space are encoded once per worker and remembered:
-no rule of such a file looks across white space.
+no rule of such a file looks across white space, nor from an ASCII letter to an
+ASCII sign behind it, so a text is also cut there.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -30,9 +31,11 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from heldout.llm import common
 
 #: Chunks that a worker remembers the ids of before it starts anew.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_000_000
 #: Pre-tokenizer pattern of the file format (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Between an ASCII letter and an ASCII sign.
+_SEAM = re.compile(rb"(?<=[a-z])(?=[!-/:-@\[-`{-~])")
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -140,7 +143,8 @@ class Bpe:
 
     def encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks, one after another, and how many each has."""
-        parts = [self._split(c.decode()) for c in chunks]
+        # bare lower-case ASCII letters are one word as they stand
+        parts = [[c] if c.isalpha() and c.islower() else self._split(c.decode()) for c in chunks]
         index: dict[bytes, int] = {}
         place = [index.setdefault(w, len(index)) if isinstance(w, bytes) else -1 - w for p in parts for w in p]
         ids, size = self.merge(list(index))
@@ -165,18 +169,28 @@ class Bpe:
 class Remembered:
     """Encoder of whole texts from an encoder of chunks, remembering chunks."""
 
-    def __init__(self, encode_chunks: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
+    def __init__(self, encode_chunks: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+                 special: Iterable[str]) -> None:
         self._encode = encode_chunks
+        self._special = [x.lower().encode() for x in special]
         self._forget()
 
     def _forget(self) -> None:
         self._index: dict[bytes, int] = {}
         self._ids, self._at, self._used = np.empty(1 << 16, dtype=np.int32), [np.zeros(1, dtype=np.int64)], 0
 
+    def _cut(self, text: bytes) -> list[bytes]:
+        """Chunks of a text, lower-cased; as they are if it may hold special
+        strings, whose case counts."""
+        lower = text.lower()
+        if any(x in lower for x in self._special):
+            return text.split()
+        return _SEAM.sub(b" ", lower).split()
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self._index) > CACHE_CHUNKS:
             self._forget()
-        split = [t.split() for t in texts]
+        split = [self._cut(t) for t in texts]
         index = self._index
         place = [index.setdefault(w, len(index)) for words in split for w in words]
         known = sum(len(a) for a in self._at) - 1
@@ -215,7 +229,7 @@ def _loaded(source: str) -> tuple[Bpe, Remembered]:
     if key not in _KNOWN:
         _KNOWN.clear()
         bpe = Bpe(source)
-        _KNOWN[key] = bpe, Remembered(bpe.encode_chunks)
+        _KNOWN[key] = bpe, Remembered(bpe.encode_chunks, bpe.special)
     return _KNOWN[key]
 
 

@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heldout.llm import bpe, langid, mixing
+from heldout.llm import bpe, fingerprint, langid, mixing, tokenfile
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
+from heldout.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -60,6 +61,24 @@ def op7_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_LEVELS, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
 
 
+def op8_prefix_hash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint.compare_neighbours(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+#: Id behind every document in the token dataset.
+END_ID = 2
+
+
+def op9_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids, written as a dataset and read back."""
+    path = scratch_path(spark)
+    tokenfile.write_tokens(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                           public_tokenizers.path("word_bpe_49k.json"), path, END_ID)
+    read = tokenfile.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return tokenfile.with_starts(read, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, and the text that they decode to."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -74,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op3_crf_language_id": op3_crf_language_id,
     "op7_hierarchical_mix": op7_hierarchical_mix,
+    "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
+    "op9_elias_fano_tokens": op9_elias_fano_tokens,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
