@@ -72,13 +72,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """This application's folder of stored tables below the checkpoint folder.
-    The file system deletes it when the application ends."""
+def scratch_path(spark: SparkSession) -> str:
+    """A new path for a stored table, in this application's folder below the
+    checkpoint folder.  The file system deletes it when the application ends."""
     root = f"{ensure_checkpoint_dir(spark)}/heldout-{spark.sparkContext.applicationId}"
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return root
+    return f"{root}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def materialize(df: DataFrame) -> DataFrame:
     deletes the files early; otherwise they go when the application ends.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
