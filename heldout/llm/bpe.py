@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
 from heldout.llm import common
+from heldout.session import ship
 
 #: Chunks that a worker remembers the ids of before it starts anew.
 CACHE_CHUNKS = 1_000_000
@@ -247,6 +248,7 @@ def _runner(sent, decode: bool):
 
 
 def _sent(docs: DataFrame, path: str):
+    ship(docs.sparkSession)
     return docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from heldout.llm import common
 from heldout.llm.common import U64
-from heldout.session import materialize
+from heldout.session import materialize, ship
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_566_083_941)
@@ -198,6 +198,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     The texts are range-partitioned once; where a partition ends, its last row
     meets the next partition's first (one row each a partition).
     """
+    ship(docs.sparkSession)
     order = ("doc_id", "tie")
     compared = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
                 .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")

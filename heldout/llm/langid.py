@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heldout.llm import common
+from heldout.session import ship
 
 BUCKETS = 1 << 16
 CHAIN = 48
@@ -116,6 +117,7 @@ class Model:
         language.  A text that is null or has no letter is ``und`` with score
         0; equal shares go to the first language in order.
         """
+        ship(docs.sparkSession)
         sent = docs.sparkSession.sparkContext.broadcast(self)
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                            *[F.col(c) for c in carry if c not in ("doc_id", "text")])

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from heldout.llm import common
 from heldout.llm.common import U64
-from heldout.session import materialize
+from heldout.session import materialize, ship
 
 WIDTH = 13
 LEVELS = 2
@@ -382,6 +382,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, layout: bool = True, upt
     gives no rows.
     """
     spark = docs.sparkSession
+    ship(spark)
     carried = [f"carried_{i}" for i in range(len(carry))]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        *[F.col(c).alias(x) for c, x in zip(carry, carried, strict=True)],

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from heldout.llm import common
 from heldout.llm.bpe import Bpe, Remembered, _sent
+from heldout.session import ship
 
 MAGIC = b"HOTOKEN1"
 #: Ids that a shard holds, unless one document alone has more.
@@ -240,6 +241,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Rows (part, seq, doc_id, at, n_tokens, ids) of a dataset: ``at`` counts
     the ids of the documents before in the same shard, ``ids`` are
     little-endian u32."""
+    ship(spark)
     return spark.read.schema(_SHARD).parquet(path).select("part", "seq", "payload").mapInArrow(
         _unpack, "part int, seq int, doc_id long, at long, n_tokens long, ids binary")
 
