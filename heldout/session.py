@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    their Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_heldout_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="heldout-")) / "heldout_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._heldout_shipped = True
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path for a stored table, in this application's folder below the
     checkpoint folder.  The file system deletes it when the application ends."""
