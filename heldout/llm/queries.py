@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heldout.llm import bpe, fingerprint, langid, mixing, tokenfile
+from heldout.llm import bpe, chat, fingerprint, langid, mixing, tokenfile
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
 from heldout.session import scratch_path
@@ -39,6 +39,21 @@ def op3_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts are full of marks, formatted and
+    read back."""
+    columns = ("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(F.lit(-7).cast("long"), "id", F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") + 1).cast("int")),
+                                   F.lit("</s>[INST] ok [/INST]")).toDF(*columns)
+    turns = _table(spark, sf_dir, "conversations", *columns).unionByName(marked)
+    back = chat.read_back(chat.format_examples(turns))
+    shown = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(shown.cast("binary"), 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+                       "formatted_chars")
+
+
 #: Levels of the budget tree and target weights of their nodes (1 if not named).
 MIX_LEVELS = ("domain", "lang", "source")
 MIX_WEIGHTS = {"domain": {"web": 4, "books": 3, "forum": 2, "news": 1},
@@ -92,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op3_crf_language_id": op3_crf_language_id,
+    "op5_prefix_target_chat": op5_prefix_target_chat,
     "op7_hierarchical_mix": op7_hierarchical_mix,
     "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
@@ -116,7 +132,25 @@ def _mix_level(i: int) -> str:
       ELSE w * max(CASE WHEN ratio > lvl THEN lvl END) OVER ({by.strip()}) END AS budget FROM step{i}),"""
 
 
+#: Marks of the chat template, as a pattern of what follows their first sign.
+_MARK_SQL = r"'([<\[])(\\*)(/?SYS\]|/?INST\]|/?ROLE\]|/TURN\]|/?s>)', '\1\2\\\3', 'g'"
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_prefix_target_chat": f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+  sized AS (SELECT *, length(regexp_replace(text, {_MARK_SQL})) + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15
+      WHEN 'assistant' THEN 7 ELSE 20 + length(regexp_replace(role, {_MARK_SQL})) END AS size FROM turns),
+  running AS (SELECT *, sum(size) OVER w AS upto, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS last
+    FROM sized WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(CASE WHEN role = 'assistant' OR last THEN upto ELSE 0 END)::BIGINT AS formatted_chars
+FROM running GROUP BY conv_id
+""",
     "op7_hierarchical_mix": f"""
 WITH docs AS (
     SELECT doc_id, lang, source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens,
