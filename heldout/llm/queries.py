@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heldout.llm import bpe, chat, fingerprint, langid, mixing, tokenfile
+from heldout.llm import bpe, chat, fingerprint, langid, mixing, tokenfile, urlfilter
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
 from heldout.session import scratch_path
@@ -54,6 +54,34 @@ def op5_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+def _number(column) -> F.Column:
+    """A number below 2^24 drawn from a text."""
+    return F.conv(F.substring(F.md5(column), 1, 6), 16, 10).cast("int")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Stand-in for a table that the test data lacks: dated entries of a block
+    and an allow list, for some of the domains, folders and URLs of pages."""
+    keys = (pages.select(F.inline(urlfilter.url_keys(F.col("url")))).select("kind", "key").distinct()
+            .withColumn("n", _number(F.concat_ws(" ", "kind", "key"))))
+    def entry(name, action, offset, every):
+        return F.when(F.col("n") % every == 0, F.struct(
+            F.lit(name).alias("list"), F.lit(action).alias("action"),
+            F.date_add(F.lit("2024-01-01").cast("date"), F.col("n") % 290 + offset).alias("day")))
+    changes = F.array(entry("block", "add", 0, 3), entry("block", "remove", 45, 6), entry("block", "add", 80, 12),
+                      entry("allow", "add", 20, 15), entry("allow", "remove", 70, 30))
+    return (keys.select("kind", "key", F.explode(changes).alias("change")).where("change is not null")
+            .select("kind", "key", "change.list", "change.action", "change.day"))
+
+
+def op6_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, judged by the list entries that were valid when each was
+    fetched (the day is a stand-in drawn from page_id)."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url")
+    captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), _number(F.col("page_id").cast("string")) % 365))
+    return urlfilter.judge(captures, list_entries(pages))
+
+
 #: Levels of the budget tree and target weights of their nodes (1 if not named).
 MIX_LEVELS = ("domain", "lang", "source")
 MIX_WEIGHTS = {"domain": {"web": 4, "books": 3, "forum": 2, "news": 1},
@@ -108,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op3_crf_language_id": op3_crf_language_id,
     "op5_prefix_target_chat": op5_prefix_target_chat,
+    "op6_temporal_url_filter": op6_temporal_url_filter,
     "op7_hierarchical_mix": op7_hierarchical_mix,
     "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
@@ -150,6 +179,35 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(CASE WHEN role = 'assistant' OR last THEN upto ELSE 0 END)::BIGINT AS formatted_chars
 FROM running GROUP BY conv_id
+""",
+    "op6_temporal_url_filter": r"""
+WITH parts AS (
+    SELECT page_id, regexp_extract(trim(url), '^(?i:[a-z][a-z0-9+.-]*):(?://)?(?:[^/?#@]*@)?([^/:?#]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?',
+      ['host', 'port', 'path', 'query']) AS u FROM pages),
+  named AS (SELECT page_id, rtrim(lower(u.host), '.') AS host, CASE WHEN u.port IN ('', '80', '443') THEN '' ELSE ':' || u.port END AS port,
+      CASE WHEN u.path = '' THEN '/' ELSE u.path END AS path, u.query AS query FROM parts),
+  keys AS (
+    SELECT page_id, 'domain' AS kind, array_to_string(l[i:], '.') AS key, len(l) - i AS rank
+    FROM (SELECT page_id, string_split(host, '.') AS l, unnest(range(1, greatest(2, len(string_split(host, '.'))))) AS i FROM named WHERE host <> '')
+    UNION ALL
+    SELECT page_id, 'folder', host || port || array_to_string(s[1:i], '/') || '/', 1000 + i
+    FROM (SELECT page_id, host, port, string_split(path, '/') AS s, unnest(range(1, greatest(2, len(string_split(path, '/'))))) AS i FROM named WHERE host <> '')
+    UNION ALL SELECT page_id, 'url', host || port || path || query, 1000000 FROM named WHERE host <> ''),
+  numbered AS (SELECT DISTINCT kind, key, ('0x' || substr(md5(kind || ' ' || key), 1, 6))::INT AS n FROM keys),
+  entries AS (SELECT kind, key, list, action, DATE '2024-01-01' + (n % 290 + later)::INT AS day FROM numbered,
+      (VALUES ('block', 'add', 0, 3), ('block', 'remove', 45, 6), ('block', 'add', 80, 12), ('allow', 'add', 20, 15), ('allow', 'remove', 70, 30))
+      c(list, action, later, every) WHERE n % every = 0),
+  days AS (SELECT list, kind, key, day, max(action) AS action FROM entries GROUP BY ALL),
+  valid AS (SELECT * FROM (SELECT *, lead(day) OVER (PARTITION BY list, kind, key ORDER BY day) AS until FROM days) WHERE action = 'add'),
+  captures AS (SELECT page_id, DATE '2024-01-01' + (('0x' || substr(md5(page_id::VARCHAR), 1, 6))::INT % 365)::INT AS fetched FROM pages),
+  met AS (SELECT page_id, list, rank, key FROM captures JOIN keys USING (page_id) JOIN valid USING (kind, key)
+    WHERE day <= fetched AND (until IS NULL OR fetched < until)),
+  judged AS (SELECT page_id, count(*) FILTER (WHERE list = 'block') AS b, count(*) FILTER (WHERE list = 'allow') AS a,
+      max(rank) FILTER (WHERE list = 'block') AS br, max(rank) FILTER (WHERE list = 'allow') AS ar, max({'rank': rank, 'key': key}) AS top
+    FROM met GROUP BY page_id)
+SELECT page_id, fetched, coalesce(b, 0)::BIGINT AS n_block, coalesce(a, 0)::BIGINT AS n_allow,
+  coalesce(br > coalesce(ar, -1), false) AS blocked, top.key AS by_key
+FROM captures LEFT JOIN judged USING (page_id)
 """,
     "op7_hierarchical_mix": f"""
 WITH docs AS (
