@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from heldout.llm import bpe, chat, fingerprint, langid, mixing, tokenfile, urlfilter
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
+from heldout.llm.rpforest import near_vectors
 from heldout.session import scratch_path
 
 
@@ -39,6 +40,11 @@ def op3_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_rp_forest_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all embeddings with cosine 0.9 or more."""
+    return near_vectors(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), threshold=0.9)
+
+
 def op5_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are full of marks, formatted and
     read back."""
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op3_crf_language_id": op3_crf_language_id,
+    "op4_rp_forest_near_dedup": op4_rp_forest_near_dedup,
     "op5_prefix_target_chat": op5_prefix_target_chat,
     "op6_temporal_url_filter": op6_temporal_url_filter,
     "op7_hierarchical_mix": op7_hierarchical_mix,
