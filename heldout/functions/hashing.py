@@ -24,8 +24,9 @@ def is_train(id_col: str | Column) -> Column:
 
 
 def fold_of(id_col: str | Column, k: int) -> Column:
-    """Fold number 0..k-1 from the first two hex digits of md5(id)."""
+    """Fold number 0..k-1 from 15 hex digits of md5(id), the third and on, so
+    that folds are even for any k and independent of the train/test split."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    first_byte = F.conv(F.substring(_md5_of(id_col), 1, 2), 16, 10).cast("int")
-    return F.pmod(first_byte, F.lit(k)).cast("int")
+    number = F.conv(F.substring(_md5_of(id_col), 3, 15), 16, 10).cast("long")
+    return F.pmod(number, F.lit(k)).cast("int")

@@ -22,7 +22,7 @@ def word_count(text: str | Column) -> Column:
 def line_count(text: str | Column) -> Column:
     """Number of lines: newline characters plus one."""
     col = F.col(text) if isinstance(text, str) else text
-    return F.length(col) - F.length(F.regexp_replace(col, "\n", "")) + 1
+    return F.length(col) - F.length(F.replace(col, F.lit("\n"), F.lit(""))) + 1
 
 
 def log_length(n_chars: str | Column) -> Column:

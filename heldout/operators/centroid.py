@@ -2,57 +2,87 @@
 
 Centroids come from Spark ML's ``Summarizer.mean`` grouped by class: a
 partially aggregated vector sum, so no row is exploded per dimension.  The
-model (classes x dimensions) is checked in size and kept on the driver;
-scoring computes squared distances with higher-order array functions against
-literal centroid arrays, inside the scan's stage.
+model (classes x dimensions) is checked in size, kept on the driver and
+broadcast; scoring is a matrix product over Arrow batches, in the scan's stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heldout.session import materialize
+from heldout.session import materialize, ship
 
-# Centroids are inlined into the plan as literal arrays, so at
-# most this many classes and this many centroid values in total.
-MAX_CLASSES = 1_000
-MAX_MODEL_VALUES = 100_000
+# Limits of a model's size unless the caller says otherwise (the
+# values are doubles on the driver and in each Python worker).
+MAX_CLASSES = 10_000
+MAX_MODEL_VALUES = 20_000_000
+
+
+def nearest(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Place of the nearest centroid of each vector; ties go to the first.
+
+    The matrix product settles all but near ties, which are compared by the
+    sum of squared differences itself.
+    """
+    square = (centroids ** 2).sum(axis=1)
+    out = np.empty(len(vectors), dtype=np.int64)
+    for start in range(0, len(vectors), 256):
+        part = vectors[start:start + 256]
+        far = square[None, :] - 2 * (part @ centroids.T)
+        best = far.min(axis=1)
+        doubt = 1e-9 * (1 + square.max() + (part ** 2).sum(axis=1))
+        close = far <= (best + doubt)[:, None]
+        out[start:start + 256] = far.argmin(axis=1)
+        for i in np.flatnonzero(close.sum(axis=1) > 1):
+            at = np.flatnonzero(close[i])
+            out[start + i] = at[((part[i] - centroids[at]) ** 2).sum(axis=1).argmin()]
+    return out
 
 
 @dataclass(frozen=True)
 class CentroidModel:
     feature_col: str
     classes: tuple
-    centroids: tuple[tuple[float, ...], ...]
-
-    def squared_distance(self, k: int) -> Column:
-        centre = F.array(*[F.lit(float(v)) for v in self.centroids[k]])
-        diffs = F.zip_with(F.col(self.feature_col), centre,
-                           lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-        return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v)
-
-    def predict(self) -> Column:
-        """Class of the nearest centroid; ties go to the smallest class."""
-        best = F.least(*[
-            F.struct(self.squared_distance(k).alias("d"), F.lit(k).alias("k"),
-                     F.lit(c).alias("c"))
-            for k, c in enumerate(self.classes)
-        ]) if len(self.classes) > 1 else F.struct(F.lit(self.classes[0]).alias("c"))
-        return best.getField("c")
+    centroids: np.ndarray
 
     def transform(self, df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
-        return df.withColumn(prediction_col, self.predict())
+        """Adds the class of the nearest centroid; ties go to the smallest
+        class.  A null vector, one of another length, or one with a null or NaN
+        entry has none (null)."""
+        spark = df.sparkSession
+        ship(spark)
+        sent = spark.sparkContext.broadcast(self.centroids)
+
+        @F.pandas_udf("int")
+        def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            centroids = sent.value
+            for vectors in batches:
+                out = pd.Series([None] * len(vectors), dtype="Int32")
+                rows = [i for i, v in enumerate(vectors) if v is not None and len(v) == centroids.shape[1]]
+                if rows and len(centroids):
+                    found = np.array([np.asarray(vectors.iloc[i], dtype=float) for i in rows])
+                    sound = ~np.isnan(found).any(axis=1)
+                    out.iloc[np.array(rows)[sound]] = nearest(found[sound], centroids) + 1
+                yield out
+
+        names: Column = F.array(*[F.lit(c) for c in self.classes])
+        return df.withColumn(prediction_col, F.element_at(names, place(F.col(self.feature_col))))
 
 
 def fit_centroids(df: DataFrame, feature_col: str, label_col: str,
-                  max_classes: int = MAX_CLASSES) -> CentroidModel:
+                  max_classes: int = MAX_CLASSES, max_values: int = MAX_MODEL_VALUES) -> CentroidModel:
+    """Mean vector of each class, over the rows that have a label and a vector.
+    More classes or values than the limits are an error."""
     means = materialize(
-        df.where(F.col(label_col).isNotNull())
+        df.where(F.col(label_col).isNotNull() & F.col(feature_col).isNotNull())
         .groupBy(label_col)
         .agg(Summarizer.mean(array_to_vector(F.col(feature_col))).alias("_mean"))
         .select(label_col, vector_to_array("_mean").alias("_mean"))
@@ -62,11 +92,8 @@ def fit_centroids(df: DataFrame, feature_col: str, label_col: str,
                      F.sum(F.size("_mean")).alias("values")).first()
     if size["k"] > max_classes:
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
-    if (size["values"] or 0) > MAX_MODEL_VALUES:
-        raise ValueError("too many centroid values to score as column expressions")
+    if (size["values"] or 0) > max_values:
+        raise ValueError(f"more than {max_values} centroid values")
     rows = sorted(means.collect(), key=lambda r: r[label_col])
-    return CentroidModel(
-        feature_col=feature_col,
-        classes=tuple(r[label_col] for r in rows),
-        centroids=tuple(tuple(r["_mean"]) for r in rows),
-    )
+    return CentroidModel(feature_col, tuple(r[label_col] for r in rows),
+                         np.array([r["_mean"] for r in rows], dtype=float).reshape(len(rows), -1))

@@ -18,18 +18,10 @@ from pyspark.sql import functions as F
 
 from heldout.functions import fold_of
 from heldout.operators.naive_bayes import (
-    MAX_CLASSES, VAR_SMOOTHING, GaussianNBModel, model_from_statistics,
+    MAX_CLASSES, VAR_SMOOTHING, GaussianNBModel, class_statistics, model_from_statistics,
 )
 
 
-def fold_statistics(df: DataFrame, label_col: str, features: Sequence[str]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for feat in features:
-        x = F.col(feat).cast("double")
-        aggs += [F.avg(x).alias(f"mean_{feat}"), F.var_pop(x).alias(f"var_{feat}")]
-    return df.groupBy("fold", label_col).agg(*aggs)
-
-
 def merge_moments(parts: Sequence[tuple[int, float, float]]) -> tuple[int, float, float]:
     """Combine (count, mean, population variance) of disjoint row sets."""
     n, mean, m2 = 0, 0.0, 0.0
@@ -72,22 +64,17 @@ def kfold_predictions(df: DataFrame, id_col: str, label_col: str,
                       features: Sequence[str], k: int = 5,
                       max_classes: int = MAX_CLASSES) -> DataFrame:
     """``df`` plus ``fold`` and ``prediction`` (by the model not trained on
-    the row's fold); for classes {0, 1} also ``score``, that model's log odds
-    of class 1."""
+    the row's fold) and ``score``, that model's log odds of class 1 over class
+    0 (null if the other folds lack either)."""
     with_fold = df.withColumn("fold", fold_of(id_col, k))
-    stats = fold_statistics(with_fold.where(F.col(label_col).isNotNull()), label_col, features)
+    stats = class_statistics(with_fold.where(F.col(label_col).isNotNull()), label_col, features, ["fold"])
     rows = stats.limit(k * max_classes + 1).collect()
     if len(rows) > k * max_classes:
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     models = fold_models(rows, k, label_col, features)
     pred: Column = F.lit(None)
+    score: Column = F.lit(None).cast("double")
     for f, model in sorted(models.items()):
         pred = F.when(F.col("fold") == F.lit(f), model.predict()).otherwise(pred)
-    out = with_fold.withColumn("prediction", pred)
-    binary = all(set(m.classes) == {0, 1} for m in models.values())
-    if binary:
-        score: Column = F.lit(None).cast("double")
-        for f, model in sorted(models.items()):
-            score = F.when(F.col("fold") == F.lit(f), model.log_odds(1, 0)).otherwise(score)
-        out = out.withColumn("score", score)
-    return out
+        score = F.when(F.col("fold") == F.lit(f), model.log_odds(1, 0)).otherwise(score)
+    return with_fold.withColumn("prediction", pred).withColumn("score", score)

@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heldout.operators.joins import join_checked
 from heldout.operators.ranking import global_row_index
 from heldout.session import materialize
 
-# The largest number of distinct values a one-hot pivot may
-# turn into columns (the same default as Spark's spark.sql.pivotMaxValues),
-# and the most values counted as separate conditional aggregates.
+# Fixed value: the largest number of distinct values turned into columns unless
+# the caller says otherwise (the default of Spark's spark.sql.pivotMaxValues).
 MAX_ONE_HOT_VALUES = 10_000
-MAX_CONDITIONAL_COUNTS = 200
 
 
 def frequency_index(df: DataFrame, col: str, index_col: str | None = None,
@@ -22,7 +19,7 @@ def frequency_index(df: DataFrame, col: str, index_col: str | None = None,
 
     Counting is a partially aggregated ``groupBy``; the ranking is a global
     row index over the count table computed without a single-task window, so
-    a high-cardinality column works too.  The table is checkpointed.
+    a high-cardinality column works too.  The table is stored.
     """
     index_col = index_col or f"{col}_index"
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(
@@ -34,7 +31,7 @@ def frequency_index(df: DataFrame, col: str, index_col: str | None = None,
 
 def apply_index(df: DataFrame, col: str, index: DataFrame, index_col: str) -> DataFrame:
     """Add ``index_col`` to every row (null for values not in the index)."""
-    return join_checked(df, index.select(col, index_col), [col], how="left")
+    return df.join(index.select(col, index_col), col, "left")
 
 
 def pivot_values(df: DataFrame, col: str, max_values: int = MAX_ONE_HOT_VALUES) -> list:
@@ -51,16 +48,13 @@ def one_hot_counts(df: DataFrame, key_col: str, col: str,
     """One row per key, one column per value of ``col`` holding how many of
     the key's rows have that value (0 when none).
 
-    Up to ``MAX_CONDITIONAL_COUNTS`` values this is one grouped aggregation
-    of conditional counts: a single shuffle on the key, with partial
-    aggregation, so a hot key is pre-combined in every task.  Beyond that the
-    aggregate would be too wide to compile well, and Spark's pivot is used:
-    it shuffles twice (on key and value, then on key), both pre-combined.
+    A single grouped aggregation of conditional counts: one shuffle on the
+    key, pre-combined, so a hot key is combined in every task.  Columns are
+    named by the values' text; nulls of ``col`` have no column.  More than
+    ``max_values`` values, a documented limit of the caller's choice, are an
+    error, since each is a column of the result.
     """
     values = pivot_values(df, col, max_values)
-    if len(values) <= MAX_CONDITIONAL_COUNTS:
-        return df.groupBy(key_col).agg(*[
-            F.count(F.when(F.col(col) == F.lit(v), 1)).alias(str(v)) for v in values
-        ])
-    counts = df.groupBy(key_col).pivot(col, values).agg(F.count(F.lit(1)))
-    return counts.na.fill(0, subset=[str(v) for v in values])
+    return df.groupBy(key_col).agg(*[
+        F.count(F.when(F.col(col) == F.lit(v), 1)).alias(str(v)) for v in values
+    ]) if values else df.select(key_col).distinct()

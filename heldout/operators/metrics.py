@@ -5,6 +5,9 @@
 one row per distinct score with positive and negative counts, then needs the
 number of negatives below each score, a global running total computed by
 ``running_totals`` without putting all scores in one task.
+
+One rule holds for both: a row counts if it has a label and a prediction (or
+score).  Rows that lack either are counted in ``n_skipped`` and nowhere else.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heldout.operators.joins import join_checked
 from heldout.operators.ranking import running_totals
 from heldout.session import materialize
 
@@ -26,7 +28,7 @@ def _safe_div(num: Column, den: Column) -> Column:
 
 def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
                       positive=1, group_cols: Sequence[str] = ()) -> DataFrame:
-    """tp, fp, tn, fn, n, accuracy, precision, recall, f1, mcc.
+    """tp, fp, tn, fn, n, n_skipped, accuracy, precision, recall, f1, mcc.
 
     Ratios with a zero denominator are null.  They are quotients of exact
     integer counts, so they are not rounded.
@@ -42,6 +44,7 @@ def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
         count_if(~actual & predicted).alias("fp"),
         count_if(~actual & ~predicted).alias("tn"),
         count_if(actual & ~predicted).alias("fn"),
+        count_if(F.col(label_col).isNull() | F.col(prediction_col).isNull()).alias("n_skipped"),
     )
     tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
@@ -51,7 +54,7 @@ def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
     mcc = _safe_div(tp * tn - fp * fn,
                     F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)))
     return counts.select(
-        *group_cols, "tp", "fp", "tn", "fn", n.cast("long").alias("n"),
+        *group_cols, "tp", "fp", "tn", "fn", n.cast("long").alias("n"), "n_skipped",
         _safe_div(tp + tn, n).alias("accuracy"),
         precision.alias("precision"),
         recall.alias("recall"),
@@ -62,19 +65,23 @@ def confusion_metrics(df: DataFrame, label_col: str, prediction_col: str,
 
 def score_counts(df: DataFrame, label_col: str, score_col: str, positive=1,
                  group_cols: Sequence[str] = ()) -> DataFrame:
-    """One row per group and distinct score: positives and negatives."""
+    """One row per group and distinct score: positives, negatives and rows
+    skipped for want of a label; the row of the null score has those skipped
+    for want of a score."""
     is_pos = F.col(label_col) == F.lit(positive)
-    return df.where(F.col(score_col).isNotNull()).groupBy(
+    counts = F.col(label_col).isNotNull() & F.col(score_col).isNotNull()
+    return df.groupBy(
         *group_cols, F.col(score_col).cast("double").alias("score")
     ).agg(
-        F.sum(F.when(is_pos, 1).otherwise(0)).cast("long").alias("pos"),
-        F.sum(F.when(is_pos, 0).otherwise(1)).cast("long").alias("neg"),
+        F.count(F.when(counts & is_pos, 1)).alias("pos"),
+        F.count(F.when(counts & ~is_pos, 1)).alias("neg"),
+        F.count(F.when(~counts, 1)).alias("skipped"),
     )
 
 
 def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
             group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
-    """Per group (or overall): n_pos, n_neg, auc.
+    """Per group (or overall): n_pos, n_neg, n_skipped, auc.
 
     Exact; a tied (positive, negative) pair counts one half.  The negatives
     below each score are a running total in (group, score) order over all
@@ -92,16 +99,17 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, positive=1,
         with_below = with_below.withColumn("_gk", F.struct(*group_cols))
         starts = materialize(with_below.groupBy("_gk").agg(
             F.min("neg_before").alias("_start")))
-        with_below = join_checked(with_below, starts, ["_gk"]).withColumn(
+        with_below = with_below.join(starts, "_gk").withColumn(
             "neg_before", F.col("neg_before") - F.col("_start"))
     credit = F.col("pos").cast("double") * (
         F.col("neg_before").cast("double") + F.col("neg").cast("double") / 2.0)
     totals = with_below.groupBy(*group_cols).agg(
         F.sum("pos").cast("long").alias("n_pos"),
         F.sum("neg").cast("long").alias("n_neg"),
+        F.sum("skipped").cast("long").alias("n_skipped"),
         F.sum(credit).alias("_credit"),
     )
     return totals.select(
-        *group_cols, "n_pos", "n_neg",
-        _safe_div(F.col("_credit"), F.col("n_pos") * F.col("n_neg")).alias("auc"),
+        *group_cols, "n_pos", "n_neg", "n_skipped",
+        _safe_div(F.col("_credit"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double")).alias("auc"),
     )

@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heldout.functions import is_train, line_count, log_length, word_count
+from heldout.functions import is_train, line_count, log_length
 from heldout.operators.metrics import roc_auc
 from heldout.sources import labelled_documents
 from heldout.session import materialize
@@ -34,8 +34,9 @@ SEED = 7
 
 
 def text_features(docs: DataFrame, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
-    """doc_id and one vector: hashed lower-cased term counts of the whole text
-    plus log length, word count and line count."""
+    """doc_id, one vector (hashed lower-cased term counts of the whole text,
+    log length, word count, line count), and log_chars and n_words on their
+    own.  The text is split once; its words are counted from the tokens."""
     tokens = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=TOKEN_SPLIT,
                             toLowercase=True).transform(docs)
     hashed = HashingTF(inputCol="tokens", outputCol="terms",
@@ -43,17 +44,17 @@ def text_features(docs: DataFrame, num_features: int = NUM_TEXT_FEATURES) -> Dat
     numeric = hashed.select(
         "doc_id", "terms",
         log_length("n_chars").alias("log_chars"),
-        word_count("text").cast("double").alias("n_words"),
+        F.size("tokens").cast("double").alias("n_words"),
         line_count("text").cast("double").alias("n_lines"),
     )
     return VectorAssembler(
         inputCols=["terms", "log_chars", "n_words", "n_lines"], outputCol="features"
-    ).transform(numeric).select("doc_id", "features")
+    ).transform(numeric).select("doc_id", "features", "log_chars", "n_words")
 
 
 def text_feature_table(spark, sf_dir: str, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
-    """doc_id, features, quality, toxic, is_train for labelled documents;
-    checkpointed, so every fit reads vectors instead of texts."""
+    """doc_id, features, log_chars, n_words, quality, toxic, is_train for
+    labelled documents; stored, so every fit reads vectors instead of texts."""
     table = labelled_documents(
         spark, sf_dir, feature_builder=lambda raw: text_features(raw, num_features))
     return materialize(table.withColumn("is_train", is_train("doc_id")))
@@ -83,31 +84,31 @@ def holdout_auc(table: DataFrame, kinds: Sequence[str], targets: Sequence[str],
 
     The (model, target) fits are independent, so up to ``parallelism`` of them
     are submitted at once from driver threads, as Spark ML's
-    ``CrossValidator(parallelism=...)`` does.  Every fitted model scores the
-    held-out rows; the scores of all models and targets are stacked and
-    measured by one grouped ROC pass.
+    ``CrossValidator(parallelism=...)`` does; they share one persisted copy of
+    the training vectors.  The held-out rows are read once: each fitted model
+    adds its score to the same row, and the scores of all models and targets
+    are measured by one grouped ROC pass.
     """
-    test = table.where(~F.col("is_train"))
+    train = table.where("is_train").select("features", *[
+        F.col(t).cast("double").alias(f"label_{t}") for t in targets]).persist()
 
     def fit(task):
         kind, target = task
-        train = table.where("is_train").withColumn("label", F.col(target).cast("double"))
-        return kind, target, _estimator(kind, "label").fit(train)
+        return _estimator(kind, f"label_{target}").fit(train)
 
     tasks = [(kind, target) for target in targets for kind in kinds]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(fit, tasks))
-    scored_parts = [
-        model.transform(test).select(
-            F.lit(kind).alias("model"), F.lit(target).alias("target"),
-            F.col(target).alias("actual"),
-            vector_to_array("probability")[1].alias("score"),
-        )
-        for kind, target, model in fitted
-    ]
-    scored = scored_parts[0]
-    for part in scored_parts[1:]:
-        scored = scored.unionByName(part)
-    auc = roc_auc(scored, "actual", "score", group_cols=["model", "target"])
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fitted = list(pool.map(fit, tasks))
+    finally:
+        train.unpersist()
+    scored = table.where(~F.col("is_train")).select("features", *targets)
+    for i, model in enumerate(fitted):
+        scored = (model.setRawPredictionCol(f"raw_{i}").setProbabilityCol(f"probability_{i}")
+                  .setPredictionCol(f"prediction_{i}").transform(scored).drop(f"raw_{i}", f"prediction_{i}"))
+    each = [F.struct(F.lit(kind).alias("model"), F.lit(target).alias("target"), F.col(target).alias("actual"),
+                     vector_to_array(f"probability_{i}")[1].alias("score"))
+            for i, (kind, target) in enumerate(tasks)]
+    auc = roc_auc(scored.select(F.inline(F.array(*each))), "actual", "score", group_cols=["model", "target"])
     return auc.select("model", "target", (F.col("n_pos") + F.col("n_neg")).alias("n_test"),
                       "n_pos", "n_neg", "auc")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 # variance (over all training rows) to every class variance.
 VAR_SMOOTHING = 1e-9
 # Scoring inlines classes x features constants into the plan, so the model
-# size is bounded: at most this many classes and this many constants.
+# size has limits; both are parameters of ``fit_gaussian_nb``.
 MAX_CLASSES = 1_000
 MAX_MODEL_VALUES = 100_000
 
@@ -35,28 +35,35 @@ class GaussianNBModel:
     variances: tuple[tuple[float, ...], ...]
 
     def joint_log_likelihood(self, k: int) -> Column:
-        """log P(class k) + sum_j log N(x_j; mean_kj, var_kj)."""
+        """log P(class k) + sum_j log N(x_j; mean_kj, var_kj); null where a
+        feature is null or NaN."""
         const = self.log_priors[k] - 0.5 * sum(
             math.log(2.0 * math.pi * v) for v in self.variances[k])
         expr = F.lit(const)
         for j, feat in enumerate(self.features):
-            diff = F.col(feat).cast("double") - F.lit(self.means[k][j])
+            x = F.col(feat).cast("double")
+            diff = F.when(~F.isnan(x), x) - F.lit(self.means[k][j])
             expr = expr - diff * diff / F.lit(2.0 * self.variances[k][j])
         return expr
 
     def predict(self) -> Column:
-        """Class with the largest likelihood; ties go to the smallest class."""
+        """Class with the largest likelihood; ties go to the smallest class.
+        Null where a feature is null or NaN."""
+        known = self.joint_log_likelihood(0).isNotNull()
         if len(self.classes) == 1:
-            return F.lit(self.classes[0])
+            return F.when(known, F.lit(self.classes[0]))
         best = F.greatest(*[
             F.struct(self.joint_log_likelihood(k).alias("s"),
                      F.lit(-k).alias("neg_k"), F.lit(c).alias("c"))
             for k, c in enumerate(self.classes)
         ])
-        return best.getField("c")
+        return F.when(known, best.getField("c"))
 
     def log_odds(self, positive, negative) -> Column:
-        """Log posterior odds of ``positive`` over ``negative``."""
+        """Log posterior odds of ``positive`` over ``negative``; null where a
+        feature is missing, or where either class was not in the training rows."""
+        if positive not in self.classes or negative not in self.classes:
+            return F.lit(None).cast("double")
         kp = self.classes.index(positive)
         kn = self.classes.index(negative)
         return self.joint_log_likelihood(kp) - self.joint_log_likelihood(kn)
@@ -65,13 +72,17 @@ class GaussianNBModel:
         return df.withColumn(prediction_col, self.predict())
 
 
-def class_statistics(df: DataFrame, label_col: str, features: Sequence[str]) -> DataFrame:
-    """One row per class: count, mean and population variance per feature."""
+def class_statistics(df: DataFrame, label_col: str, features: Sequence[str],
+                     by: Sequence[str] = ()) -> DataFrame:
+    """One row per class (within each value of ``by``): count, mean and
+    population variance per feature.  Rows with a missing feature are left out."""
+    for feat in features:
+        df = df.where(F.col(feat).isNotNull() & ~F.isnan(F.col(feat).cast("double")))
     aggs = [F.count(F.lit(1)).alias("n")]
     for feat in features:
         x = F.col(feat).cast("double")
         aggs += [F.avg(x).alias(f"mean_{feat}"), F.var_pop(x).alias(f"var_{feat}")]
-    return df.groupBy(label_col).agg(*aggs)
+    return df.groupBy(*by, label_col).agg(*aggs)
 
 
 def model_from_statistics(rows, label_col: str, features: Sequence[str],
@@ -101,13 +112,16 @@ def model_from_statistics(rows, label_col: str, features: Sequence[str],
 
 def fit_gaussian_nb(df: DataFrame, label_col: str, features: Sequence[str],
                     var_smoothing: float = VAR_SMOOTHING,
-                    max_classes: int = MAX_CLASSES) -> GaussianNBModel:
+                    max_classes: int = MAX_CLASSES,
+                    max_values: int = MAX_MODEL_VALUES) -> GaussianNBModel:
+    """Fit on the rows that have a label and all features.  More classes than
+    ``max_classes`` or constants than ``max_values`` are an error."""
     stats = class_statistics(df.where(F.col(label_col).isNotNull()), label_col, features)
     rows = stats.limit(max_classes + 1).collect()
     if len(rows) > max_classes:
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     if not rows:
         raise ValueError("no training rows")
-    if len(rows) * len(features) * 2 > MAX_MODEL_VALUES:
+    if len(rows) * len(features) * 2 > max_values:
         raise ValueError("model too large to score as column expressions")
     return model_from_statistics(rows, label_col, features, var_smoothing)

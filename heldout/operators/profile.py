@@ -1,21 +1,21 @@
 """Table summaries: column profile, class balance, correlations.
 
-Each is one aggregation pass with partial (map-side) aggregation; the small
-result is then reshaped to one row per column / class / pair.
+Each is an aggregation with partial (map-side) aggregation; the small result
+is then reshaped to one row per column / class / pair.  Nothing is rounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _rows_from_wide(wide: DataFrame, entries: list[tuple[list, str]]) -> DataFrame:
+def _rows_from_wide(wide: DataFrame, entries: list[list]) -> DataFrame:
     """Turn the one-row ``wide`` frame into one row per entry."""
-    structs = [F.struct(*cols) for cols, _ in entries]
-    return wide.select(F.inline(F.array(*structs)))
+    return wide.select(F.inline(F.array(*[F.struct(*cols) for cols in entries])))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -26,92 +26,64 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     shuffle and counts them per column afterwards.  Kept apart from the other
     statistics, whose buffers would otherwise ride along on every expanded row.
     """
-    wide = df.agg(*[F.count_distinct(F.col(c).cast("double")).alias(f"{c}__distinct")
-                    for c in columns])
-    return _rows_from_wide(wide, [([
-        F.lit(c).alias("column_name"),
-        F.col(f"{c}__distinct").cast("long").alias("n_distinct"),
-    ], c) for c in columns])
+    wide = df.agg(*[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)])
+    return _rows_from_wide(wide, [
+        [F.lit(c).alias("column_name"), F.col(f"d{i}").cast("long").alias("n_distinct")]
+        for i, c in enumerate(columns)])
 
 
-def column_profile(df: DataFrame, columns: Sequence[str], digits: int = 6,
+def column_profile(df: DataFrame, columns: Sequence[str],
                    approx_distinct_rsd: float | None = None) -> DataFrame:
     """One row per column: n, n_null, n_distinct, min, max, mean, stddev.
 
-    Numbers are cast to double.  The mean is the exact decimal(38, 6) sum of
-    the values, as a double, over the count, so it is the same bits in any
-    summation order; the sample deviation is rounded to ``digits`` places.
+    Counts, distinct counts, extremes are those of the column's own type.  The
+    extremes share one result column: it has the columns' type if they have
+    one in common, else they are cast to strings.  Mean (``avg``) and sample
+    deviation are doubles, null for columns that are not numbers.  NaN is a
+    value: it is counted, is the greatest, and makes mean and deviation NaN.
+
     Plain statistics come from one aggregation pass; exact distinct counts
     from a second (see ``distinct_counts``), and the two results, one row per
-    column each, are joined.
-
-    With ``approx_distinct_rsd`` set, distinct counts are HyperLogLog++
-    estimates with that relative standard deviation, taken in the first pass.
-    Their state is a few kilobytes per column however large the table, so
-    there is no second pass and no shuffle of distinct values.
+    column each, are joined.  With ``approx_distinct_rsd`` set, distinct counts
+    are HyperLogLog++ estimates with that relative standard deviation, taken in
+    the first pass.  Their state is a few kilobytes per column however large
+    the table, so there is no second pass and no shuffle of distinct values.
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"{c}__n"),
-            (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__null"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
-            F.sum(F.col(c).cast("decimal(38,6)")).alias(f"{c}__sum"),
-            F.stddev_samp(x).alias(f"{c}__std"),
-        ]
-    if approx_distinct_rsd is not None:
-        aggs += [F.approx_count_distinct(F.col(c).cast("double"), approx_distinct_rsd)
-                 .alias(f"{c}__distinct") for c in columns]
-    wide = df.agg(*aggs)
-    entries = [([
-        F.lit(c).alias("column_name"),
-        F.col(f"{c}__n").cast("long").alias("n"),
-        F.col(f"{c}__null").cast("long").alias("n_null"),
-        F.col(f"{c}__min").alias("min_value"),
-        F.col(f"{c}__max").alias("max_value"),
-        F.try_divide(F.col(f"{c}__sum").cast("double"), F.col(f"{c}__n")).alias("mean"),
-        F.round(F.col(f"{c}__std"), digits).alias("stddev"),
-    ], c) for c in columns]
-    if approx_distinct_rsd is not None:
-        for (cols, c) in entries:
-            cols.insert(3, F.col(f"{c}__distinct").cast("long").alias("n_distinct"))
-        return _rows_from_wide(wide, entries).select(
-            "column_name", "n", "n_null", "n_distinct", "min_value", "max_value",
-            "mean", "stddev")
-    stats = _rows_from_wide(wide, entries)
-    # Both sides have one row per profiled column.
-    distinct = F.broadcast(distinct_counts(df, columns))
-    return stats.join(distinct, "column_name", "left").select(
-        "column_name", "n", "n_null",
-        F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long").alias("n_distinct"),
-        "min_value", "max_value", "mean", "stddev",
-    )
+    kinds = {c: df.schema[c].dataType for c in columns}
+    shown = next(iter(kinds.values())) if len(set(kinds.values())) == 1 else T.StringType()
+    aggs, entries = [], []
+    for i, c in enumerate(columns):
+        x = F.col(c)
+        number = isinstance(kinds[c], T.NumericType)
+        aggs += [F.count(x).alias(f"n{i}"), (F.count(F.lit(1)) - F.count(x)).alias(f"null{i}"),
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
+                 (F.avg(x).cast("double") if number else F.first(F.lit(None).cast("double"))).alias(f"mean{i}"),
+                 (F.stddev_samp(x) if number else F.first(F.lit(None).cast("double"))).alias(f"std{i}")]
+        row = [F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"null{i}").alias("n_null"),
+               F.col(f"min{i}").cast(shown).alias("min_value"), F.col(f"max{i}").cast(shown).alias("max_value"),
+               F.col(f"mean{i}").alias("mean"), F.col(f"std{i}").alias("stddev")]
+        if approx_distinct_rsd is not None:
+            aggs.append(F.approx_count_distinct(x, approx_distinct_rsd).alias(f"d{i}"))
+            row.append(F.col(f"d{i}").alias("n_distinct"))
+        entries.append(row)
+    stats = _rows_from_wide(df.agg(*aggs), entries)
+    if approx_distinct_rsd is None:
+        # Both sides have one row per profiled column.
+        stats = stats.join(F.broadcast(distinct_counts(df, columns)), "column_name")
+    return stats.select("column_name", "n", "n_null", "n_distinct", "min_value", "max_value", "mean", "stddev")
 
 
 def class_balance(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:
-    """Rows and share of rows per combination of label values.
-
-    The share's total is a window over the aggregated result, which has one
-    row per label combination, not one row per input row.
-    """
-    counts = df.groupBy(*label_cols).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()
-    return counts.select(
-        *label_cols, "n",
-        (F.col("n") / F.sum("n").over(everything)).alias("share"),
-    )
+    """Rows and share of rows per combination of label values; the total is
+    one number."""
+    total = df.count()
+    return df.groupBy(*label_cols).agg(F.count(F.lit(1)).alias("n")).select(
+        *label_cols, "n", (F.col("n") / F.lit(float(total))).alias("share"))
 
 
-def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 9) -> DataFrame:
+def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson correlation for each column pair, in one pass."""
-    wide = df.agg(*[
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
-        for a, b in pairs
-    ])
-    entries = [([
-        F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-        F.round(F.col(f"{a}__{b}"), digits).alias("corr"),
-    ], a) for a, b in pairs]
-    return _rows_from_wide(wide, entries)
+    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
+                    for i, (a, b) in enumerate(pairs)])
+    return _rows_from_wide(wide, [[F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("corr")]
+                                  for i, (a, b) in enumerate(pairs)])

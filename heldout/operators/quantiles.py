@@ -2,158 +2,147 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer, so
 a group with a third of a 100 TB table would not fit.  This operator finds the
-values at the needed ranks by narrowing a value interval:
+values at the needed ranks by narrowing an interval of values around each:
 
 1. count, min and max per group (partial aggregation, one scan);
-2. each needed rank gets the interval [min, max]; while an interval still
-   holds more than ``finish_rows`` rows, one scan counts the rows of every open
-   interval into ``bins`` equal-width buckets (partially aggregated, so a hot
-   group is pre-aggregated in every task), and the rank moves to the bucket
-   that holds it, whose exact min and max become the new interval;
+2. while an interval still holds more than ``finish_rows`` rows, one scan takes
+   ``percentile_approx`` cut points of its rows, at equal steps of rank, and
+   one counts the rows below, at, between and above the two cuts around the
+   rank.  The rank moves into the part that holds it.  Cuts go by rank, so the
+   number of rounds does not depend on how the values are spread; rows
+   equal to a cut are a part of their own, so ties end a search;
 3. the at most ``finish_rows`` values of each final interval are numbered in
    order (a window sort), and the rows at the needed positions are kept.
 
-Each round strictly shrinks every open interval, and on smooth data divides
-its row count by about ``bins``, so a few scans suffice at any size.  The
-per-group statistics and the state after each round (one row per group and
-rank) are checkpointed.
+Joins of the data with intervals are salted by the task that read a row, and
+what they feed is aggregated, so a hot group is spread over ``salts`` parts and
+combined before it is shuffled by group.  Statistics and the state after each
+round (one row per group and rank) are stored.
 
-Result semantics equal ``percentile`` / ``quantile_cont``: with ``n`` values
-and fraction ``p``, ``h = (n - 1) p`` and the answer is
-``v[floor h] + (h - floor h) (v[ceil h] - v[floor h])`` over the sorted values.
-Nulls and NaN are ignored.
+With ``n`` values and fraction ``p``, ``h = (n - 1) p`` and the answer is
+``v[floor h] + (h - floor h) (v[ceil h] - v[floor h])`` over the sorted values;
+where the two are equal or ``h`` is whole it is the value itself.  Nulls are
+ignored.  NaN is greater than any other value and infinities are values, as in
+Spark's sort order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heldout.operators.joins import join_checked
-from heldout.session import ensure_checkpoint_dir, materialize
+from heldout.session import materialize, release
 
 _KEY = "_qkey"
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), bins: int = 4096,
-                    finish_rows: int = 1_000_000, max_rounds: int = 200) -> DataFrame:
+                    group_cols: Sequence[str] = (), steps: int = 1000,
+                    finish_rows: int = 1_000_000, salts: int = 64) -> DataFrame:
     """Return ``group_cols + [prob, value]``, one row per group and fraction.
 
-    Defaults: a group of 4e12 rows (a third of a 100 TB table) needs two
-    narrowing scans (4e12 / 4096 = 1e9, then about 2.4e5 rows, at most
-    ``finish_rows``), so four passes over the data in all.  The last step
-    sorts at most 1e6 doubles (8 MB) per interval in one task.
+    A round leaves about ``3 / steps`` of an interval's rows.  With the
+    defaults, a group of 4e12 rows (a third of a 100 TB table) needs three
+    rounds of two scans; the last step sorts at most 1e6 doubles (8 MB) per
+    interval in one task.
     """
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probs must be fractions in [0, 1]")
-    if bins < 2:
-        raise ValueError("bins must be at least 2")
-    ensure_checkpoint_dir(df.sparkSession)
+    if steps < 4:
+        raise ValueError("steps must be at least 4")
     # All internal joins use one struct key over the group columns: a struct
     # is never null, and structs with null fields compare equal, so a group
     # whose key is NULL is kept, as GROUP BY keeps it.
     key = (F.struct(*[F.col(g) for g in group_cols]) if group_cols
            else F.struct(F.lit(0).alias("all")))
-    data = df.select(
-        key.alias(_KEY), F.col(value_col).cast("double").alias("_x"),
-    ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    given = df.select(key.alias(_KEY), F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    data = given.where(~F.isnan("_x")).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
 
-    stats = materialize(data.groupBy(_KEY).agg(
-        F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    number = F.when(~F.isnan("_x"), F.col("_x"))
+    stats = materialize(given.groupBy(_KEY).agg(
+        F.count("_x").alias("_all"), F.count(number).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")))
 
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    # Targets, ranks and the first state are cheap projections of `stats`,
-    # which is already cut from the data scan.
-    targets = (
-        stats.select(_KEY, "_n", F.explode(prob_arr).alias("_p"))
-        .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
-        .select(
-            _KEY, "_p",
-            F.floor("_h").cast("long").alias("_rlo"),
-            F.ceil("_h").cast("long").alias("_rhi"),
-            (F.col("_h") - F.floor("_h")).alias("_frac"),
-        )
-    )
+
+    def position(p: Column) -> Column:
+        return (F.col("_all") - 1).cast("double") * p
+
+    targets = stats.select(_KEY, "_all", F.explode(prob_arr).alias("_p")).select(
+        _KEY, "_p", F.floor(position(F.col("_p"))).cast("long").alias("_rlo"),
+        F.ceil(position(F.col("_p"))).cast("long").alias("_rhi"),
+        (position(F.col("_p")) - F.floor(position(F.col("_p")))).alias("_frac"))
     # The distinct ranks each group needs, built from its own stats row with
     # array functions, so no aggregation or join is needed.
-    def position(p):
-        return (F.col("_n") - 1).cast("double") * p
-
     needed = F.array_distinct(F.flatten(F.transform(
-        prob_arr, lambda p: F.array(F.floor(position(p)).cast("long"),
-                                    F.ceil(position(p)).cast("long")))))
-    state = stats.select(
-        _KEY, F.explode(needed).alias("_r"), "_lo", "_hi",
-        F.lit(0).cast("long").alias("_off"), F.col("_n").alias("_cnt"),
-    )
+        prob_arr, lambda p: F.array(F.floor(position(p)).cast("long"), F.ceil(position(p)).cast("long")))))
+    ranks = stats.select(_KEY, F.explode(needed).alias("_r"), "_lo", "_hi",
+                         F.lit(0).cast("long").alias("_off"), F.col("_n").alias("_cnt"))
+    # NaNs lie behind all numbers
+    nans = ranks.where("_r >= _cnt").select(_KEY, "_r", F.lit(float("nan")).alias("_v"))
+    state = ranks.where("_r < _cnt")
 
-    def in_interval(frame: DataFrame, intervals: DataFrame) -> DataFrame:
-        joined = join_checked(frame, intervals, [_KEY])
-        return joined.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+    def in_intervals(intervals: DataFrame) -> DataFrame:
+        salted = intervals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return data.join(salted, [_KEY, "_salt"]).where("_x >= _lo and _x <= _hi")
 
     is_open = (F.col("_cnt") > finish_rows) & (F.col("_lo") < F.col("_hi"))
-    for _ in range(max_rounds):
-        open_ = state.where(is_open)
-        if open_.isEmpty():
-            break
-        intervals = open_.select(_KEY, "_lo", "_hi").distinct()
-        # Halves keep hi - lo finite for any pair of finite doubles.
-        pos = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        bucket = F.least(F.floor(pos * bins), F.lit(bins - 1)).cast("long")
-        hist = in_interval(data, intervals).groupBy(_KEY, "_lo", "_hi", bucket.alias("_b")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"),
-            F.max("_x").alias("_bmax"),
-        )
-        # At most `bins` buckets per rank, so this window is bounded per key.
-        per_rank = Window.partitionBy(_KEY, "_r").orderBy("_b").rowsBetween(
-            Window.unboundedPreceding, -1)
-        refined = (
-            open_.join(hist, [_KEY, "_lo", "_hi"])
-            .withColumn("_before", F.coalesce(F.sum("_c").over(per_rank), F.lit(0)))
-            .where(
-                (F.col("_off") + F.col("_before") <= F.col("_r"))
-                & (F.col("_r") < F.col("_off") + F.col("_before") + F.col("_c"))
-            )
-            .select(
-                _KEY, "_r", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-                (F.col("_off") + F.col("_before")).alias("_off"),
-                F.col("_c").alias("_cnt"),
-            )
-        )
-        # Cut here: the next round must not re-run this round's scan.
+    grid = [i / steps for i in range(1, steps)]
+    stored = None
+    while not (open_ := state.where(is_open)).isEmpty():
+        cuts = materialize(
+            in_intervals(open_.select(_KEY, "_lo", "_hi").distinct()).groupBy(_KEY, "_lo", "_hi")
+            .agg(F.percentile_approx("_x", grid, 10 * steps).alias("_cuts")))
+        # the cuts one step below and above the rank's own step
+        at = F.floor((F.col("_r") - F.col("_off")) * F.lit(float(steps)) / F.col("_cnt")).cast("int")
+        around = open_.join(cuts, [_KEY, "_lo", "_hi"]).select(
+            _KEY, "_r", "_lo", "_hi", "_off", "_cnt",
+            F.element_at("_cuts", F.greatest(F.lit(1), F.least(F.lit(steps - 2), at - 1))).alias("_a"),
+            F.element_at("_cuts", F.greatest(F.lit(2), F.least(F.lit(steps - 1), at + 2))).alias("_b"))
+        x, a, b = F.col("_x"), F.col("_a"), F.col("_b")
+        inside = (x > a) & (x < b)
+        count = lambda c: F.count(F.when(c, 1))
+        parts = in_intervals(around).groupBy(_KEY, "_r").agg(
+            F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.first("_off").alias("_off"),
+            F.first("_a").alias("_a"), F.first("_b").alias("_b"),
+            count(x < a).alias("_below"), count(x == a).alias("_at_a"), count(inside).alias("_inside"),
+            count((x == b) & (b > a)).alias("_at_b"), count(x > b).alias("_above"),
+            F.max(F.when(x < a, x)).alias("_max_below"), F.min(F.when(inside, x)).alias("_min_in"),
+            F.max(F.when(inside, x)).alias("_max_in"), F.min(F.when(x > b, x)).alias("_min_above"))
+        left = F.col("_r") - F.col("_off")
+        before, choice = F.lit(0).cast("long"), None
+        for size, lo, hi in (("_below", "_lo", "_max_below"), ("_at_a", "_a", "_a"), ("_inside", "_min_in", "_max_in"),
+                             ("_at_b", "_b", "_b"), ("_above", "_min_above", "_hi")):
+            part = F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi"), before.alias("before"), F.col(size).alias("cnt"))
+            here = (left >= before) & (left < before + F.col(size))
+            choice = F.when(here, part) if choice is None else choice.when(here, part)
+            before = before + F.col(size)
+        refined = parts.withColumn("_in", choice).select(
+            _KEY, "_r", F.col("_in.lo").alias("_lo"), F.col("_in.hi").alias("_hi"),
+            (F.col("_off") + F.col("_in.before")).alias("_off"), F.col("_in.cnt").alias("_cnt"))
+        # Cut here: the next round must not re-run this round's scans.
         state = materialize(state.where(~is_open).unionByName(refined))
-    else:
-        raise RuntimeError("exact_quantiles did not converge")
+        release(cuts, stored)
+        stored = state
 
-    single = state.where(F.col("_lo") == F.col("_hi")).select(
-        _KEY, "_r", F.col("_lo").alias("_v"))
-    to_sort = state.where(F.col("_lo") < F.col("_hi"))
-    finish_intervals = to_sort.select(_KEY, "_lo", "_hi").distinct()
+    single = state.where("_lo = _hi").select(_KEY, "_r", F.col("_lo").alias("_v"))
+    to_sort = state.where("_lo < _hi")
     # Every finishing interval holds at most `finish_rows` values.  They are
     # numbered in order by a window (Spark's spillable sorter, no boxing), and
     # the row at each needed position is kept.
     in_order = Window.partitionBy(_KEY, "_lo", "_hi").orderBy("_x")
-    numbered = in_interval(data, finish_intervals).select(
-        _KEY, "_lo", "_hi", "_x", F.row_number().over(in_order).alias("_pos"))
-    wanted = to_sort.select(_KEY, "_lo", "_hi", "_r",
-                            (F.col("_r") - F.col("_off") + 1).alias("_pos"))
-    picked = join_checked(numbered, wanted, [_KEY, "_lo", "_hi", "_pos"]).select(
-        _KEY, "_r", F.col("_x").alias("_v"))
+    numbered = in_intervals(to_sort.select(_KEY, "_lo", "_hi").distinct()).select(
+        _KEY, "_lo", "_hi", "_x", F.row_number().over(in_order).cast("long").alias("_pos"))
+    wanted = to_sort.select(_KEY, "_lo", "_hi", "_r", (F.col("_r") - F.col("_off") + 1).alias("_pos"))
+    picked = numbered.join(wanted, [_KEY, "_lo", "_hi", "_pos"]).select(_KEY, "_r", F.col("_x").alias("_v"))
     # One row per group and rank; cut so that the two joins below (lower and
     # upper rank) do not each repeat the finishing scan of the data.
-    values = materialize(single.unionByName(picked))
+    values = materialize(single.unionByName(picked).unionByName(nans))
 
     lo_v = values.select(_KEY, F.col("_r").alias("_rlo"), F.col("_v").alias("_vlo"))
     hi_v = values.select(_KEY, F.col("_r").alias("_rhi"), F.col("_v").alias("_vhi"))
-    out = (
-        targets.join(lo_v, [_KEY, "_rlo"]).join(hi_v, [_KEY, "_rhi"])
-        .select(
-            *[F.col(_KEY)[g].alias(g) for g in group_cols],
-            F.col("_p").alias("prob"),
-            (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"),
-        )
-    )
-    return out
+    between = F.when((F.col("_frac") == 0) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")).otherwise(
+        F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
+    return targets.join(lo_v, [_KEY, "_rlo"]).join(hi_v, [_KEY, "_rhi"]).select(
+        *[F.col(_KEY)[g].alias(g) for g in group_cols], F.col("_p").alias("prob"), between.alias("value"))

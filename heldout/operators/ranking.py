@@ -13,32 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heldout.session import ensure_checkpoint_dir, materialize
+from heldout.session import materialize
 
 _PART = "_part"
 
 
-def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[str],
                    num_partitions: int | None = None) -> DataFrame:
     """Add ``<c>_before``: the sum of ``c`` over all rows earlier in ``order``.
 
     ``order`` must be unique per row (it is, for the aggregated tables this is
     used on), which makes the result independent of partitioning.  The
-    range-partitioned rows are checkpointed once, so the offsets and the rows
-    always see the same partition assignment, also after a lost executor.
+    range-partitioned rows are stored once, so the offsets and the rows always
+    see the same partition assignment, also after a lost executor.  Without
+    ``num_partitions`` AQE merges the partitions of a small table.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = _partition_count(df, num_partitions)
-    parts = materialize(
-        df.repartitionByRange(n, *order).withColumn(_PART, F.spark_partition_id()))
-    # Partition totals: one row per range partition, so at most n rows.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    parts = materialize(ranged.withColumn(_PART, F.spark_partition_id()))
+    # Partition totals: one row per range partition.
     totals = parts.groupBy(_PART).agg(*[F.sum(c).alias(f"_{c}_t") for c in sum_cols])
     by_part = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -50,7 +42,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[st
         Window.unboundedPreceding, Window.currentRow)
     ranked = parts.select(
         "*", *[F.sum(c).over(within).alias(f"_{c}_run") for c in sum_cols])
-    out = ranked.join(F.broadcast(offsets), _PART)
+    out = ranked.join(offsets, _PART)
     return out.select(
         *df.columns,
         *[(F.col(f"_{c}_off") + F.col(f"_{c}_run") - F.col(c)).alias(f"{c}_before")

@@ -43,18 +43,13 @@ def fit_scalers(df: DataFrame, columns: Sequence[str]) -> dict[str, ScalerStats]
     return {c: ScalerStats(*row[4 * i: 4 * i + 4]) for i, c in enumerate(columns)}
 
 
-def scale_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str],
-                  digits: int = 6) -> DataFrame:
-    """``keep`` columns plus ``<c>_minmax`` and ``<c>_z`` for every column.
-
-    Min-max values use exact extremes and are not rounded; z-scores carry the
-    rounding noise of mean and deviation and are rounded to ``digits`` places.
-    """
+def scale_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns plus ``<c>_minmax`` and ``<c>_z`` for every column."""
     stats = fit_scalers(df, columns)
     out = [F.col(k) for k in keep]
     for c in columns:
         out += [
             stats[c].min_max(F.col(c)).alias(f"{c}_minmax"),
-            F.round(stats[c].z_score(F.col(c)), digits).alias(f"{c}_z"),
+            stats[c].z_score(F.col(c)).alias(f"{c}_z"),
         ]
     return df.select(*out)

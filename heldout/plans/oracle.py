@@ -84,29 +84,18 @@ SELECT n_pos, n_neg,
          / nullif(CAST(n_pos AS DOUBLE) * n_neg, 0) AS auc
 FROM agg"""
 
+# Columns of lineitem, and whether they are numbers.
+_LINEITEM = [*[(c, True) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                   "l_extendedprice", "l_discount", "l_tax")],
+             *[(c, False) for c in ("l_returnflag", "l_linestatus", "l_shipdate")]]
+
 ORACLE_SQL: dict[str, str] = {
-    "lineitem_profile": r"""
-SELECT * FROM (
-  SELECT 'l_quantity' AS column_name, count(l_quantity) AS n,
-         count(*) - count(l_quantity) AS n_null, count(DISTINCT l_quantity) AS n_distinct,
-         CAST(min(l_quantity) AS DOUBLE) AS min_value, CAST(max(l_quantity) AS DOUBLE) AS max_value,
-         CAST(sum(CAST(l_quantity AS DECIMAL(38, 6))) AS DOUBLE) / nullif(count(l_quantity), 0) AS mean, round(stddev_samp(l_quantity), 6) AS stddev
-  FROM lineitem
-  UNION ALL
-  SELECT 'l_extendedprice', count(l_extendedprice), count(*) - count(l_extendedprice),
-         count(DISTINCT l_extendedprice), min(l_extendedprice), max(l_extendedprice),
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(38, 6))) AS DOUBLE) / nullif(count(l_extendedprice), 0), round(stddev_samp(l_extendedprice), 6)
-  FROM lineitem
-  UNION ALL
-  SELECT 'l_discount', count(l_discount), count(*) - count(l_discount),
-         count(DISTINCT l_discount), min(l_discount), max(l_discount),
-         CAST(sum(CAST(l_discount AS DECIMAL(38, 6))) AS DOUBLE) / nullif(count(l_discount), 0), round(stddev_samp(l_discount), 6)
-  FROM lineitem
-  UNION ALL
-  SELECT 'l_tax', count(l_tax), count(*) - count(l_tax), count(DISTINCT l_tax),
-         min(l_tax), max(l_tax), CAST(sum(CAST(l_tax AS DECIMAL(38, 6))) AS DOUBLE) / nullif(count(l_tax), 0), round(stddev_samp(l_tax), 6)
-  FROM lineitem
-)""",
+    "lineitem_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, "
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, "
+        + (f"round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS stddev" if numeric
+           else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev") + " FROM lineitem"
+        for c, numeric in _LINEITEM),
     "label_balance": r"""
 SELECT quality, toxic, count(*) AS n,
        count(*) / sum(count(*)) OVER () AS share
@@ -145,7 +134,12 @@ WITH idx AS (
 SELECT e.event_id, e.event_type, idx.type_index
 FROM events e LEFT JOIN idx ON e.event_type = idx.event_type""",
     "event_type_one_hot": r"""
-PIVOT (SELECT user_id, event_type FROM events) ON event_type USING count(*) GROUP BY user_id""",
+SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS click,
+       count(*) FILTER (WHERE event_type = 'error') AS error,
+       count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
+       count(*) FILTER (WHERE event_type = 'signup') AS signup,
+       count(*) FILTER (WHERE event_type = 'view') AS view
+FROM events GROUP BY user_id""",
     "order_price_scaled": r"""
 WITH s AS (
   SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi,
@@ -170,7 +164,7 @@ FROM b GROUP BY price_bin""",
 SELECT CASE WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 2) < 'cc' THEN 'train' ELSE 'test' END
          AS part,
        quality, count(*) AS n
-FROM labels GROUP BY ALL""",
+FROM documents JOIN labels USING (doc_id) GROUP BY ALL""",
     "lineitem_correlations": r"""
 SELECT * FROM (
   SELECT 'l_quantity' AS col_a, 'l_extendedprice' AS col_b,
@@ -205,7 +199,7 @@ SELECT vec_id, actual, cls AS predicted FROM (
 ) WHERE rk = 1""",
     "nb_quality_kfold": "WITH" + _LABELLED + r""",
 folded AS (
-  SELECT *, (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 2)) AS INTEGER)) % 5 AS fold
+  SELECT *, CAST(CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 3, 15)) AS BIGINT) % 5 AS INTEGER) AS fold
   FROM feats
 ),
 folds AS (SELECT DISTINCT fold AS f FROM folded),

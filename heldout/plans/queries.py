@@ -23,7 +23,7 @@ from heldout.operators.naive_bayes import fit_gaussian_nb
 from heldout.operators.profile import class_balance, column_profile, correlations
 from heldout.operators.quantiles import exact_quantiles
 from heldout.operators.scale import scale_columns
-from heldout.session import ensure_checkpoint_dir, materialize
+from heldout.session import materialize
 from heldout.sources import labelled_documents, read_table
 
 NB_FEATURES = ("log_chars", "n_words")
@@ -33,22 +33,18 @@ def labelled_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, log_chars, n_words, quality, toxic, is_train for labelled docs.
 
     Features are computed from whole texts before the join, so only numbers
-    are shuffled; the result is checkpointed so fitting and scoring read the
-    texts once.
+    are shuffled; the result is stored so fitting and scoring read the texts
+    once.
     """
-    ensure_checkpoint_dir(spark)
     table = labelled_documents(spark, sf_dir, feature_builder=document_features)
     return materialize(table.withColumn("is_train", is_train("doc_id")))
 
 
-def _nb_scored_test(spark: SparkSession, sf_dir: str, target: str = "quality") -> DataFrame:
-    table = labelled_feature_table(spark, sf_dir)
+def _nb_scored_test(spark: SparkSession, sf_dir: str, target: str = "quality",
+                    table: DataFrame | None = None) -> DataFrame:
+    table = labelled_feature_table(spark, sf_dir) if table is None else table
     model = fit_gaussian_nb(table.where("is_train"), target, NB_FEATURES)
-    test = table.where(~F.col("is_train"))
-    out = model.transform(test)
-    if len(model.classes) == 2 and set(model.classes) == {0, 1}:
-        out = out.withColumn("score", model.log_odds(1, 0))
-    return out
+    return model.transform(table.where(~F.col("is_train"))).withColumn("score", model.log_odds(1, 0))
 
 
 def nb_quality_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,18 +59,19 @@ def nb_quality_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nb_quality_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion counts and ratios of the naive Bayes held-out predictions."""
-    return confusion_metrics(_nb_scored_test(spark, sf_dir), "quality", "prediction")
+    return confusion_metrics(_nb_scored_test(spark, sf_dir), "quality", "prediction").drop("n_skipped")
 
 
 def nb_quality_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact ROC area of the naive Bayes log-odds on the held-out part."""
-    return roc_auc(_nb_scored_test(spark, sf_dir), "quality", "score")
+    return roc_auc(_nb_scored_test(spark, sf_dir), "quality", "score").drop("n_skipped")
 
 
 def lineitem_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column profile of lineitem's quantity, price, discount and tax."""
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return column_profile(read_table(spark, sf_dir, "lineitem", cols), cols)
+    """Column profile of all columns of lineitem."""
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    profile = column_profile(lineitem, lineitem.columns)
+    return profile.withColumn("mean", F.round("mean", 9)).withColumn("stddev", F.round("stddev", 9))
 
 
 def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +124,8 @@ def event_type_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_price_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Min-max and z-score scaled order totals."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"])
-    return scale_columns(orders, ["o_totalprice"], ["o_orderkey"])
+    return scale_columns(orders, ["o_totalprice"], ["o_orderkey"]).withColumn(
+        "o_totalprice_z", F.round("o_totalprice_z", 6))
 
 
 def order_price_quartile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +141,8 @@ def order_price_quartile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents per md5 split part and quality class."""
-    docs = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id"]).join(
+        read_table(spark, sf_dir, "labels", ["doc_id", "quality"]), "doc_id")
     part = F.when(is_train("doc_id"), F.lit("train")).otherwise(F.lit("test"))
     return docs.groupBy(part.alias("part"), "quality").agg(F.count(F.lit(1)).alias("n"))
 
@@ -153,7 +152,7 @@ def lineitem_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = [("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"),
              ("l_quantity", "l_discount"), ("l_extendedprice", "l_tax")]
     cols = sorted({c for p in pairs for c in p})
-    return correlations(read_table(spark, sf_dir, "lineitem", cols), pairs)
+    return correlations(read_table(spark, sf_dir, "lineitem", cols), pairs).withColumn("corr", F.round("corr", 9))
 
 
 def embedding_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +171,7 @@ def nb_quality_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
     and exact ROC area per fold."""
     table = labelled_feature_table(spark, sf_dir)
     preds = materialize(kfold_predictions(table, "doc_id", "quality", NB_FEATURES, k=5))
-    confusion = confusion_metrics(preds, "quality", "prediction", group_cols=["fold"])
+    confusion = confusion_metrics(preds, "quality", "prediction", group_cols=["fold"]).drop("n_skipped")
     auc = roc_auc(preds, "quality", "score", group_cols=["fold"]).select("fold", "auc")
     # Both sides have one row per fold.
     return confusion.join(F.broadcast(auc), "fold", "left")
@@ -187,10 +186,11 @@ def text_models_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out ROC area of every model for quality, side by side with naive
     Bayes."""
-    nb = nb_quality_auc(spark, sf_dir).select(
+    table = text_feature_table(spark, sf_dir)
+    nb = roc_auc(_nb_scored_test(spark, sf_dir, table=table), "quality", "score").select(
         F.lit("gaussian_naive_bayes").alias("model"), F.lit("quality").alias("target"),
         (F.col("n_pos") + F.col("n_neg")).alias("n_test"), "n_pos", "n_neg", "auc")
-    ml = holdout_auc(text_feature_table(spark, sf_dir), MODEL_KINDS, ["quality"])
+    ml = holdout_auc(table, MODEL_KINDS, ["quality"])
     return nb.unionByName(ml)
 
 

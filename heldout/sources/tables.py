@@ -26,42 +26,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def spread_for_cpu(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when it has fewer partitions than the
-    cluster runs tasks at once, so CPU-heavy per-row work (regexes over whole
-    texts, model fits) uses every core.
-
-    A large input already arrives in many splits and is left as it is: no
-    shuffle is added where the scan itself gives enough parallelism.
-    """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD view: leave the input as is.
-        return df
-    if partitions >= parallelism:
-        return df
-    return df.repartition(parallelism, key)
-
-
 def labelled_documents(spark: SparkSession, sf_dir: str, feature_builder=None) -> DataFrame:
     """Documents that carry a label, joined on ``doc_id``.
 
     ``feature_builder`` maps the raw ``documents`` frame to ``doc_id`` plus
     feature columns *before* the join, so the join shuffles small per-document
-    features instead of whole texts.  When the label table is checked to be
-    small, the documents are first reduced to labelled ones by a broadcast
-    semi-join, which filters inside the scan's stage, so no per-text work is
-    spent on unlabelled documents.  ``doc_id`` is unique on both sides, so the
-    join has no hot key.
+    features instead of whole texts.  How the sides meet is left to Spark: a
+    label table of few bytes is broadcast, a large one is shuffled (and AQE
+    may still turn that join around from measured sizes).  ``doc_id`` is unique
+    on both sides, so the join has no hot key.
     """
-    from heldout.operators import joins
-
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
-    raw = spread_for_cpu(
-        read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]), "doc_id")
-    if joins.row_count_at_most(labels, joins.DEFAULT_BROADCAST_ROWS):
-        raw = raw.join(F.broadcast(labels.select("doc_id")), "doc_id", "left_semi")
+    raw = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
     docs = feature_builder(raw) if feature_builder else raw
     return docs.join(labels, "doc_id", "inner").select(
         "doc_id", *[c for c in docs.columns if c != "doc_id"],
