@@ -398,7 +398,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, layout: bool = True, upt
               .groupBy("t1").agg(F.collect_set("key").alias("keys")))
     # joined to the texts by (t1, t2) here and at the end: one shuffle of them
     asked = reps.select("t1", "t2", "rep").join(shared, "t1")
-    lost = (docs.join(asked, ["t1", "t2"]).where("doc_id = rep").select("t1", "rep", "text", "keys")
+    # the same columns and rows as at the end, so that Spark reuses the shuffle
+    lost = (docs.join(asked, ["t1", "t2"]).where(F.coalesce(F.col("doc_id") == F.col("rep"), F.lit(False)))
+            .select("t1", "rep", "text", "keys", *carried)
             .mapInArrow(_window_blocks(width, upto, parts), _BLOCK)
             .groupBy("part").applyInArrow(_lost_spans, "t1 long, start long, many long")
             .groupBy("t1").agg(F.collect_list(F.struct("start", "many")).alias("lost")))
