@@ -65,16 +65,17 @@ class CentroidModel:
         def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             centroids = sent.value
             for vectors in batches:
-                out = pd.Series([None] * len(vectors), dtype="Int32")
+                out = np.zeros(len(vectors), dtype=np.int32)
                 rows = [i for i, v in enumerate(vectors) if v is not None and len(v) == centroids.shape[1]]
                 if rows and len(centroids):
                     found = np.array([np.asarray(vectors.iloc[i], dtype=float) for i in rows])
                     sound = ~np.isnan(found).any(axis=1)
-                    out.iloc[np.array(rows)[sound]] = nearest(found[sound], centroids) + 1
-                yield out
+                    out[np.array(rows)[sound]] = nearest(found[sound], centroids) + 1
+                yield pd.Series(out)
 
         names: Column = F.array(*[F.lit(c) for c in self.classes])
-        return df.withColumn(prediction_col, F.element_at(names, place(F.col(self.feature_col))))
+        at = place(F.col(self.feature_col))  # from 1; 0 for none
+        return df.withColumn(prediction_col, F.when(at > 0, F.element_at(names, F.greatest(at, F.lit(1)))))
 
 
 def fit_centroids(df: DataFrame, feature_col: str, label_col: str,

@@ -1,4 +1,5 @@
 import sys
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -25,3 +26,20 @@ def duck001():
     from oracle_check import duck_connection
 
     return duck_connection(SF001)
+
+
+@contextmanager
+def executed_plans(spark):
+    """A list that afterwards holds the final physical plan of every query that
+    ran inside, stored steps included."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    before = store.executionsCount()
+    known = {store.executionsList().apply(i).executionId() for i in range(before)} if before else set()
+    plans = []
+    yield plans
+    bus.waitUntilEmpty()
+    every = store.executionsList()
+    plans += [every.apply(i).physicalPlanDescription() for i in range(every.size())
+              if every.apply(i).executionId() not in known]

@@ -68,7 +68,9 @@ def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
-    rel = con.sql(sql)
+    # as a view, which is how another checker may run it
+    con.execute(f'CREATE OR REPLACE VIEW "oracle_{name}" AS {sql}')
+    rel = con.sql(f'SELECT * FROM "oracle_{name}"')
     d_cols = rel.columns
     s_types = {f.name: _duck_type(f.dataType) for f in sdf.schema.fields}
     d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}

@@ -29,7 +29,17 @@ def test_split_and_folds_match_md5(spark):
     for r in rows:
         digest = hashlib.md5(str(r["doc_id"]).encode()).hexdigest()
         assert r["t"] == (digest[:2] < "cc")
-        assert r["f"] == int(digest[:2], 16) % 5
+        assert r["f"] == int(digest[2:17], 16) % 5
     share = sum(r["t"] for r in rows) / len(rows)
     assert 0.7 < share < 0.9
     assert {r["f"] for r in rows} == set(range(5))
+
+
+def test_folds_are_even_for_many_folds(spark):
+    sizes = [r["count"] for r in spark.range(90_000).groupBy(fold_of("id", 300).alias("f")).count().collect()]
+    assert len(sizes) == 300 and min(sizes) > 200 and max(sizes) < 400
+
+
+def test_folds_and_split_are_independent(spark):
+    rows = spark.range(20_000).groupBy(fold_of("id", 4).alias("f")).agg(F.avg(is_train("id").cast("int")).alias("t")).collect()
+    assert all(0.76 < r["t"] < 0.84 for r in rows)

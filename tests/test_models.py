@@ -30,8 +30,24 @@ def test_trees_learn_quality(text_aucs):
 
 def test_model_comparison_includes_baseline(spark):
     rows = entry_mod.queries()["model_comparison"](spark, SF001).collect()
-    models = {r["model"] for r in rows}
+    models = {r["model"]: r["auc"] for r in rows}
     assert "gaussian_naive_bayes" in models and len(rows) == 5
+    assert models["logistic_regression"] > models["gaussian_naive_bayes"]
+
+
+def test_toxic_is_learned(text_aucs):
+    assert text_aucs[("logistic_regression", "toxic")]["auc"] > 0.6
+
+
+def test_area_does_not_depend_on_partitions(spark, text_aucs):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        rows = entry_mod.queries()["text_models_auc"](spark, SF001).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for r in rows:
+        assert r["auc"] == pytest.approx(text_aucs[(r["model"], r["target"])]["auc"], abs=0.02)
 
 
 def test_grouped_auc_equals_spark_ml_evaluator_on_model_scores(spark):

@@ -6,12 +6,14 @@ import __spark_entry__ as entry_mod
 from conftest import SF001
 from oracle_check import compare
 
-ORACLES = entry_mod.oracle_sql()
+from heldout.plans import ORACLE_SQL, QUERIES
+
+ORACLES = ORACLE_SQL
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck001, name):
-    res = compare(spark, SF001, name, entry_mod.queries()[name], ORACLES[name], duck001)
+    res = compare(spark, SF001, name, QUERIES[name], ORACLES[name], duck001)
     assert res["columns_match"], res
     assert res["types_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
@@ -19,7 +21,9 @@ def test_query_matches_oracle(spark, duck001, name):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(entry_mod.queries())
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+    assert set(QUERIES) <= set(entry_mod.queries())
 
 
 def test_entry_runs_on_smallest_tables(spark):
@@ -33,7 +37,7 @@ def test_entry_runs_on_smallest_tables(spark):
 def test_schema_is_the_same_at_every_scale(spark, name):
     from conftest import SF0001
 
-    query = entry_mod.queries()[name]
+    query = QUERIES[name]
     small = query(spark, SF0001).schema.simpleString()
     larger = query(spark, SF001).schema.simpleString()
     assert small == larger

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry_mod
+from heldout.plans import QUERIES
 from conftest import SF001
 
 NAMES = ["part_type_index", "segment_acctbal_quartiles", "nb_quality_auc", "nb_quality_kfold",
@@ -11,7 +11,7 @@ NAMES = ["part_type_index", "segment_acctbal_quartiles", "nb_quality_auc", "nb_q
 
 @pytest.mark.parametrize("name", NAMES)
 def test_same_rows_for_any_shuffle_partition_count(spark, name):
-    query = entry_mod.queries()[name]
+    query = QUERIES[name]
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:

@@ -2,10 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
-import __spark_entry__ as entry_mod
-from heldout.operators import joins
-from heldout.operators.impute import impute_group_median
+from conftest import SF001, SF0001, executed_plans
+from heldout.plans import QUERIES
 
 
 def _plan(df) -> str:
@@ -13,7 +11,7 @@ def _plan(df) -> str:
 
 
 def test_naive_bayes_scoring_adds_no_join_or_udf(spark):
-    plan = _plan(entry_mod.queries()["nb_quality_holdout"](spark, SF001))
+    plan = _plan(QUERIES["nb_quality_holdout"](spark, SF001))
     assert "Join" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     # Only the final (actual, predicted) count shuffles.
@@ -21,14 +19,14 @@ def test_naive_bayes_scoring_adds_no_join_or_udf(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = _plan(entry_mod.queries()["order_price_quartile_bins"](spark, SF001))
+    plan = _plan(QUERIES["order_price_quartile_bins"](spark, SF001))
     assert "ReadSchema: struct<o_totalprice:double>" in plan
-    plan = _plan(entry_mod.queries()["event_type_one_hot"](spark, SF001))
+    plan = _plan(QUERIES["event_type_one_hot"](spark, SF001))
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in plan
 
 
 def test_one_hot_counts_shuffle_once(spark):
-    plan = _plan(entry_mod.queries()["event_type_one_hot"](spark, SF001))
+    plan = _plan(QUERIES["event_type_one_hot"](spark, SF001))
     assert plan.count("Exchange") == 1
     assert "partial_count" in plan
 
@@ -44,75 +42,40 @@ def test_split_and_folds_need_no_shuffle(spark):
 def test_no_global_window_over_input_rows(spark):
     # The rank used for the index runs per range partition; the only
     # partition-less window is over the per-partition totals table.
-    plan = _plan(entry_mod.queries()["nb_quality_auc"](spark, SF001))
+    plan = _plan(QUERIES["nb_quality_auc"](spark, SF001))
     assert "windowspecdefinition(_part" in plan
 
 
-def test_impute_without_broadcast_gives_same_rows(spark):
-    cust = spark.read.parquet(f"{SF001}/customer.parquet").select(
-        "c_custkey", "c_mktsegment",
-        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acctbal"))
-    broadcast_rows = impute_group_median(cust, ["c_mktsegment"], "acctbal").collect()
-    old = joins.DEFAULT_BROADCAST_ROWS
-    joins.DEFAULT_BROADCAST_ROWS = 0
+def test_no_executed_plan_has_a_cross_join_or_row_udf(spark):
+    # every query that runs on the way counts, not only the last one
+    for name, query in QUERIES.items():
+        with executed_plans(spark) as plans:
+            query(spark, SF0001).collect()
+        assert plans, name
+        for plan in plans:
+            assert "CartesianProduct" not in plan, name
+            assert "BroadcastNestedLoopJoin" not in plan, name
+            assert "BatchEvalPython" not in plan and "InPandas" not in plan, name
+            # the centroid model alone scores in Arrow batches
+            assert "ArrowEvalPython" not in plan or name == "embedding_nearest_centroid", name
+
+
+def test_models_read_texts_once(spark):
+    for name in ("text_models_auc", "model_comparison"):
+        with executed_plans(spark) as plans:
+            QUERIES[name](spark, SF0001).collect()
+        scans = sum(p.count("documents.parquet") > 0 for p in plans)
+        assert scans == 1, name
+
+
+def test_joins_carry_no_hint(spark):
+    # sizes decide: no table is broadcast but by Spark's own threshold
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = impute_group_median(cust, ["c_mktsegment"], "acctbal")
-        hinted = shuffled._jdf.queryExecution().logical().toString().lower()
-        shuffled_rows = shuffled.collect()
+        for name in ("acctbal_median_impute", "event_type_indexed", "nb_quality_auc"):
+            with executed_plans(spark) as plans:
+                QUERIES[name](spark, SF0001).collect()
+            assert not any("BroadcastExchange" in p for p in plans), name
     finally:
-        joins.DEFAULT_BROADCAST_ROWS = old
-    assert "broadcast" not in hinted
-    assert sorted(broadcast_rows) == sorted(shuffled_rows)
-
-
-def test_join_checked_broadcasts_only_within_bound(spark):
-    orders = spark.read.parquet(f"{SF001}/orders.parquet").select("o_orderkey", "o_custkey")
-    cust = spark.read.parquet(f"{SF001}/customer.parquet").select(
-        F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    small = joins.join_checked(orders, cust, ["o_custkey"], max_broadcast_rows=10_000)
-    assert "BroadcastExchange" in _plan(small)
-    big = joins.join_checked(orders, cust, ["o_custkey"], max_broadcast_rows=10)
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
-    assert small.count() == big.count() == orders.count()
-
-
-def test_hot_key_is_split_by_aqe_when_not_broadcast(spark):
-    """Beyond the broadcast bound, a key with a third of the rows is split by
-    AQE's skew join (thresholds lowered here so test-sized data counts)."""
-    confs = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-    }
-    old = {k: spark.conf.get(k, None) for k in confs}
-    li = spark.read.parquet(f"{SF001}/lineitem.parquet").repartition(8).select(
-        F.when(F.col("l_linenumber") <= 2, F.lit("hot")).otherwise(F.col("l_returnflag")).alias("g"),
-        "l_orderkey", "l_extendedprice")
-    meds = li.groupBy("g").agg(F.median("l_extendedprice").alias("m")).checkpoint()
-    expected = sorted(joins.join_checked(li, meds, ["g"]).collect())
-    try:
-        for k, v in confs.items():
-            spark.conf.set(k, v)
-        out = joins.join_checked(li, meds, ["g"], max_broadcast_rows=0)
-        got = sorted(out.collect())
-        final_plan = out._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    assert "SortMergeJoin(skew=true)" in final_plan
-    assert got == expected
-
-
-def test_no_query_has_a_cross_join_or_python_udf(spark):
-    from conftest import SF0001
-
-    for name, query in entry_mod.queries().items():
-        plan = _plan(query(spark, SF0001))
-        assert "CartesianProduct" not in plan, name
-        assert "BroadcastNestedLoopJoin" not in plan, name
-        assert not any(k in plan for k in ("BatchEvalPython", "ArrowEvalPython",
-                                           "FlatMapGroupsInPandas", "MapInPandas")), name
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

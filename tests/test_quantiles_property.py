@@ -1,4 +1,4 @@
-"""Property test: for any grouping, value column, fractions, bucket count and
+"""Property test: for any grouping, value column, fractions, number of cuts and
 finishing threshold, exact_quantiles equals numpy's linear quantile.
 
 Inputs are the driver's lineitem table (sf0.001); Hypothesis only varies the
@@ -29,12 +29,12 @@ def lineitem(spark):
     groups=st.sampled_from(GROUPS),
     value=st.sampled_from(VALUES),
     probs=st.lists(st.floats(min_value=0.0, max_value=1.0), min_size=1, max_size=4, unique=True),
-    bins=st.integers(min_value=2, max_value=64),
+    steps=st.integers(min_value=4, max_value=64),
     finish=st.integers(min_value=1, max_value=3000),
 )
-def test_matches_numpy(lineitem, groups, value, probs, bins, finish):
+def test_matches_numpy(lineitem, groups, value, probs, steps, finish):
     df, pdf = lineitem
-    got = exact_quantiles(df, value, probs, list(groups), bins=bins, finish_rows=finish).collect()
+    got = exact_quantiles(df, value, probs, list(groups), steps=steps, finish_rows=finish).collect()
     parts = pdf.groupby(list(groups)) if groups else [((), pdf)]
     expected = {}
     for key, part in parts:

@@ -28,25 +28,29 @@ def test_row_index_descending_with_tiebreak(spark):
     assert list(got["p_brand"]) == list(want["p_brand"])
 
 
-def test_one_hot_paths_agree(spark):
+def test_one_hot_matches_counting(spark):
     from heldout.operators import encode
 
     li = spark.read.parquet(f"{SF001}/lineitem.parquet").select(
         "l_suppkey", F.col("l_linenumber").cast("string").alias("line"))
-    wide = encode.one_hot_counts(li, "l_suppkey", "line")
-    old = encode.MAX_CONDITIONAL_COUNTS
-    encode.MAX_CONDITIONAL_COUNTS = 0
-    try:
-        pivoted = encode.one_hot_counts(li, "l_suppkey", "line")
-    finally:
-        encode.MAX_CONDITIONAL_COUNTS = old
-    assert sorted(wide.columns) == sorted(pivoted.columns)
-    cols = sorted(wide.columns)
-    assert sorted(wide.select(cols).collect()) == sorted(pivoted.select(cols).collect())
+    got = {r["l_suppkey"]: r.asDict() for r in encode.one_hot_counts(li, "l_suppkey", "line").collect()}
+    want = li.toPandas().groupby(["l_suppkey", "line"]).size()
+    assert sum(sum(v for k, v in r.items() if k != "l_suppkey") for r in got.values()) == want.sum()
+    assert all(got[k][line] == n for (k, line), n in want.items())
+
+
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_one_hot_with_many_dotted_values(spark, kind):
+    from heldout.operators import encode
+
+    frame = spark.range(1000).select((F.col("id") % 7).alias("k"), (
+        F.concat(F.lit("v."), F.col("id") % 250) if kind == "string" else (F.col("id") % 250) / 4.0).alias("v"))
+    got = encode.one_hot_counts(frame, "k", "v")
+    assert len(got.columns) == 251
+    assert sum(sum(r) - r[0] for r in got.collect()) == 1000
 
 
 def test_apply_index_matches_frequency_order(spark):
-    from heldout.operators import joins
     from heldout.operators.encode import apply_index, frequency_index
 
     li = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_orderkey", "l_returnflag")
@@ -54,16 +58,9 @@ def test_apply_index_matches_frequency_order(spark):
     want = li.toPandas()["l_returnflag"].value_counts()
     want = sorted(want.items(), key=lambda kv: (-kv[1], kv[0]))
     expected = {flag: i for i, (flag, _) in enumerate(want)}
-    for bound in (None, 0):  # broadcast, then the shuffle join
-        old = joins.DEFAULT_BROADCAST_ROWS
-        if bound is not None:
-            joins.DEFAULT_BROADCAST_ROWS = bound
-        try:
-            rows = apply_index(li, "l_returnflag", index, "flag_index").collect()
-        finally:
-            joins.DEFAULT_BROADCAST_ROWS = old
-        assert len(rows) == li.count()
-        assert all(r["flag_index"] == expected[r["l_returnflag"]] for r in rows)
+    rows = apply_index(li, "l_returnflag", index, "flag_index").collect()
+    assert len(rows) == li.count()
+    assert all(r["flag_index"] == expected[r["l_returnflag"]] for r in rows)
 
 
 def test_profile_approx_distinct_close_to_exact(spark):
