@@ -2,10 +2,12 @@
 verify them, full shingle sets to confirm them.
 
 1. One Python pass turns a text into its set of word shingles, ``bands x rows``
-   MinHash samples, a key per band and an odd sketch: every sample toggles one
-   bit of a bitmap, so samples that two documents share cancel in the XOR, and
-   its population count c gives J = 1 + m / (4 k) ln(1 - 2 c / m) (m bits,
-   k samples); the estimate is sharpest where J is high.
+   MinHash samples, a key per band and an odd sketch: the ``SAMPLES`` least
+   members under one hash are MinHash samples, too, and each of them toggles one
+   bit of a bitmap.  Samples that two documents share cancel in the XOR; its
+   population count c gives their number of different samples, -m/2 ln(1 - 2c/m)
+   (m bits), and with the set sizes the similarity.  The estimate is sharpest
+   where similarity is high.
 2. Documents with equal sets are one representative (smallest id) from here on.
 3. Representatives that share a band key meet in a bucket.  In the first round
    each is compared with the smallest member of its buckets, and the best of
@@ -14,18 +16,16 @@ verify them, full shingle sets to confirm them.
    In buckets with several labels, each member outside the bucket's largest
    label is compared by odd sketch with every member of another label, in
    blocks of bounded size; the best ``fan`` of each are confirmed.  Rounds go
-   on, with a doubled fan, until no untested pair is left.  So every pair with
-   a common band key and an estimate above the floor is either confirmed,
-   refuted, or joined by other links; no pair list of a group is ever made.
+   on, with a wider fan, until no untested pair is left.  So every pair with
+   a common band key and a sketch within the bound is either confirmed, refuted,
+   or joined by other links; no pair list of a group is ever made.
 
 Chances to miss a link at exactly the threshold 0.8: no band in common
-(1 - 0.8^4)^28 = 4e-7; estimate below the floor (0.23 lower, 6 deviations)
-about 1e-9.
+(1 - 0.8^4)^28 = 4e-7; a sketch beyond its bound (6 deviations) about 1e-9.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,11 +36,14 @@ from pyspark.sql import functions as F
 from heldout.llm import common
 from heldout.llm.common import U64
 from heldout.llm.components import connected_components
-from heldout.session import materialize, release
+from heldout.session import materialize, release, ship
 
-BANDS, ROWS, BITS = 28, 4, 512
-#: How far below the threshold an odd-sketch estimate may be.
-MARGIN = 0.23
+BANDS, ROWS = 28, 4
+#: Samples that an odd sketch takes, its bits, and the bits it is folded to for
+#: a first look.
+SAMPLES, BITS, FOLDED = 1024, 4096, 512
+#: How many standard deviations beyond the threshold a sketch may be.
+DEVIATIONS = 6
 #: Most members of a bucket that are compared with one another in one group.
 BLOCK = 2_000
 _SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
@@ -58,35 +61,48 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
 
 
 def _samples(sets: list[np.ndarray], k: int) -> np.ndarray:
-    """MinHash samples of non-empty sets, one row each."""
-    flat = np.concatenate(sets)
+    """MinHash samples (32 bits) of non-empty sets, one row each."""
+    flat = (np.concatenate(sets) >> U64(32)).astype(np.uint32)
     at = common.offsets([len(s) for s in sets])[:-1]
-    draws = np.random.Generator(np.random.PCG64(20_240_229)).integers(0, 2**63, (2, k), dtype=np.int64).view(U64)
-    out, room = np.empty((len(sets), k), dtype=U64), np.empty_like(flat)
+    draws = np.random.Generator(np.random.PCG64(20_240_229)).integers(0, 2**32, (2, k), dtype=np.uint32)
+    out, room = np.empty((len(sets), k), dtype=np.uint32), np.empty_like(flat)
     for i in range(k):
-        np.multiply(flat, draws[0, i] | U64(1), out=room)
+        np.multiply(flat, draws[0, i] | np.uint32(1), out=room)
         np.add(room, draws[1, i], out=room)
         out[:, i] = np.minimum.reduceat(room, at)
     return out
 
 
-def odd_sketches(samples: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """Parity bitmap of each row of samples, packed into 64-bit words."""
-    rows, k = samples.shape
-    where = common.mix(samples + np.arange(1, k + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) % U64(bits)
-    where = where.astype(np.int64) + np.arange(rows, dtype=np.int64)[:, None] * bits
-    odd = np.bincount(where.ravel(), minlength=rows * bits) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(rows, bits), axis=1).view(np.int64)
+def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Parity bitmap of each sorted set's least members, in 64-bit words."""
+    few = [s[:SAMPLES] for s in sets]
+    where = (common.mix(np.concatenate(few) + U64(0x0DD5)) % U64(BITS)).astype(np.int64)
+    where += np.repeat(np.arange(len(few), dtype=np.int64) * BITS, [len(s) for s in few])
+    odd = np.bincount(where, minlength=len(few) * BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(few), BITS), axis=1).view(np.int64)
 
 
-def estimate(differing: np.ndarray, k: int, bits: int = BITS) -> np.ndarray:
-    """Similarity from the population count of two odd sketches' XOR."""
-    left = np.maximum(1 - 2 * np.asarray(differing, dtype=float) / bits, 1e-9)
-    return 1 + bits / (4 * k) * np.log(left)
+def estimate(count: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of sets of ``a`` and ``b`` members from the population count
+    of their sketches' XOR."""
+    differ = -BITS / 2 * np.log(np.maximum(1 - 2 * np.asarray(count, dtype=float) / BITS, 1e-9))
+    share = np.minimum(1, SAMPLES / np.maximum(a, b))
+    both = (np.minimum(a, SAMPLES) + np.minimum(b, SAMPLES) - differ) / 2 / share
+    return both / (a + b - both)
 
 
-def _most_differing(threshold: float, k: int) -> int:
-    return int(BITS / 2 * (1 - math.exp(-4 * k / BITS * (1 - threshold + MARGIN))))
+def bound(a: np.ndarray, b: np.ndarray, threshold: float, bits: int = BITS) -> np.ndarray:
+    """Largest population count that sets of ``a`` and ``b`` members with the
+    threshold similarity reach; -1 where sizes rule it out."""
+    large = np.maximum(a, b)
+    both = threshold * (a + b) / (1 + threshold)
+    share = np.minimum(1, SAMPLES / large)
+    rate = np.minimum(1, both / large)
+    doubt = DEVIATIONS * np.sqrt(np.minimum(large, SAMPLES) * rate * (1 - rate) * (1 - share))
+    differ = np.minimum(a, SAMPLES) + np.minimum(b, SAMPLES) - 2 * share * both + 2 * doubt
+    y = np.maximum(differ, 0) / bits
+    most = bits / 2 * (1 - np.exp(-2 * y)) + DEVIATIONS * np.sqrt(bits / 4 * (1 - (1 + 4 * y) * np.exp(-4 * y))) + 1
+    return np.where(both > np.minimum(a, b) + 1e-6, -1, most)
 
 
 def _signatures(n: int, bands: int, rows: int):
@@ -104,9 +120,9 @@ def _signatures(n: int, bands: int, rows: int):
                 samples = _samples(own, bands * rows)
                 band = np.zeros((len(own), bands), dtype=U64)
                 for r in range(rows):
-                    band = common.mix(band + samples[:, r::rows]) * U64(0x9E3779B97F4A7C15)
+                    band = common.mix(band + samples[:, r::rows].astype(U64)) * U64(0x9E3779B97F4A7C15)
                 band = common.signed(common.mix(band + np.arange(bands, dtype=U64)))
-                odd = odd_sketches(samples)
+                odd = odd_sketches(own)
                 for j, i in enumerate(full):
                     a[i], b[i], keys[i], sketch[i] = one[j], two[j], band[j], odd[j]
             yield pa.RecordBatch.from_arrays([
@@ -132,31 +148,55 @@ def _confirm(n: int, percent: int):
     return run
 
 
-def _close_pairs(most: int, fan: int):
+def _words(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy().view(U64).reshape(len(column), -1)
+
+
+def _star_pairs(threshold: float):
+    """Bits by which each pair's sketches are beyond the bound (or within)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = np.bitwise_count(_words(batch.column("sketch")) ^ _words(batch.column("other"))).sum(axis=1)
+            over = count - bound(*(batch.column(c).to_numpy() for c in ("n", "n_other")), threshold)
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("center"), pa.array(over, pa.float64())],
+                                             names=["rep", "center", "over"])
+    return run
+
+
+def _close_pairs(threshold: float, fan: int):
     """Per block of a bucket: for each query the ``fan`` closest targets of
-    another label, at most ``most`` bits away; ``more`` if there were others."""
+    another label whose sketches are within the bound; ``more`` if there were
+    others."""
     def run(table: pa.Table) -> pa.Table:
-        ids, labels = (table.column(c).to_numpy() for c in ("rep", "label"))
-        asks = table.column("asks").to_numpy(zero_copy_only=False)
-        words = table.column("sketch").combine_chunks().flatten().to_numpy().view(U64).reshape(len(ids), -1)
-        ask, rest = np.flatnonzero(asks), np.arange(len(ids))
-        a, b, more = [], [], []
-        for start in range(0, len(ask), 256):
-            q = ask[start:start + 256]
-            far = np.zeros((len(q), len(rest)), dtype=np.int32)
-            for w in range(words.shape[1]):
-                far += np.bitwise_count(words[q, w][:, None] ^ words[None, :, w])
-            far[labels[q][:, None] == labels[None, :]] = most + 1
-            if not (far <= most).any():
-                continue
-            best = np.argsort(far, axis=1, kind="stable")[:, :fan]
-            near = np.take_along_axis(far, best, axis=1) <= most
-            a.append(np.repeat(ids[q], near.sum(axis=1)))
-            b.append(ids[best[near]])
-            more.append(np.repeat((far <= most).sum(axis=1) > fan, near.sum(axis=1)))
-        got = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((a, np.int64), (b, np.int64), (more, bool))]
-        return pa.table({"a": np.minimum(got[0], got[1]), "b": np.maximum(got[0], got[1]), "more": got[2]},
-                        schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())]))
+        ids, labels, n = (table.column(c).to_numpy() for c in ("rep", "label", "n"))
+        ask = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False))
+        words = _words(table.column("sketch"))
+        folded = np.bitwise_xor.reduce(words.reshape(len(ids), BITS // FOLDED, -1), axis=1)
+        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+        for start in range(0, len(ask), 128):
+            q = ask[start:start + 128]
+            far = np.zeros((len(q), len(ids)), dtype=np.int32)
+            for w in range(folded.shape[1]):
+                far += np.bitwise_count(folded[q, w][:, None] ^ folded[None, :, w])
+            close = far <= bound(n[q][:, None], n[None, :], threshold, FOLDED)
+            close &= labels[q][:, None] != labels[None, :]
+            one, two = np.nonzero(close)
+            over = np.empty(len(one))
+            for i in range(0, len(one), 20_000):
+                x, y = q[one[i:i + 20_000]], two[i:i + 20_000]
+                over[i:i + 20_000] = np.bitwise_count(words[x] ^ words[y]).sum(axis=1) - bound(n[x], n[y], threshold)
+            one, two, over = one[over <= 0], two[over <= 0], over[over <= 0]
+            order = np.lexsort((ids[two], over, one))
+            one, two = one[order], two[order]
+            size = np.bincount(one, minlength=len(q))
+            nth = np.arange(len(one)) - np.repeat(np.cumsum(size) - size, size)
+            one, two = one[nth < fan], two[nth < fan]
+            a.append(ids[q[one]])
+            b.append(ids[two])
+            more.append(size[one] > fan)
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": np.concatenate(more)})
     return run
 
 
@@ -172,16 +212,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     link of any of them is a link of all.  A null doc_id is never linked
     and is kept, with a null component_id.  An empty table gives no rows.
     """
-    k = bands * rows
-    most = _most_differing(percent / 100, k)
+    ship(docs.sparkSession)
+    threshold = percent / 100
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(docs.mapInArrow(_signatures(n, bands, rows), _SIGNATURE))
     reps = materialize(signed.where("doc_id is not null and n_shingles > 0").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     placed = materialize(signed.join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"], "left")
                          .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")))
     release(signed)
-    sketches = reps.groupBy("rep").agg(F.first("sketch").alias("sketch"))
+    # of a doc_id with several texts the largest
+    sketches = reps.groupBy("rep").agg(F.max(F.struct("n", "sketch")).alias("s")).select("rep", "s.n", "s.sketch")
 
     members = reps.select("rep", F.explode("bands").alias("key")).distinct()
     shared = (members.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
@@ -189,12 +230,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     buckets = materialize(members.join(shared, "key"))
     texts = materialize(docs.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
 
-    far = F.aggregate(F.zip_with("sketch", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
-                      lambda total, x: total + x)
     stars = (buckets.where("rep <> center").select("rep", "center").distinct().join(sketches, "rep")
-             .join(sketches.select(F.col("rep").alias("center"), F.col("sketch").alias("other")), "center")
-             .withColumn("far", far).where(F.col("far") <= most)
-             .groupBy("rep").agg(F.min(F.struct("far", "center")).alias("best"))
+             .join(sketches.select(F.col("rep").alias("center"), F.col("n").alias("n_other"), F.col("sketch").alias("other")),
+                   "center")
+             .mapInArrow(_star_pairs(threshold), "rep long, center long, over double").where("over <= 0")
+             .groupBy("rep").agg(F.min(F.struct("over", "center")).alias("best"))
              .select(F.col("best.center").alias("a"), F.col("rep").alias("b")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -203,27 +243,27 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
         return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
                            .mapInArrow(_confirm(n, percent), "a long, b long, linked boolean"))
 
-    tested, fan = [confirmed(stars)], 4
+    tested, fan = [confirmed(stars)], 8
     # a doc_id with several texts ties their sets together
     several = (placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
                .where("a < z").select("doc_id", "a"))
     ties = materialize(placed.join(several, "doc_id").select("a", F.col("rep").alias("b")))
-    labels = None
+    labels, linked = None, True
     while True:
         every = tested[0]
         for t in tested[1:]:
             every = every.unionByName(t)
-        if labels is not None:
-            release(labels)
-        labels = materialize(connected_components(every.where("linked").select("a", "b").unionByName(ties)))
+        if linked:
+            stale, labels = labels, materialize(connected_components(every.where("linked").select("a", "b").unionByName(ties)))
+            release(stale)
         named = (buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
                  .select("key", "rep", F.coalesce("label", "rep").alias("label")))
         sizes = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-                 .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"),
+                 .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"),
                                      F.count(F.lit(1)).alias("labels")).where("labels > 1")
                  .select("key", F.col("top.label").alias("main"),
-                         F.ceil(F.col("n") / BLOCK).cast("int").alias("there"),
-                         F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("asking")))
+                         F.ceil(F.col("all") / BLOCK).cast("int").alias("there"),
+                         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("asking")))
         mixed = (named.join(sizes, "key").join(sketches, "rep")
                  .withColumn("asks", F.col("label") != F.col("main"))
                  .withColumn("slot", F.xxhash64("rep")))
@@ -232,18 +272,20 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
                    .withColumn("asks", F.lit(False)))
         asking = (mixed.where("asks").withColumn("j", F.pmod("slot", "asking").cast("int"))
                   .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("there") - 1))))
-        columns = ["key", "i", "j", "rep", "label", "asks", "sketch"]
+        columns = ["key", "i", "j", "rep", "label", "asks", "n", "sketch"]
         close = (targets.select(columns).unionByName(asking.select(columns)).groupBy("key", "i", "j")
-                 .applyInArrow(_close_pairs(most, fan), "a long, b long, more boolean"))
+                 .applyInArrow(_close_pairs(threshold, fan), "a long, b long, more boolean"))
         pairs = materialize(close.groupBy("a", "b").agg(F.max("more").alias("more")))
         fresh = confirmed(pairs.select("a", "b").join(every.select("a", "b").distinct(), ["a", "b"], "left_anti"))
         left = pairs.agg(F.max("more").alias("more")).first()["more"]
         new = fresh.agg(F.count(F.lit(1)).alias("n"), F.max("linked").alias("linked")).first()
         release(pairs)
-        if not left and not new["linked"]:
+        linked = bool(new["linked"])
+        if not left and not linked:
+            release(fresh)
             break
         tested.append(fresh)
-        fan *= 2
+        fan *= 8
 
     release(reps, buckets, texts, ties, *tested)
     return (placed.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
