@@ -52,7 +52,7 @@ def _rows(columns, records):
 _SPARK_TO_DUCK = {
     "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
     "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "FloatType": "FLOAT",
-    "ShortType": "SMALLINT", "ByteType": "TINYINT",
+    "ShortType": "SMALLINT", "ByteType": "TINYINT", "DateType": "DATE",
 }
 
 
