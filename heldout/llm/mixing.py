@@ -79,14 +79,11 @@ def budgets(leaves: DataFrame, levels: Sequence[str], total: float, weights: Map
     for i in range(len(levels)):
         usable = F.when(F.col(f"weight_{i}") > 0, usable).otherwise(F.lit(0.0))
     tree = tree.withColumn("capacity", usable)
-    given = tree.agg(F.least(F.lit(float(total)), F.coalesce(F.sum("capacity"), F.lit(0.0))).alias("given"))
-    upper = given
+    usable = tree.agg(F.sum("capacity").alias("n")).first()["n"] or 0.0
+    upper = None
     for i in range(len(levels)):
         nodes = tree.groupBy(*marks[:i + 1]).agg(F.sum("capacity").alias("capacity"), F.max(f"weight_{i}").alias("weight"))
-        if i:
-            nodes = nodes.join(upper, marks[:i])
-        else:
-            nodes = nodes.withColumn("root", F.lit(0)).join(upper.withColumn("root", F.lit(0)), "root").drop("root")
+        nodes = nodes.join(upper, marks[:i]) if i else nodes.withColumn("given", F.lit(min(float(total), usable)))
         upper = _shared(nodes, marks[:i] or [F.lit(0)]).select(*marks[:i + 1], F.col("budget").alias("given"))
     # a millionth, so that sums in another order cut alike
     return (tree.join(upper, marks).select(*levels, "tokens", F.floor(F.col("given") + F.lit(1e-6)).cast("long").alias("allotted")))
