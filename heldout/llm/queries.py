@@ -168,10 +168,47 @@ def _mix_level(i: int) -> str:
       ELSE w * max(CASE WHEN ratio > lvl THEN lvl END) OVER ({by.strip()}) END AS budget FROM step{i}),"""
 
 
+#: Components of links (a, b) among ids, by reachability (for small tables).
+_COMPONENTS_SQL = """
+  reach AS (SELECT id, id AS node FROM ids UNION
+    SELECT reach.id, CASE WHEN links.a = reach.node THEN links.b ELSE links.a END FROM reach JOIN links ON reach.node IN (links.a, links.b)),
+  label AS (SELECT id, min(node) AS component_id FROM reach GROUP BY id)"""
+
 #: Marks of the chat template, as a pattern of what follows their first sign.
 _MARK_SQL = r"'([<\[])(\\*)(/?SYS\]|/?INST\]|/?ROLE\]|/TURN\]|/?s>)', '\1\2\\\3', 'g'"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS l FROM documents),
+  grams AS (SELECT DISTINCT doc_id, array_to_string(l[i:i + 3], ' ') AS g
+    FROM (SELECT doc_id, l, unnest(range(1, greatest(2, len(l) - 2))) AS i FROM words WHERE len(l) > 0)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+  common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+  links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+  ids AS (SELECT doc_id AS id FROM documents),""" + _COMPONENTS_SQL + """
+SELECT id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, id = component_id AS kept
+FROM label LEFT JOIN sizes ON sizes.doc_id = id
+""",
+    "op2_recompression_substring_dedup": r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+  windows AS (SELECT doc_id, i, array_to_string(l[i:i + 12], ' ') AS s
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) - 11)) AS i FROM words WHERE len(l) >= 13)),
+  lost AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows) WHERE first < doc_id),
+  gone AS (SELECT DISTINCT doc_id, i + k AS p FROM lost, (SELECT unnest(range(13)) AS k)),
+  each AS (SELECT doc_id, unnest(l) AS word, unnest(range(1, len(l) + 1)) AS p FROM words),
+  kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS s FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(l)::BIGINT AS n_words, (len(l) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+""",
+    "op4_rp_forest_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings),
+  links AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id < y.id WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+  ids AS (SELECT id FROM v),""" + _COMPONENTS_SQL + """,
+  degree AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY id)
+SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept FROM label LEFT JOIN degree USING (id)
+""",
     "op5_prefix_target_chat": f"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

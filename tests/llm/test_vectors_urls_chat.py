@@ -75,7 +75,7 @@ def test_a_dense_cluster_is_not_copied_over_and_over():
         assert sum((rows >= 2000).sum() for _, _, rows in found) <= 4 * 1000
 
 
-@pytest.mark.parametrize("name", ["op5_prefix_target_chat", "op6_temporal_url_filter", "op7_hierarchical_mix"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_sql(spark, name):
     res = compare(spark, SF, name, queries.QUERIES[name], queries.ORACLE_SQL[name], duck_connection(SF))
     assert res["columns_match"] and res["types_match"] and res["values_match"], res
