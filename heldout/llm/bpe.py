@@ -19,6 +19,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -32,11 +33,12 @@ from heldout.llm import common
 from heldout.session import ship
 
 #: Chunks that a worker remembers the ids of before it starts anew.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 400_000
 #: Pre-tokenizer pattern of the file format (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Between an ASCII letter and an ASCII sign.
-_SEAM = re.compile(rb"(?<=[a-z])(?=[!-/:-@\[-`{-~])")
+_LETTER, _SIGN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[[*range(0x61, 0x7B)]] = True
+_SIGN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -56,7 +58,7 @@ class Bpe:
         model = data["model"]
         steps = [x["type"] for x in (data["normalizer"] or {}).get("normalizers", [])]
         if model["type"] != "BPE" or steps != ["NFC", "Replace", "Lowercase"] or data["decoder"] is not None \
-                or WORDS not in json.dumps(data["pre_tokenizer"]).encode().decode("unicode_escape"):
+                or not model["end_of_word_suffix"] or WORDS not in json.dumps(data["pre_tokenizer"]).encode().decode("unicode_escape"):
             raise ValueError("not a lower-casing word BPE file without a decoder")
         vocab = model["vocab"]
         self.special = {x["content"]: x["id"] for x in data["added_tokens"]}
@@ -64,7 +66,8 @@ class Bpe:
         self.tokens: list[bytes] = [b""] * size
         for token, i in (*vocab.items(), *self.special.items()):
             self.tokens[i] = token.encode()
-        end = model["end_of_word_suffix"] or ""
+        end = model["end_of_word_suffix"]
+        self.end = end.encode()
         letters = byte_letters()
         self.inner = np.array([vocab[x] for x in letters], dtype=np.int64)
         self.final = np.array([vocab[x + end] for x in letters], dtype=np.int64)
@@ -167,6 +170,18 @@ class Bpe:
         return b" ".join([self.tokens[i] for i in ids.tolist()])
 
 
+class _Index(dict):
+    """Chunk to its number; ``fresh`` lists those not seen before."""
+
+    def __init__(self) -> None:
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return number
+
+
 class Remembered:
     """Encoder of whole texts from an encoder of chunks, remembering chunks."""
 
@@ -177,8 +192,8 @@ class Remembered:
         self._forget()
 
     def _forget(self) -> None:
-        self._index: dict[bytes, int] = {}
-        self._ids, self._at, self._used = np.empty(1 << 16, dtype=np.int32), [np.zeros(1, dtype=np.int64)], 0
+        self._index = _Index()
+        self._ids, self._at = np.empty(1 << 16, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def _cut(self, text: bytes) -> list[bytes]:
         """Chunks of a text, lower-cased; as they are if it may hold special
@@ -186,42 +201,31 @@ class Remembered:
         lower = text.lower()
         if any(x in lower for x in self._special):
             return text.split()
-        return _SEAM.sub(b" ", lower).split()
+        raw = np.frombuffer(lower, dtype=np.uint8)
+        seams = np.flatnonzero(_LETTER[raw[:-1]] & _SIGN[raw[1:]]) + 1
+        return np.insert(raw, seams, 0x20).tobytes().split()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self._index) > CACHE_CHUNKS:
             self._forget()
         split = [self._cut(t) for t in texts]
+        ends = common.offsets([len(w) for w in split])
         index = self._index
-        place = [index.setdefault(w, len(index)) for words in split for w in words]
-        known = sum(len(a) for a in self._at) - 1
-        if len(index) > known:
-            fresh = list(index)[known:] if known == 0 else [w for w, i in _tail(index, known)]
-            ids, size = self._encode(fresh)
-            while self._used + len(ids) > len(self._ids):
+        place = np.fromiter(map(index.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(ends[-1]))
+        if index.fresh:
+            ids, size = self._encode(index.fresh)
+            index.fresh = []
+            used = int(self._at[-1])
+            while used + len(ids) > len(self._ids):
                 self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
-            self._ids[self._used:self._used + len(ids)] = ids
-            self._at.append(self._used + np.cumsum(size))
-            self._used += len(ids)
-        at = np.concatenate(self._at)
-        self._at = [at]
-        place = np.array(place, dtype=np.int64)
-        size = at[place + 1] - at[place]
-        flat = self._ids[common.spans(at[place], size)]
-        ends = common.offsets(size)[common.offsets([len(w) for w in split])]
+            self._ids[used:used + len(ids)] = ids
+            self._at = np.concatenate([self._at, used + np.cumsum(size)])
+        size = self._at[place + 1] - self._at[place]
+        flat = self._ids[common.spans(self._at[place], size)]
+        ends = common.offsets(size)[ends]
         return [flat[ends[i]:ends[i + 1]] for i in range(len(split))]
 
 
-def _tail(index: dict[bytes, int], known: int) -> list[tuple[bytes, int]]:
-    """The newest entries of a dictionary, oldest of them first."""
-    out = []
-    for item in reversed(index.items()):
-        if item[1] < known:
-            break
-        out.append(item)
-    return out[::-1]
-
-
 _KNOWN: dict[int, tuple[Bpe, Remembered]] = {}
 
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heldout.llm import common
-from heldout.llm.bpe import Bpe, Remembered, _sent
+from heldout.llm.bpe import Bpe, Remembered, _sent, byte_letters
 from heldout.session import ship
 
 MAGIC = b"HOTOKEN1"
@@ -146,25 +147,57 @@ class Shard:
         return [None] * self._nulls + known.tolist()
 
 
+#: The letters that stand for bytes.
+_BYTES = dict(enumerate(byte_letters()))
+
+
+def _letters(chunk: str) -> bool:
+    """Whether normalising leaves a chunk as it is, and it is one run of letters."""
+    return chunk.isalpha() and chunk == chunk.lower() and unicodedata.is_normalized("NFC", chunk)
+
+
 class _Encoder:
     """Ids of texts from the tokenizers library."""
 
     def __init__(self, source: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._library = Tokenizer.from_str(source)
         self._library.no_truncation()
         self._library.no_padding()
         self.size = self._library.get_vocab_size()
         try:  # a kind of file whose texts may be cut into chunks
-            self._known = Remembered(self._chunks, Bpe(source).special)
+            rules = Bpe(source)
         except ValueError:
             self._known = None
+            return
+        self._known = Remembered(self._chunks, rules.special)
+        # of such a file, bare lower-case letters pass all steps before the model as
+        # they are, but for the letters that stand for their bytes, so the library's
+        # model alone gives their ids
+        self._bare = Tokenizer(self._library.model)
+        self._bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._last = np.array([t.endswith(rules.end) for t in rules.tokens])
 
     def _chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self._lists([c.decode() for c in chunks])
-        return np.array([i for x in ids for i in x], dtype=np.int64), np.array([len(x) for x in ids], dtype=np.int64)
+        bare = np.array([c.isalpha() and c.islower() or _letters(c.decode()) for c in chunks], dtype=bool)
+        plain = [c.decode() if c.isascii() else c.decode("latin-1").translate(_BYTES)
+                 for c, b in zip(chunks, bare, strict=True) if b]
+        joined = self._bare.encode_batch_fast([" ".join(plain[i:i + 500]) for i in range(0, len(plain), 500)],
+                                              add_special_tokens=False)
+        first = np.array([i for x in joined for i in x.ids], dtype=np.int64)
+        # each chunk is one word and ends with the only token that ends one
+        ends = np.flatnonzero(self._last[first]) + 1
+        lists = self._lists([c.decode() for c, b in zip(chunks, bare, strict=True) if not b])
+        size = np.empty(len(chunks), dtype=np.int64)
+        size[bare] = np.diff(ends, prepend=0)
+        size[~bare] = [len(x) for x in lists]
+        ids = np.concatenate([first, np.array([i for x in lists for i in x], dtype=np.int64)])
+        start = np.empty(len(chunks), dtype=np.int64)
+        start[bare] = np.cumsum(size[bare]) - size[bare]
+        start[~bare] = len(first) + np.cumsum(size[~bare]) - size[~bare]
+        return ids[common.spans(start, size)], size
 
     def _lists(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
