@@ -71,8 +71,8 @@ def test_a_dense_cluster_is_not_copied_over_and_over():
     unit = np.concatenate([draw.normal(size=(2000, 64)), draw.normal(size=64) + draw.normal(size=(1000, 64)) * 0.02])
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     forest = rpforest.fit(unit, len(unit), 0.9)
-    for found in forest.leaves(unit):
-        assert sum((rows >= 2000).sum() for _, _, rows in found) <= 4 * 1000
+    for t in range(len(forest.trees)):
+        assert sum((rows >= 2000).sum() for _, _, rows in forest.leaves(t, unit)) <= 4 * 1000
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
