@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -205,17 +206,20 @@ def fit(docs: DataFrame, per_lang: int = 250, epochs: int = 4, batch: int = 1_50
     sample.sort(key=lambda r: (r["draw"], r["lang"], r["text"]))
 
     index: dict[str, int] = {}
-    length, label, words = [], [], []
+    # flat arrays of numbers, as the sample is the most that the driver holds
+    length, label, words, flat, size = (array("q") for _ in range(5))
     for row in sample:
         for chain in chains(row["text"]):
             length.append(len(chain))
             label.append(langs.index(row["lang"]))
-            words += [index.setdefault(w, len(index)) for w in chain]
-    length, label, words = np.array(length, dtype=np.int64), np.array(label, dtype=np.int64), np.array(words, dtype=np.int64)
-    start = common.offsets(length)[:-1]
-    own = [features(w) for w in index]
-    size = np.array([len(f) for f in own], dtype=np.int64)
-    flat, at = np.array([x for f in own for x in f], dtype=np.int64), common.offsets(size)[:-1]
+            words.extend(index.setdefault(w, len(index)) for w in chain)
+    del sample
+    for word in index:
+        own = features(word)
+        flat.extend(own)
+        size.append(len(own))
+    length, label, words, flat, size = (np.array(x, dtype=np.int64) for x in (length, label, words, flat, size))
+    start, at = common.offsets(length)[:-1], common.offsets(size)[:-1]
 
     k = len(langs)
     weights, links = np.zeros((BUCKETS, k)), np.zeros((k, k))

@@ -63,3 +63,9 @@ def test_odd_rows_have_defined_answers(spark, odd):
 
 def test_signs_that_are_no_letters_are_no_words():
     assert langid.chains("12 ² ½ !! __") == [] and langid.chains("Año x2y") == [["año", "x", "y"]]
+
+
+def test_documents_without_letters_teach_nothing(spark):
+    docs = spark.createDataFrame([(1, "12 !!", "en"), (2, "", "de"), (3, None, "en"), (4, "hello", None)], "doc_id long, text string, lang string")
+    rows = {r["doc_id"]: r for r in langid.fit(docs).transform(docs).collect()}
+    assert [rows[i]["lang_pred"] for i in (1, 2, 3, 4)] == ["und", "und", "und", "de"] and rows[4]["score"] == 0.5
