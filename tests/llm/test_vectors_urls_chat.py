@@ -75,6 +75,32 @@ def test_a_dense_cluster_is_not_copied_over_and_over():
         assert sum((rows >= 2000).sum() for _, _, rows in forest.leaves(t, unit)) <= 4 * 1000
 
 
+def test_a_cluster_that_the_sample_hardly_shows_is_compared_in_blocks(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    center = draw.normal(size=64)
+    vectors = np.concatenate([draw.normal(size=(3000, 64)), center + draw.normal(size=(400, 64)) * 0.05])
+    ids = draw.permutation(len(vectors)).astype(np.int64)
+    links, label = _links(ids, vectors)
+    compare_block = rpforest._compare
+
+    def watched(*args):
+        run = compare_block(*args)
+
+        def compared(key, table):
+            # two blocks of about 100 vectors
+            assert table.num_rows < 300, table.num_rows
+            return run(key, table)
+        return compared
+
+    monkeypatch.setattr(rpforest, "_compare", watched)
+    monkeypatch.setattr(rpforest, "PAIRS", 100, raising=False)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    # about 20 of the 400 are in the sample, fewer than TELLING
+    got = {r["vec_id"]: r for r in near_vectors(frame, sample=170, leaf=100, block=100).collect()}
+    assert [got[i]["n_links"] for i in ids] == links.tolist()
+    assert [got[i]["component_id"] for i in ids] == label.tolist()
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_sql(spark, name):
     res = compare(spark, SF, name, queries.QUERIES[name], queries.ORACLE_SQL[name], duck_connection(SF))
