@@ -161,7 +161,8 @@ def filed(words: Words, width: int = WIDTH, upto: int = LEVELS) -> tuple[np.ndar
         # the least hash in each range, the symbol's place in the low half
         order = (common.mix(own) & ~U64(0xFFFFFFFF)) | np.arange(len(own), dtype=U64)
         tables = [order]
-        for k in range(4):
+        # a window holds at most ``width`` symbols
+        for k in range(int(width).bit_length() - 1):
             t = tables[-1].copy()
             t[:-(1 << k) or None] = np.minimum(t[:-(1 << k)], t[1 << k:]) if len(t) > 1 << k else t[:-(1 << k)]
             tables.append(t)

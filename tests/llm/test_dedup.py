@@ -104,6 +104,20 @@ def test_windows_of_runs_periods_and_overlaps(spark):
         assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"].encode().split()) for r in got} == want
 
 
+def test_wide_windows_with_many_symbols(spark):
+    draw = np.random.default_rng(10)
+    vocabulary = [f"w{i}" for i in range(500)]
+    passages = [list(draw.choice(vocabulary, n)) for n in (39, 40, 70, 99, 100, 101, 160, 300)]
+    docs = {i: " ".join([*draw.choice(vocabulary, int(draw.integers(0, 60))), *passages[draw.integers(len(passages))],
+                         *draw.choice(vocabulary, int(draw.integers(0, 60))), *passages[draw.integers(len(passages))]]) for i in range(60)}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    for width in (40, 100):
+        got = remove_repeats(frame, width, layout=False).collect()
+        want = plain.without_repeats(docs, width)
+        assert sum(gone for _, gone, _ in want.values()) > 1000
+        assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"].encode().split()) for r in got} == want
+
+
 def test_equal_passages_have_equal_inner_symbols():
     draw = np.random.default_rng(3)
     vocabulary = [b"w%d" % i for i in range(40)]
