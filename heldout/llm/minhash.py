@@ -8,7 +8,9 @@ verify them, full shingle sets to confirm them.
    population count c gives their number of different samples, -m/2 ln(1 - 2c/m)
    (m bits), and with the set sizes the similarity.  The estimate is sharpest
    where similarity is high.
-2. Documents with equal sets are one representative (smallest id) from here on.
+2. Documents with equal sets are one representative (smallest id) from here on.  A
+   doc_id that is the smallest of several sets stands for one of them, each
+   of the others goes by a 64-bit hash of its own until the components are known.
 3. Representatives that share a band key meet in a bucket.  In the first round
    each is compared with the smallest member of its buckets, and the best of
    them by odd sketch is confirmed on full sets: linear in the bucket.
@@ -46,7 +48,7 @@ SAMPLES, BITS, FOLDED = 1024, 4096, 512
 DEVIATIONS = 6
 #: Most members of a bucket that are compared with one another in one group.
 BLOCK = 2_000
-_SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+_SIGNATURE = "doc_id long, told long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -126,9 +128,9 @@ def _signatures(n: int, bands: int, rows: int):
                 for j, i in enumerate(full):
                     a[i], b[i], keys[i], sketch[i] = one[j], two[j], band[j], odd[j]
             yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a, pa.int64()),
+                piece.column("doc_id"), piece.column("told"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a, pa.int64()),
                 pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())),
-            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+            ], names=["doc_id", "told", "n_shingles", "set_a", "set_b", "bands", "sketch"])
     return run
 
 
@@ -214,21 +216,30 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     """
     ship(docs.sparkSession)
     threshold = percent / 100
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # ``told`` tells the texts of one doc_id apart
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("told"))
     signed = materialize(docs.mapInArrow(_signatures(n, bands, rows), _SIGNATURE))
-    reps = materialize(signed.where("doc_id is not null and n_shingles > 0").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    sets = materialize(signed.where("doc_id is not null and n_shingles > 0").groupBy("set_a", "set_b").agg(
+        F.min(F.struct("doc_id", "told")).alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch")).select("set_a", "set_b", "least.*", "n", "bands", "sketch"))
+    # doc_ids that are the smallest of several sets: one set goes by the doc_id, the others by a hash
+    crowded = materialize(sets.groupBy("doc_id").agg(F.min(F.struct("set_a", "set_b")).alias("own"), F.count(F.lit(1)).alias("sets"))
+                          .where("sets > 1").select("doc_id", "own"))
+    other = F.col("own").isNotNull() & (F.struct("set_a", "set_b") != F.col("own"))
+    reps = (sets.join(crowded, "doc_id", "left").withColumn("hashed", F.coalesce(other, F.lit(False)))
+            .withColumn("rep", F.when(F.col("hashed"), F.xxhash64("set_a", "set_b")).otherwise(F.col("doc_id"))))
+    hashed = materialize(reps.where("hashed").select("rep"))
     placed = materialize(signed.join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"], "left")
                          .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")))
     release(signed)
-    # of a doc_id with several texts the largest
-    sketches = reps.groupBy("rep").agg(F.max(F.struct("n", "sketch")).alias("s")).select("rep", "s.n", "s.sketch")
+    sketches = reps.select("rep", "n", "sketch")
 
     members = reps.select("rep", F.explode("bands").alias("key")).distinct()
     shared = (members.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
               .where("center < last").select("key", "center"))
     buckets = materialize(members.join(shared, "key"))
-    texts = materialize(docs.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    texts = materialize(docs.join(reps.select("doc_id", "told", "rep").join(buckets.select("rep").distinct(), "rep", "left_semi"),
+                                  ["doc_id", "told"]).select("rep", "text"))
 
     stars = (buckets.where("rep <> center").select("rep", "center").distinct().join(sketches, "rep")
              .join(sketches.select(F.col("rep").alias("center"), F.col("n").alias("n_other"), F.col("sketch").alias("other")),
@@ -238,8 +249,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
              .select(F.col("best.center").alias("a"), F.col("rep").alias("b")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        one = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
+        two = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
         return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
                            .mapInArrow(_confirm(n, percent), "a long, b long, linked boolean"))
 
@@ -287,7 +298,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
         tested.append(fresh)
         fan *= 8
 
-    release(reps, buckets, texts, ties, *tested)
+    # a hashed set is tied to its doc_id, so its component's smallest doc_id is there, too
+    renamed = materialize(labels.join(hashed.select(F.col("rep").alias("label")), "label", "left_semi")
+                          .join(hashed.select(F.col("rep").alias("id")), "id", "left_anti")
+                          .groupBy("label").agg(F.min("id").alias("smallest")))
+    release(sets, crowded, hashed, buckets, texts, ties, *tested)
     return (placed.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-            .select("doc_id", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
+            .withColumn("label", F.coalesce("label", "rep")).join(renamed, "label", "left")
+            .select("doc_id", "n_shingles", F.coalesce("smallest", "label", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

@@ -71,6 +71,20 @@ def test_one_id_with_several_texts_is_one_document(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4}
 
 
+def test_near_copies_of_each_text_of_an_id_are_linked(spark):
+    large, small = [f"a{i}" for i in range(90)], [f"b{i}" for i in range(50)]
+    third = [f"c{i}" for i in range(60)]
+    rows = [(2, large), (2, small), (2, third), (5, small + ["end"]), (6, large + ["end"]), (7, small), (8, ["start", *small]),
+            (9, third[1:]), (1, third), (1, [f"d{i}" for i in range(40)]), (10, [f"d{i}" for i in range(41)]), (11, [f"e{i}" for i in range(40)])]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = near_duplicates(frame, 5).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 1 for i in (1, 2, 5, 6, 7, 8, 9, 10)} | {11: 11}
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == [1, 1, 11]
+    rows = [(i, t) for i, t in rows if i not in (1, 9, 10)] + [(3, [f"f{i}" for i in range(40)])]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(frame, 5).collect()} == {2: 2, 5: 2, 6: 2, 7: 2, 8: 2, 3: 3, 11: 11}
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 60)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
     edges += [(7, 7), (300, 299), (300, 299), (None, 3)]
