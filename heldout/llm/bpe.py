@@ -8,7 +8,8 @@ batch lie in one flat symbol array.  A round looks every adjacent pair up by
 binary search over the sorted pair keys, takes the lowest rank of each word and
 merges it wherever it stands, left to right; words without a known pair leave.
 
-Chunks between ASCII white space are encoded once per worker and remembered:
+Chunks between ASCII white space are encoded once per worker and remembered, up
+to a number of bytes (long chunks never):
 no rule of such a file looks across white space, nor from an ASCII letter to an
 ASCII sign behind it, so a text is also cut there.
 """
@@ -32,8 +33,6 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from heldout.llm import common
 from heldout.session import ship
 
-#: Chunks that a worker remembers the ids of before it starts anew.
-CACHE_CHUNKS = 400_000
 #: Pre-tokenizer pattern of the file format (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTER, _SIGN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
@@ -170,30 +169,13 @@ class Bpe:
         return b" ".join([self.tokens[i] for i in ids.tolist()])
 
 
-class _Index(dict):
-    """Chunk to its number; ``fresh`` lists those not seen before."""
-
-    def __init__(self) -> None:
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, chunk: bytes) -> int:
-        number = self[chunk] = len(self)
-        self.fresh.append(chunk)
-        return number
-
-
 class Remembered:
     """Encoder of whole texts from an encoder of chunks, remembering chunks."""
 
     def __init__(self, encode_chunks: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
                  special: Iterable[str]) -> None:
-        self._encode = encode_chunks
+        self._memory = common.Memory(encode_chunks)
         self._special = [x.lower().encode() for x in special]
-        self._forget()
-
-    def _forget(self) -> None:
-        self._index = _Index()
-        self._ids, self._at = np.empty(1 << 16, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def _cut(self, text: bytes) -> list[bytes]:
         """Chunks of a text, lower-cased; as they are if it may hold special
@@ -206,22 +188,9 @@ class Remembered:
         return np.insert(raw, seams, 0x20).tobytes().split()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self._index) > CACHE_CHUNKS:
-            self._forget()
         split = [self._cut(t) for t in texts]
         ends = common.offsets([len(w) for w in split])
-        index = self._index
-        place = np.fromiter(map(index.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(ends[-1]))
-        if index.fresh:
-            ids, size = self._encode(index.fresh)
-            index.fresh = []
-            used = int(self._at[-1])
-            while used + len(ids) > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
-            self._ids[used:used + len(ids)] = ids
-            self._at = np.concatenate([self._at, used + np.cumsum(size)])
-        size = self._at[place + 1] - self._at[place]
-        flat = self._ids[common.spans(self._at[place], size)]
+        flat, size = self._memory.ids(chain.from_iterable(split), int(ends[-1]))
         ends = common.offsets(size)[ends]
         return [flat[ends[i]:ends[i + 1]] for i in range(len(split))]
 

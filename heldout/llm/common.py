@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,23 +11,87 @@ import pyarrow.compute as pc
 import xxhash
 
 U64 = np.uint64
-#: Words that a worker remembers the hash of before it starts anew.
-CACHE_WORDS = 1_000_000
+#: Bytes that a worker's memory of words or chunks takes before it starts anew.
+MEMORY = 64 << 20
+#: Longest word or chunk that is remembered at all, and about what an entry takes
+#: beside its key.
+LONGEST, ENTRY = 64, 110
 
 
 class _Hashes(dict):
-    """Word (bytes) to its 64-bit hash; bounded by starting over."""
+    """Word (bytes) to its 64-bit hash; bounded in bytes by starting over."""
+
+    held = 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= LONGEST:
+            if self.held >= MEMORY:
+                self.clear()
+                self.held = 0
+            self.held += sys.getsizeof(word) + ENTRY
+            self[word] = value
         return value
 
 
 _HASHES = _Hashes()
 
 
+class Numbers(dict):
+    """Key to its number, in order of first sight.  ``fresh`` lists keys that
+    were new; keys too long to remember are in ``long``, number -1 and down,
+    each time that they are met."""
+
+    def __init__(self) -> None:
+        self.fresh: list[Hashable] = []
+        self.long: list[Hashable] = []
+        self.held = 0
+
+    def __missing__(self, key) -> int:
+        if len(key) > LONGEST:
+            self.long.append(key)
+            return -len(self.long)
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        self.held += sys.getsizeof(key) + ENTRY
+        return number
+
+
+class Memory:
+    """An encoder of chunks (a list of them to their ids, one after another, and
+    how many each has) that remembers what it has encoded, up to ``MEMORY`` bytes
+    and what one call brings."""
+
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]]) -> None:
+        self._encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers = Numbers()
+        self._ids, self._at = np.empty(1 << 16, dtype=np.int32), np.zeros(1, dtype=np.int64)
+
+    def ids(self, chunks: Iterable, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``count`` chunks and how many each has."""
+        if self._numbers.held + self._ids.nbytes + self._at.nbytes > MEMORY:
+            self._forget()
+        numbers = self._numbers
+        place = np.fromiter(map(numbers.__getitem__, chunks), dtype=np.int64, count=count)
+        at, known = self._at, len(self._at) - 1
+        if numbers.fresh or numbers.long:
+            fresh = len(numbers.fresh)
+            ids, size = self._encode(numbers.fresh + numbers.long)
+            used = int(at[-1])
+            while used + len(ids) > len(self._ids):
+                self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
+            self._ids[used:used + len(ids)] = ids
+            at = np.concatenate([at, used + np.cumsum(size)])
+            self._at = at[:known + fresh + 1]
+            place = np.where(place < 0, known + fresh - 1 - place, place)
+            numbers.fresh, numbers.long = [], []
+        size = at[place + 1] - at[place]
+        return self._ids[spans(at[place], size)], size
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose ``column`` holds about ``limit`` bytes (or
     one row, if that row alone is longer)."""

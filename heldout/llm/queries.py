@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heldout.llm import bpe, chat, fingerprint, langid, mixing, tokenfile, urlfilter
+from heldout.llm import bpe, bytebpe, chat, fingerprint, langid, merkle, mixing, tokenfile, urlfilter
 from heldout.llm.minhash import near_duplicates
 from heldout.llm.recompression import remove_repeats
+from heldout.llm.resample import resample
 from heldout.llm.rpforest import near_vectors
 from heldout.session import scratch_path
 
@@ -136,10 +137,40 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents by source, and the roots that they give;
+    of a fifth of the documents with A-Z of the text lower-cased."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    forged = F.when(tampered, merkle.leaf_hash("doc_id", "source", "lang", "n_chars", F.translate("text", _CAPITALS, _SMALL)))
+    proofs = merkle.manifest(docs, carry={"forged": forged})
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(merkle.siblings(F.col("proof")), ""), 256).alias("proof_sha256"),
+        merkle.fold(F.coalesce("forged", "leaf"), F.col("proof")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level token ids of all documents, and the bytes that they decode
+    to."""
+    coded = bytebpe.encode(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighted towards the benchmark's texts, and the tenth of
+    them that is drawn."""
+    drawn = resample(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
-    "op2_recompression_substring_dedup": op2_recompression_substring_dedup,
     "op3_crf_language_id": op3_crf_language_id,
     "op4_rp_forest_near_dedup": op4_rp_forest_near_dedup,
     "op5_prefix_target_chat": op5_prefix_target_chat,
@@ -148,8 +179,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_byte_bpe_round_trip": op12_byte_bpe_round_trip,
+    "op13_importance_resample": op13_importance_resample,
 }
 
+
+def _crc32_sql(text: str) -> str:
+    """SQL of the unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: list_reduce("
+            "list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)")
+
+
 def _mix_level(i: int) -> str:
     """SQL of one level's shares; ``i`` counts from the root."""
     level, above = MIX_LEVELS[i], MIX_LEVELS[:i]
@@ -168,6 +210,42 @@ def _mix_level(i: int) -> str:
       ELSE w * max(CASE WHEN ratio > lvl THEN lvl END) OVER ({by.strip()}) END AS budget FROM step{i}),"""
 
 
+def _told_sql(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR)) || ':' || {column}, '-')"
+
+
+#: Levels of a group and of the subroots that the SQL of op11 covers: 16 ** 7 nodes.
+_MERKLE_LEVELS = 7
+
+
+def _merkle_sql(name: str, keys: str) -> str:
+    """SQL of all levels of trees over ``{name}0`` (the keys, pos, h), and of each
+    first node's hashes to the left and right at each level (null: none made)."""
+    out = f"{name}n0 AS (SELECT {keys}, count(*) AS n FROM {name}0 GROUP BY {keys}),"
+    for i in range(_MERKLE_LEVELS):
+        out += f"""
+  {name}{i + 1} AS (SELECT {keys}, pos // 16 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+    FROM {name}{i} JOIN {name}n{i} USING ({keys}) GROUP BY {keys}, pos // 16),
+  {name}n{i + 1} AS (SELECT {keys}, (n + 15) // 16 AS n FROM {name}n{i}),
+  {name}s{i} AS (SELECT a.{keys}, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+      coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+    FROM {name}{i} a JOIN {name}{i} b ON a.{keys} = b.{keys} AND a.pos // 16 = b.pos // 16 JOIN {name}n{i} c ON a.{keys} = c.{keys}
+    WHERE c.n > 1 GROUP BY a.{keys}, a.pos),"""
+    return out
+
+
+def _fold_sql() -> str:
+    """SQL of each document's node and hashes so far, from its leaf to the root."""
+    out, last = "", "start"
+    for i in range(2 * _MERKLE_LEVELS):
+        of, level, pos, key = ("leaf", i, "pos", "src") if i < _MERKLE_LEVELS else ("top", i - _MERKLE_LEVELS, "spot", "one")
+        out += f"""
+  fold{i} AS (SELECT p.* REPLACE (CASE WHEN s.l IS NULL THEN x ELSE sha256(s.l || x || s.r) END AS x, proof || coalesce(s.l || s.r, '') AS proof,
+      p.{pos} // 16 AS {pos}) FROM {last} p LEFT JOIN {of}s{level} s ON s.{key} = p.{key} AND s.pos = p.{pos}),"""
+        last = f"fold{i}"
+    return out
+
+
 #: Components of links (a, b) among ids, by reachability (for small tables).
 _COMPONENTS_SQL = """
   reach AS (SELECT id, id AS node FROM ids UNION
@@ -265,5 +343,41 @@ WITH docs AS (
       sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || whole || ':' || doc_id)) - tokens AS start
     FROM docs d JOIN epoch USING (domain, lang, source))
 SELECT doc_id, tokens, domain, lang, source, (whole + CASE WHEN start < rest THEN 1 ELSE 0 END)::BIGINT AS epochs FROM placed
+""",
+    "op11_merkle_manifest": f"""
+WITH docs AS (
+    SELECT *, translate(text, '{_CAPITALS}', '{_SMALL}') AS small, coalesce('=' || source, '') AS src FROM documents),
+  hashed AS (SELECT doc_id, src, sha256({" || ".join(map(_told_sql, ("doc_id", "source", "lang", "n_chars", "text")))}) AS h,
+      CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 5 = 0
+        THEN sha256({" || ".join(map(_told_sql, ("doc_id", "source", "lang", "n_chars", "small")))}) END AS forged FROM docs),
+  leaf0 AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM hashed),
+  {_merkle_sql("leaf", "src")}
+  top0 AS (SELECT 1 AS one, src, h, row_number() OVER (ORDER BY encode(src)) - 1 AS pos FROM leaf{_MERKLE_LEVELS}),
+  {_merkle_sql("top", "one")}
+  start AS (SELECT doc_id, a.src, a.pos, 1 AS one, t.pos AS spot, a.h AS leaf, t.h AS subroot, coalesce(forged, a.h) AS x, '' AS proof
+    FROM leaf0 a JOIN top0 t USING (src)),{_fold_sql()}
+  root AS (SELECT h FROM top{_MERKLE_LEVELS})
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = root.h AS verified
+FROM fold{2 * _MERKLE_LEVELS - 1}, root
+""",
+    "op13_importance_resample": f"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALL}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS l FROM documents),
+  wanted AS (SELECT regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALL}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS l FROM benchmark),
+  own AS (SELECT doc_id, unnest(l) AS word FROM texts),
+  theirs AS (SELECT unnest(l) AS word FROM wanted),
+  hashed AS (SELECT word, {_crc32_sql("word")} % 10000 AS bucket FROM (SELECT word FROM own UNION SELECT word FROM theirs)),
+  s AS (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (word) GROUP BY bucket),
+  t AS (SELECT bucket, count(*) AS t FROM theirs JOIN hashed USING (word) GROUP BY bucket),
+  gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+      / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(sum(t) OVER (), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM (SELECT range AS bucket FROM range(10000)) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+  weights AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS g FROM own JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+  scored AS (SELECT doc_id, coalesce(n, 0) AS n, CASE WHEN n > 0 THEN (g - ((g % n) + n) % n) // n ELSE 0 END AS weight,
+      (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4294967296::DOUBLE AS u FROM texts LEFT JOIN weights USING (doc_id)),
+  noised AS (SELECT doc_id, n, weight, weight + floor(-1000 * ln(-ln(u)))::BIGINT AS score FROM scored),
+  placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 10 // 100 AS drawn FROM noised WHERE n >= 20)
+SELECT doc_id, n::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN place <= drawn THEN place END::BIGINT AS rank
+FROM noised LEFT JOIN placed USING (doc_id)
 """,
 }

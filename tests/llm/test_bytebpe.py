@@ -1,0 +1,81 @@
+import base64
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from plain import SF, sha
+from heldout.llm import bytebpe, queries
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(PATH, encoding="ascii") as f:
+        return bytebpe.Codec(f.read(), public_tokenizers.PATTERN, bytebpe.stand_ins())
+
+
+def test_query_matches_the_library(spark, texts, library):
+    got = {r["doc_id"]: r for r in queries.op12_byte_bpe_round_trip(spark, SF).collect()}
+    assert len(got) == len(texts)
+    for i, text in texts.items():
+        ids = library.encode_ordinary(text)
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"], got[i]["decoded_sha256"]) == (
+            len(ids), sha(np.array(ids, dtype="<u4").tobytes()), sha(text))
+
+
+def test_every_sign_and_odd_neighbours(codec, library):
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(signs[i:i + 997]) for i in range(0, len(signs), 997)]
+    # of signs that Unicode versions class differently, each between others
+    odd = [s for s in signs if any(p.match(s) for _, p in codec._odd)]
+    texts += [f"a{s}b1{s}2 {s} {s}{s}. {s}'s" for s in [*odd[::97], "ſ", "̀", "\x85", "\x1c", "᠎", "'", "​"]]
+    draw = np.random.default_rng(2)
+    pool = [*"  \n\t\r'sS'll'RE1٣².,!aéß漢字🙂́‍\x00\x1f\xa0　"]
+    texts += ["".join(draw.choice(pool, int(draw.integers(1, 60)))) for _ in range(3000)]
+    for text, ids in zip(texts, codec.encode(texts), strict=True):
+        assert ids.tolist() == library.encode_ordinary(text), repr(text)
+        assert codec.decode(ids) == text.encode()
+
+
+def test_long_texts_and_long_pretokens(codec, library, monkeypatch):
+    draw = np.random.default_rng(5)
+    long = ["x" * 30_000, "ab" * 9_000 + "漢" * 5_000, " " * 20_000 + "end", "\n \n" * 5_000,
+            " ".join(draw.choice(["word", "другое", "語", "1234", "it's", "  "], 40_000))]
+    monkeypatch.setattr(bytebpe, "BLOCK", 1_000)
+    for text in long:
+        assert "".join(bytebpe.blocks(text)) == text
+        assert codec.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
+def test_merges_that_do_not_reach_a_token_are_looked_up():
+    # b'abc' is a token, but 'ab' is not, and 'bc' with a worse rank is merged first
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"cd": 257, b"abcd": 258, b"aaa": 259, b"aa": 260}
+    source = "\n".join(f"{base64.b64encode(t).decode()} {i}" for t, i in ranks.items())
+    codec = bytebpe.Codec(source, r"\S+|\s+", {})
+    library = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    for text in ("abcd", "abcd abcde", "aaa", "aaaa aa aaaaa", "bcd cd"):
+        assert codec.encode([text])[0].tolist() == library.encode_ordinary(text)
+    with pytest.raises(ValueError):
+        bytebpe.serialised({b"a": 0})
+
+
+def test_odd_rows_and_the_way_back(spark, odd, library):
+    coded = bytebpe.encode(odd, PATH, public_tokenizers.PATTERN, decode=True)
+    got = coded.collect()
+    assert len(got) == odd.count()
+    want = sorted((str(r["doc_id"]), library.encode_ordinary(r["text"] or "")) for r in odd.collect())
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in got) == want
+    assert sorted((str(r["doc_id"]), bytes(r["decoded"])) for r in got) == sorted((str(r["doc_id"]), (r["text"] or "").encode()) for r in odd.collect())
+    back = bytebpe.decode(coded.select("doc_id", "ids"), PATH, public_tokenizers.PATTERN).collect()
+    assert sorted((str(r["doc_id"]), bytes(r["decoded"])) for r in back) == sorted((str(r["doc_id"]), bytes(r["decoded"])) for r in got)
+    assert bytebpe.encode(odd.limit(0), PATH, public_tokenizers.PATTERN).collect() == []

@@ -1,0 +1,72 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from plain import SF
+from heldout.llm import queries, resample
+
+_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _runs(text, most):
+    words = _WORD.findall((text or "").encode().lower())
+    return len(words), [b" ".join(words[i:i + n]) for n in range(1, most + 1) for i in range(len(words) - n + 1)]
+
+
+def _plain(docs, target, percent, least, most, buckets, seed):
+    bucket = lambda f: zlib.crc32(f) % buckets
+    own = [(i, *_runs(t, most)) for i, t in docs]
+    s = Counter(bucket(f) for *_, fs in own for f in fs)
+    t = Counter(bucket(f) for x in target for f in _runs(x, most)[1])
+    S, T = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (S + buckets) / ((s[b] + 1) * (T + buckets))))
+    out = []
+    for i, n, fs in own:
+        weight = sum(gain(bucket(f)) for f in fs) // len(fs) if fs else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, n, len(fs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((x for x in out if x[1] >= least), key=lambda x: (-x[4], x[0] is None, x[0] or 0, x[2], x[1]))
+    drawn = Counter()
+    for place, x in enumerate(able[:len(able) * percent // 100]):
+        drawn[(*x, place + 1)] += 1
+    for x in able[len(able) * percent // 100:] + [x for x in out if x[1] < least]:
+        drawn[(*x, None)] += 1
+    return drawn
+
+
+@pytest.mark.parametrize("most,buckets", [(1, 10_000), (2, 10_000), (3, 97)])
+def test_weights_and_draw_match_a_plain_version(spark, texts, most, buckets):
+    target = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = resample.resample(docs, spark.read.parquet(f"{SF}/benchmark.parquet"), most=most, buckets=buckets, percent=25, seed=3).collect()
+    assert Counter(map(tuple, got)) == _plain(list(texts.items()), target, 25, 20, most, buckets, 3)
+
+
+def test_query_draws_a_tenth_towards_the_benchmark(spark, texts):
+    got = queries.op13_importance_resample(spark, SF).collect()
+    able = sum(len(_WORD.findall(t.encode().lower())) >= 20 for t in texts.values())
+    drawn = [r for r in got if r["rank"]]
+    assert sorted(r["rank"] for r in drawn) == list(range(1, able // 10 + 1)) and len(got) == len(texts)
+    assert np.mean([r["weight"] for r in drawn]) > np.mean([r["weight"] for r in got if r["n_features"] >= 20])
+
+
+def test_odd_rows_and_empty_tables(spark, odd):
+    target = spark.createDataFrame([("one same text",), (None,), ("",)], "text string")
+    want = _plain([(r["doc_id"], r["text"]) for r in odd.collect()], ["one same text"], 50, 1, 2, 50, 2024)
+    assert Counter(map(tuple, resample.resample(odd, target, 50, 1, 2, 50).collect())) == want
+    none = _plain([(r["doc_id"], r["text"]) for r in odd.collect()], [], 50, 1, 1, 50, 2024)
+    assert Counter(map(tuple, resample.resample(odd, target.limit(0), 50, 1, 1, 50).collect())) == none
+    assert resample.resample(odd.limit(0), target).collect() == []
+
+
+def test_runs_stay_within_their_text():
+    found = list(resample.grams(pa.array(["a b", "", None, "B  c\x00d", "é1-ß"]), 3, 1 << 32))
+    want = [[(0, b"a"), (0, b"b"), (3, b"b"), (3, b"c"), (3, b"d"), (4, "é1".encode()), (4, "ß".encode())],
+            [(0, b"a b"), (3, b"b c"), (3, b"c d"), (4, "é1 ß".encode())], [(3, b"b c d")]]
+    assert [list(zip(*(x.tolist() for x in f), strict=True)) for f in found] == [[(i, zlib.crc32(g)) for i, g in w] for w in want]
