@@ -15,7 +15,15 @@ verify them, full shingle sets to confirm them.
    each is compared with the smallest member of its buckets, and the best of
    them by odd sketch is confirmed on full sets: linear in the bucket.
 4. Members of a bucket that now carry one label need no further comparison.
-   In buckets with several labels, each member outside the bucket's largest
+   Buckets with more than ``LARGE`` members outside their largest label (texts
+   that share much, but not enough, such as a template) give way to finer ones:
+   their members' shingles are put in one order, rare ones first, and each
+   member is filed under the first of them, so many that two sets with
+   the threshold similarity must share one (a prefix index; exact, whatever the
+   order).  What many share is seldom in a prefix.  Frequencies are counted in
+   ``SLOTS`` hash slots; buckets that are still large are counted anew among
+   their own members, as long as that at least halves them.
+5. In buckets with several labels, each member outside the bucket's largest
    label is compared by odd sketch with every member of another label, in
    blocks of bounded size; the best ``fan`` of each are confirmed.  Rounds go
    on, with a wider fan, until no untested pair is left.  So every pair with
@@ -48,6 +56,11 @@ SAMPLES, BITS, FOLDED = 1024, 4096, 512
 DEVIATIONS = 6
 #: Most members of a bucket that are compared with one another in one group.
 BLOCK = 2_000
+#: Members outside the largest label from which a bucket gives way to a prefix index.
+LARGE = 256
+#: Slots (a power of 2) in which shingles are counted for the order of the index; a
+#: byte each is broadcast.
+SLOTS = 1 << 20
 _SIGNATURE = "doc_id long, told long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 
@@ -202,6 +215,43 @@ def _close_pairs(threshold: float, fan: int):
     return run
 
 
+def _slots(hashes: np.ndarray, turn: int) -> np.ndarray:
+    return (common.mix(hashes ^ U64(0xF1E0 + turn)) & U64(SLOTS - 1)).astype(np.int64)
+
+
+def _slot_counts(n: int, turn: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for piece in common.pieces(batches, "text", 1 << 20):
+            total += np.bincount(_slots(np.concatenate(shingle_sets(common.text_bytes(piece), n)), turn), minlength=SLOTS)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(met, pa.int32()), "n": pa.array(total[met])})
+    return run
+
+
+def _prefixes(sent, n: int, percent: int, turn: int):
+    """(rep, key) for each of a set's first members in the order of ``sent``, as
+    many as two sets with the threshold similarity must share one of."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in common.pieces(batches, "text", 1 << 20):
+            sets = shingle_sets(common.text_bytes(piece), n)
+            size = np.array([len(s) for s in sets], dtype=np.int64)
+            flat = np.concatenate(sets)
+            owner = np.repeat(np.arange(len(sets)), size)
+            order = np.lexsort((flat, sent.value[_slots(flat, turn)], owner))
+            first = order[common.spans(common.offsets(size)[:-1], np.minimum(size, size - -(-percent * size // 100) + 1))]
+            yield pa.RecordBatch.from_pydict({"rep": piece.column("rep").to_numpy()[owner[first]],
+                                              "key": common.signed(common.mix(flat[first] + U64(0x9E1D + turn)))})
+    return run
+
+
+def _met(members: DataFrame) -> DataFrame:
+    """Rows (key, rep, center) of the keys with several members."""
+    shared = (members.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
+              .where("center < last").select("key", "center"))
+    return materialize(members.join(shared, "key").select("key", "rep", "center"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one for each row of
@@ -214,7 +264,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     link of any of them is a link of all.  A null doc_id is never linked
     and is kept, with a null component_id.  An empty table gives no rows.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     threshold = percent / 100
     # ``told`` tells the texts of one doc_id apart
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("told"))
@@ -234,19 +285,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     release(signed)
     sketches = reps.select("rep", "n", "sketch")
 
-    members = reps.select("rep", F.explode("bands").alias("key")).distinct()
-    shared = (members.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
-              .where("center < last").select("key", "center"))
-    buckets = materialize(members.join(shared, "key"))
+    buckets = _met(reps.select("rep", F.explode("bands").alias("key")).distinct())
+    # one text of each representative, however many rows repeat it
     texts = materialize(docs.join(reps.select("doc_id", "told", "rep").join(buckets.select("rep").distinct(), "rep", "left_semi"),
-                                  ["doc_id", "told"]).select("rep", "text"))
+                                  ["doc_id", "told"]).groupBy("doc_id", "told").agg(F.first("rep").alias("rep"), F.first("text").alias("text"))
+                        .select("rep", "text"))
 
-    stars = (buckets.where("rep <> center").select("rep", "center").distinct().join(sketches, "rep")
-             .join(sketches.select(F.col("rep").alias("center"), F.col("n").alias("n_other"), F.col("sketch").alias("other")),
-                   "center")
-             .mapInArrow(_star_pairs(threshold), "rep long, center long, over double").where("over <= 0")
-             .groupBy("rep").agg(F.min(F.struct("over", "center")).alias("best"))
-             .select(F.col("best.center").alias("a"), F.col("rep").alias("b")))
+    def stars(of: DataFrame) -> DataFrame:
+        return (of.where("rep <> center").select("rep", "center").distinct().join(sketches, "rep")
+                .join(sketches.select(F.col("rep").alias("center"), F.col("n").alias("n_other"), F.col("sketch").alias("other")),
+                      "center")
+                .mapInArrow(_star_pairs(threshold), "rep long, center long, over double").where("over <= 0")
+                .groupBy("rep").agg(F.min(F.struct("over", "center")).alias("best"))
+                .select(F.col("best.center").alias("a"), F.col("rep").alias("b")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
@@ -254,28 +305,66 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
         return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
                            .mapInArrow(_confirm(n, percent), "a long, b long, linked boolean"))
 
-    tested, fan = [confirmed(stars)], 8
     # a doc_id with several texts ties their sets together
     several = (placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
                .where("a < z").select("doc_id", "a"))
     ties = materialize(placed.join(several, "doc_id").select("a", F.col("rep").alias("b")))
-    labels, linked = None, True
-    while True:
+    tested: list[DataFrame] = []
+
+    def so_far() -> DataFrame:
         every = tested[0]
         for t in tested[1:]:
             every = every.unionByName(t)
-        if linked:
-            stale, labels = labels, materialize(connected_components(every.where("linked").select("a", "b").unionByName(ties)))
+        return every
+
+    def labelled(stale: DataFrame | None) -> DataFrame:
+        new = materialize(connected_components(so_far().where("linked").select("a", "b").unionByName(ties)))
+        if stale is not None:
             release(stale)
-        named = (buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-                 .select("key", "rep", F.coalesce("label", "rep").alias("label")))
-        sizes = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-                 .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"),
-                                     F.count(F.lit(1)).alias("labels")).where("labels > 1")
-                 .select("key", F.col("top.label").alias("main"),
-                         F.ceil(F.col("all") / BLOCK).cast("int").alias("there"),
-                         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("asking")))
-        mixed = (named.join(sizes, "key").join(sketches, "rep")
+        return new
+
+    def named(of: DataFrame) -> DataFrame:
+        return (of.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+                .select("key", "rep", "center", F.coalesce("label", "rep").alias("label")))
+
+    def sizes(of: DataFrame) -> DataFrame:
+        """Keys with several labels: the largest, all members, those outside it."""
+        return (of.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"),
+                                    F.count(F.lit(1)).alias("labels")).where("labels > 1")
+                .select("key", F.col("top.label").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("outside")))
+
+    tested.append(confirmed(stars(buckets)))
+    labels = labelled(None)
+    fine, turn, most = buckets, 0, None
+    while True:
+        large = materialize(sizes(named(fine)).where(F.col("outside") > LARGE).select("key"))
+        crowd = materialize(fine.join(large, "key", "left_semi").select("rep").distinct())
+        many = crowd.count()
+        if not many or (most is not None and 2 * many > most):
+            release(large, crowd)
+            break
+        asked = texts.join(crowd, "rep", "left_semi")
+        counts = asked.mapInArrow(_slot_counts(n, turn), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        scale = np.zeros(SLOTS, dtype=np.uint8)  # eighths of a doubling are told apart, a byte each
+        scale[counts.column("slot").to_numpy()] = np.minimum(255, 1 + 8 * np.log2(counts.column("n").to_numpy()))
+        finer = _met(asked.mapInArrow(_prefixes(spark.sparkContext.broadcast(scale), n, percent, turn), "rep long, key long"))
+        rest = materialize(buckets.join(large, "key", "left_anti").unionByName(finer))
+        tested.append(confirmed(stars(finer).join(so_far().select("a", "b"), ["a", "b"], "left_anti")))
+        labels = labelled(labels)
+        release(buckets, large, crowd, *([fine] if turn else []))
+        buckets, fine, turn, most = rest, finer, turn + 1, many
+    if turn:
+        release(fine)
+
+    fan, linked = 8, False
+    while True:
+        every = so_far()
+        if linked:
+            labels = labelled(labels)
+        own = named(buckets)
+        mixed = (own.join(sizes(own).select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("there"),
+                                            F.ceil(F.col("outside") / BLOCK).cast("int").alias("asking")), "key").join(sketches, "rep")
                  .withColumn("asks", F.col("label") != F.col("main"))
                  .withColumn("slot", F.xxhash64("rep")))
         targets = (mixed.withColumn("i", F.pmod("slot", "there").cast("int"))

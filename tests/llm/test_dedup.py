@@ -85,6 +85,81 @@ def test_near_copies_of_each_text_of_an_id_are_linked(spark):
     assert {r["doc_id"]: r["component_id"] for r in near_duplicates(frame, 5).collect()} == {2: 2, 5: 2, 6: 2, 7: 2, 8: 2, 3: 3, 11: 11}
 
 
+def _template_texts(count, shared=60, own=25, seed=3):
+    """Texts that share most of their words and still are no near duplicates."""
+    draw = np.random.default_rng(seed)
+    head = " ".join(f"form{i}" for i in range(shared))
+    return {i: head + " " + " ".join(f"x{i}y{j}" for j in draw.integers(0, 10**6, own)) for i in range(count)}
+
+
+def test_near_misses_of_a_template_are_not_compared_with_one_another(spark, monkeypatch):
+    met = spark.sparkContext.accumulator(0)
+    inner = minhash._close_pairs
+
+    def watched(threshold, fan):
+        run = inner(threshold, fan)
+
+        def compared(table):
+            met.add(int(table.column("asks").to_numpy(zero_copy_only=False).sum()) * table.num_rows)
+            return run(table)
+        return compared
+
+    monkeypatch.setattr(minhash, "_close_pairs", watched)
+    seen = []
+    for count in (1000, 3000):
+        docs = _template_texts(count)
+        # a few true links among them, found by nothing else than the index
+        docs |= {10**6 + i: docs[i] + " end" for i in range(0, count, 100)}
+        frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+        before = met.value
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(frame, 4).collect()}
+        seen.append(met.value - before)
+        assert got == {i: i % 10**6 for i in docs}
+    assert seen[1] <= 3.5 * max(seen[0], 1), seen
+
+
+def test_prefixes_of_sets_at_the_threshold_meet():
+    import pyarrow as pa
+
+    class Sent:
+        value = (np.random.default_rng(1).integers(0, 200, minhash.SLOTS)).astype(np.uint8)
+
+    draw = np.random.default_rng(2)
+    for size in (1, 2, 5, 40, 300):
+        for _ in range(20):
+            gone = draw.choice(size, size // 5, replace=False) if size > 4 else []
+            words = [f"w{x}" for x in draw.integers(0, 10**9, size)]
+            texts = [" ".join(words), " ".join(w for i, w in enumerate(words) if i not in gone)]
+            batch = pa.RecordBatch.from_pydict({"rep": pa.array([1, 2]), "text": pa.array(texts)})
+            out = next(minhash._prefixes(Sent, 1, 80, 0)(iter([batch])))
+            rep, key = out.column("rep").to_numpy(), out.column("key").to_numpy()
+            assert set(key[rep == 1]) & set(key[rep == 2])
+
+
+def test_rows_that_repeat_two_near_texts_are_confirmed_once(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    frame = spark.createDataFrame([(1, text)] * 300 + [(2, text + " end")] * 300, "doc_id long, text string")
+    inner = minhash._confirm
+
+    def watched(n, percent):
+        run, rows = inner(n, percent), count
+
+        def counted(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield from run(iter([batch]))
+        return counted
+
+    count = spark.sparkContext.accumulator(0)
+    minhash._confirm = watched
+    try:
+        got = near_duplicates(frame, 4).collect()
+    finally:
+        minhash._confirm = inner
+    assert count.value == 1
+    assert len(got) == 600 and {r["component_id"] for r in got} == {1} and sum(r["kept"] for r in got) == 300
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 60)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
     edges += [(7, 7), (300, 299), (300, 299), (None, 3)]
