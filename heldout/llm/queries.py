@@ -304,13 +304,14 @@ FROM running GROUP BY conv_id
 """,
     "op6_temporal_url_filter": r"""
 WITH parts AS (
-    SELECT page_id, regexp_extract(trim(url), '^(?i:[a-z][a-z0-9+.-]*):(?://)?(?:[^/?#@]*@)?([^/:?#]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?',
+    SELECT page_id, regexp_extract(trim(url), '^(?i:[a-z][a-z0-9+.-]*):(?://)?(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?',
       ['host', 'port', 'path', 'query']) AS u FROM pages),
-  named AS (SELECT page_id, rtrim(lower(u.host), '.') AS host, CASE WHEN u.port IN ('', '80', '443') THEN '' ELSE ':' || u.port END AS port,
+  named AS (SELECT page_id, rtrim(lower(u.host), '.') AS host, regexp_matches(rtrim(lower(u.host), '.'), '^(\[.*|[0-9]+(\.[0-9]+){3})$') AS address, CASE WHEN u.port IN ('', '80', '443') THEN '' ELSE ':' || u.port END AS port,
       CASE WHEN u.path = '' THEN '/' ELSE u.path END AS path, u.query AS query FROM parts),
   keys AS (
     SELECT page_id, 'domain' AS kind, array_to_string(l[i:], '.') AS key, len(l) - i AS rank
-    FROM (SELECT page_id, string_split(host, '.') AS l, unnest(range(1, greatest(2, len(string_split(host, '.'))))) AS i FROM named WHERE host <> '')
+    FROM (SELECT page_id, l, unnest(range(1, greatest(2, len(l)))) AS i FROM (
+      SELECT page_id, CASE WHEN address THEN [host] ELSE string_split(host, '.') END AS l FROM named WHERE host <> ''))
     UNION ALL
     SELECT page_id, 'folder', host || port || array_to_string(s[1:i], '/') || '/', 1000 + i
     FROM (SELECT page_id, host, port, string_split(path, '/') AS s, unnest(range(1, greatest(2, len(string_split(path, '/'))))) AS i FROM named WHERE host <> '')

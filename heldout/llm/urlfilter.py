@@ -5,12 +5,16 @@ and added again.  They become validity intervals [valid_from, valid_to), and
 each capture is judged by the entries that were valid when it was fetched.
 
 Keys of a URL, most specific last: its domains (the host and its parents down
-to two labels), its directories (host and path up to a slash), and the URL
-itself (without scheme, default port and fragment).  A capture meets intervals
-by equality of (kind, key, month) and then by date, so neither a host with
-many captures nor a key with a long history is compared in full: intervals
-stand in the months that they touch.  Only keys and dates are shuffled; AQE
-splits a hot key's captures.
+to two labels; an IP address has no parents), its directories (host and path up
+to a slash), and the URL itself (without scheme, default port and fragment).
+
+The as-of join has an index: the intervals of a key on a list, in order of time, are
+cut into chunks of at most ``CHUNK``, and a directory row a key and list has the
+days on which its chunks start.  A capture meets the directory by key, which
+names the one chunk that can be valid on its day, and then that chunk.  Both
+joins have at most one row a key, list and capture, however long an entry
+is open and however many entries a key has had.  Only keys and dates are
+shuffled; AQE splits a hot key's captures.
 """
 
 from __future__ import annotations
@@ -20,7 +24,11 @@ from pyspark.sql import functions as F
 
 from heldout.session import materialize
 
-_URL = r"^(?i:[a-z][a-z0-9+.-]*):(?://)?(?:[^/?#@]*@)?([^/:?#]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?"
+_URL = r"^(?i:[a-z][a-z0-9+.-]*):(?://)?(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?"
+#: Hosts that are addresses: four numbers, or in brackets.
+_ADDRESS = r"^(\[.*|[0-9]+(\.[0-9]+){3})$"
+#: Intervals that a row of the index holds.
+CHUNK = 32
 
 
 def url_keys(url: Column) -> Column:
@@ -32,9 +40,9 @@ def url_keys(url: Column) -> Column:
     path = F.when(part(3) == "", F.lit("/")).otherwise(part(3))
     labels, steps = F.split(host, r"\."), F.split(path, "/")
     key = lambda kind, x, rank: F.struct(F.lit(kind).alias("kind"), x.alias("key"), rank.cast("int").alias("rank"))
-    count = F.size(labels)
+    count = F.when(host.rlike(_ADDRESS), F.lit(1)).otherwise(F.size(labels))
     domains = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), count - 1)), lambda i: key(
-        "domain", F.array_join(F.slice(labels, i, count), "."), count - i))
+        "domain", F.when(i == 1, host).otherwise(F.array_join(F.slice(labels, i, F.size(labels)), ".")), count - i))
     folders = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(steps) - 1)), lambda i: key(
         "folder", F.concat(host, port, F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/")), 1000 + i))
     whole = F.array(key("url", F.concat(host, port, path, part(4)), F.lit(1_000_000)))
@@ -58,6 +66,17 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
             .select("list", "kind", "key", F.col("day").alias("valid_from"), "valid_to"))
 
 
+def interval_index(valid: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Directory (list, kind, key, starts: the first day of each chunk, in order)
+    and chunks (list, kind, key, chunk, intervals) of validity intervals."""
+    own = ("list", "kind", "key")
+    nth = F.row_number().over(Window.partitionBy(*own).orderBy("valid_from")) - 1
+    chunks = materialize(valid.withColumn("chunk", F.floor(nth / F.lit(chunk)).cast("int")).groupBy(*own, "chunk").agg(
+        F.min("valid_from").alias("start"), F.collect_list(F.struct("valid_from", "valid_to")).alias("intervals")))
+    directory = chunks.groupBy(*own).agg(F.array_sort(F.collect_list("start")).alias("starts"))
+    return directory, chunks.drop("start")
+
+
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Rows (page_id, fetched, n_block, n_allow, blocked, by_key), one for
     each row of ``captures`` (page_id, url, fetched date).
@@ -72,15 +91,13 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     are judged each by itself.
     """
     rows = materialize(captures.select("page_id", "url", "fetched").withColumn("row", F.monotonically_increasing_id()))
-    latest = rows.agg(F.max("fetched").alias("d")).first()["d"]
-    valid = validity_intervals(entries)
-    end = F.greatest("valid_from", F.least(F.coalesce(F.date_sub("valid_to", 1), F.lit(latest).cast("date")), F.lit(latest).cast("date")))
-    valid = valid.withColumn("month", F.explode(F.sequence(
-        F.trunc("valid_from", "month"), F.trunc(end, "month"), F.expr("interval 1 month"))))
-    asked = (rows.where("fetched is not null").select("row", "fetched", F.inline(url_keys(F.col("url"))))
-             .withColumn("month", F.trunc("fetched", "month")))
-    met = (asked.join(valid, ["kind", "key", "month"])
-           .where((F.col("valid_from") <= F.col("fetched")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to")))))
+    asked = rows.where("fetched is not null").select("row", "fetched", F.inline(url_keys(F.col("url"))))
+    directory, chunks = interval_index(validity_intervals(entries))
+    started = F.size(F.filter("starts", lambda day: day <= F.col("fetched")))
+    valid_then = F.exists("intervals", lambda x: (x["valid_from"] <= F.col("fetched")) & (
+        x["valid_to"].isNull() | (F.col("fetched") < x["valid_to"])))
+    met = (asked.join(directory, ["kind", "key"]).withColumn("chunk", started - 1).drop("starts")
+           .join(chunks, ["list", "kind", "key", "chunk"]).where(valid_then))
     block, allow = F.col("list").startswith("block"), F.col("list").startswith("allow")
     judged = met.where(block | allow).groupBy("row").agg(
         F.count(F.when(block, 1)).alias("n_block"), F.count(F.when(allow, 1)).alias("n_allow"),

@@ -70,9 +70,62 @@ def test_a_dense_cluster_is_not_copied_over_and_over():
     draw = np.random.default_rng(3)
     unit = np.concatenate([draw.normal(size=(2000, 64)), draw.normal(size=64) + draw.normal(size=(1000, 64)) * 0.02])
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    forest = rpforest.fit(unit, len(unit), 0.9)
-    for t in range(len(forest.trees)):
-        assert sum((rows >= 2000).sum() for _, _, rows in forest.leaves(t, unit)) <= 4 * 1000
+    for tree in rpforest.fit(unit, len(unit), 0.9):
+        assert sum((rows >= 2000).sum() for _, _, rows in tree.leaves(unit)) <= 4 * 1000
+
+
+def test_what_is_broadcast_does_not_grow_with_the_table():
+    draw = np.random.default_rng(6)
+    unit = draw.normal(size=(20_000, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    sizes, copies = [], []
+    for total in (200_000, 2_000_000, 10**10):
+        tree = rpforest.fit(unit, total, 0.9, trees=1)[0]
+        sizes.append(len(tree.splits))
+        copies.append(sum(len(rows) for *_, rows in tree.leaves(unit)) / len(unit))
+    # nodes of fewer than TELLING sampled vectors are left to Spark
+    assert max(sizes) <= 20_000 / rpforest.TELLING * 2 * rpforest.COPIES and sizes[2] <= 1.5 * sizes[1]
+    assert max(copies) <= 1.2 * rpforest.COPIES
+
+
+def test_crowded_nodes_are_grown_in_spark(spark, monkeypatch):
+    """With a small sample the upper levels are few; nodes are split by groups of
+    their own vectors, round after round."""
+    draw = np.random.default_rng(12)
+    vectors = draw.normal(size=(6000, 16))
+    vectors[3000:] = vectors[:3000] + draw.normal(size=(3000, 16)) * 0.2
+    ids = draw.permutation(len(vectors)).astype(np.int64)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    links, label = _links(ids, vectors)
+    monkeypatch.setattr(rpforest, "LEVELS", 2)
+    largest = spark.sparkContext.accumulator(0)
+    compare_block = rpforest._compare
+
+    def watched(*args):
+        run = compare_block(*args)
+
+        def compared(key, table):
+            largest.add(1 if table.num_rows > 400 else 0)
+            return run(key, table)
+        return compared
+
+    monkeypatch.setattr(rpforest, "_compare", watched)
+    got = {r["vec_id"]: r for r in near_vectors(frame, sample=200, leaf=60).collect()}
+    assert largest.value == 0
+    assert all(got[i]["n_links"] <= n for i, n in zip(ids, links))
+    assert sum(got[i]["n_links"] for i in ids) / links.sum() >= 0.99
+
+
+def test_vectors_of_every_length_are_compared(spark):
+    draw = np.random.default_rng(7)
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.0]), (4, [3.0, 0.1]), (5, [0.0, 1.0]), (6, [1.0]), (7, [-1.0]), (8, [5.0])]
+    many = draw.normal(size=(700, 9))
+    rows += [(100 + i, v.tolist()) for i, v in enumerate(many)] + [(2000 + i, (v * 3 + draw.normal(size=9) * 0.01).tolist()) for i, v in enumerate(many)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in
+           near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=300, leaf=50).collect()}
+    assert [got[i] for i in range(1, 9)] == [(1, 1), (1, 1), (1, 3), (1, 3), (0, 5), (1, 6), (0, 7), (1, 6)]
+    links, label = _links(np.array([i for i, _ in rows[8:]]), np.array([v for _, v in rows[8:]]))
+    assert sum(got[i][0] == n for (i, _), n in zip(rows[8:], links)) >= 0.99 * len(links)
 
 
 def test_a_cluster_that_the_sample_hardly_shows_is_compared_in_blocks(spark, monkeypatch):
@@ -107,6 +160,30 @@ def test_queries_match_sql(spark, name):
     assert res["columns_match"] and res["types_match"] and res["values_match"], res
 
 
+def test_addresses_have_no_parent_domains_and_long_histories_are_indexed(spark):
+    entries = [("block", "domain", "3.4", "add", _day(0)), ("block", "domain", "0.0.1", "add", _day(0)), ("block", "domain", "1.2.3.5", "add", _day(0)),
+               ("block", "domain", "[2001:db8::1]", "add", _day(0)), ("block", "domain", "db8::1]", "add", _day(0)),
+               *[("block", "domain", "flips.net", ("add", "remove")[d % 2], _day(d)) for d in range(400)],
+               *[("block2", "domain", "flips.net", ("add", "remove")[d % 2], _day(d * 3)) for d in range(100)]]
+    captures = [(1, "http://1.2.3.4/", _day(5)), (2, "http://10.0.0.1:8080/x", _day(5)), (3, "http://1.2.3.5/a", _day(5)),
+                (4, "http://[2001:DB8::1]:81/x", _day(5)), (5, "http://[2001:db8::2]/", _day(5)), (6, "http://1.2.3.4.org/", _day(5))]
+    captures += [(1000 + d, "http://a.flips.net/", _day(d)) for d in range(0, 500, 7)]
+    got = {r["page_id"]: r for r in urlfilter.judge(
+        spark.createDataFrame(captures, "page_id long, url string, fetched date"),
+        spark.createDataFrame(entries, "list string, kind string, key string, action string, day date")).collect()}
+    assert [i for i in range(1, 7) if got[i]["blocked"]] == [3, 4] and got[4]["by_key"] == "[2001:db8::1]"
+    for d in range(0, 500, 7):
+        want = (min(d, 399) % 2 == 0) + (min(d // 3, 99) % 2 == 0)
+        assert got[1000 + d]["n_block"] == want, d
+
+
+def test_the_index_has_one_row_an_entry_at_most(spark):
+    rows = [("block", "domain", f"k{i}.org", "add", _day(-9000)) for i in range(50)]
+    valid = urlfilter.validity_intervals(spark.createDataFrame(rows, "list string, kind string, key string, action string, day date"))
+    directory, chunks = urlfilter.interval_index(valid)
+    assert directory.count() == chunks.count() == 50
+
+
 def test_formatting_is_reversible(spark):
     draw = random.Random(1)
     bits = [*chat.MARKS, "\\", "<", "[", "/", "s>", "INST]", "a", " ", "\n", "é😀", "$1", "<\\s>", "[\\/INST]", "</s", "ROLE]", "x" * 500]
