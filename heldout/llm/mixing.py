@@ -12,7 +12,11 @@ the leaf's documents in an order drawn from (seed, epoch, doc_id).  Whole epochs
 come first, then the documents of the last one until the allotment is reached
 (the document that reaches it is in).
 
-The tree is small (one row a leaf) and its shares are windows over siblings.
+The tree has one row a leaf.  A parent may have millions of children, so siblings
+are not a window: all nodes of a level are put in one order (parent, capacity per
+weight) by range partitions, global running totals less those at the parent's
+first child are the siblings' own, and the water level of a parent is a
+pre-aggregated maximum.
 Documents are never sorted as a whole: their order is cut into 4,096 slices by
 the draw's leading digits; running totals over slices find the one that holds
 a leaf's cut, and only that slice's documents are put in order.
@@ -25,6 +29,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from heldout.operators.ranking import running_totals
 from heldout.session import materialize
 
 #: Leading hex digits of a draw that name its slice.
@@ -47,16 +52,19 @@ def _shared(nodes: DataFrame, parent: Sequence[str]) -> DataFrame:
     the rest share by weight; a node is full if its share of what is left,
     with all earlier ones full, reaches its capacity.
     """
-    # a parent has few children; the root's are the first level's values
-    order = [F.col("ratio"), *[F.col(c) for c in nodes.columns if c.startswith("level_")]]
-    ahead = Window.partitionBy(*parent).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    behind = Window.partitionBy(*parent).orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    full = F.coalesce(F.sum("capacity").over(ahead), F.lit(0.0))
-    return (nodes.withColumn("ratio", F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight")).otherwise(F.lit(float("inf"))))
-            .withColumn("level", F.try_divide(F.col("given") - full, F.sum("weight").over(behind)))
-            # the level falls behind the first place that is not full
-            .withColumn("first_open", F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(
-                Window.partitionBy(*parent)))
+    ratio = F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight")).otherwise(F.lit(float("inf")))
+    marks = [c for c in nodes.columns if c.startswith("level_")]
+    order = [F.col(c) for c in (*parent, "ratio", *[m for m in marks if m not in parent])]
+    placed = materialize(running_totals(nodes.withColumn("ratio", ratio), order, ["capacity", "weight"]))
+    firsts = placed.groupBy(*parent).agg(F.min("capacity_before").alias("capacity_base"), F.min("weight_before").alias("weight_base"),
+                                         F.sum("weight").alias("weights"))
+    levelled = (placed.join(firsts, [*parent])
+                .withColumn("full", F.col("capacity_before") - F.col("capacity_base"))
+                .withColumn("open", F.col("weights") - (F.col("weight_before") - F.col("weight_base")))
+                .withColumn("level", F.try_divide(F.col("given") - F.col("full"), F.col("open"))))
+    # the level falls behind the first place that is not full
+    water = levelled.groupBy(*parent).agg(F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).alias("first_open"))
+    return (levelled.join(water, [*parent])
             .withColumn("budget", F.when(F.col("weight") <= 0, F.lit(0.0)).when(
                 F.col("ratio") <= F.col("level"), F.col("capacity")).otherwise(F.col("weight") * F.col("first_open"))))
 
@@ -83,8 +91,8 @@ def budgets(leaves: DataFrame, levels: Sequence[str], total: float, weights: Map
     upper = None
     for i in range(len(levels)):
         nodes = tree.groupBy(*marks[:i + 1]).agg(F.sum("capacity").alias("capacity"), F.max(f"weight_{i}").alias("weight"))
-        nodes = nodes.join(upper, marks[:i]) if i else nodes.withColumn("given", F.lit(min(float(total), usable)))
-        upper = _shared(nodes, marks[:i] or [F.lit(0)]).select(*marks[:i + 1], F.col("budget").alias("given"))
+        nodes = nodes.join(upper, marks[:i]) if i else nodes.withColumns({"given": F.lit(min(float(total), usable)), "root": F.lit(0)})
+        upper = _shared(nodes, marks[:i] or ["root"]).select(*marks[:i + 1], F.col("budget").alias("given"))
     # a millionth, so that sums in another order cut alike
     return (tree.join(upper, marks).select(*levels, "tokens", F.floor(F.col("given") + F.lit(1e-6)).cast("long").alias("allotted")))
 

@@ -18,8 +18,10 @@ and a sequence of n ascending numbers below 2^64 is Elias-Fano coded:
     high      a 1 bit at place (number >> l) + i for the i-th number
     samples   u32: the place of every 64th 1 bit
 
-That is about 2 + log2(largest / n) bits a number in place of 64; select reads
-one sample and scans on from there.
+That is about 2 + log2(largest / n) bits a number in place of 64.  Select of one
+number reads one sample and scans on from there; select of many counts the 1 bits
+of the high part's bytes once and looks each number's byte up.  Documents are
+read by their offsets from select, all of a shard or chosen ones.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from __future__ import annotations
 import os
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ MAGIC = b"HOTOKEN1"
 #: Ids that a shard holds, unless one document alone has more.
 SHARD_IDS = 1_000_000
 SAMPLE = 64
+#: Place of the k-th 1 bit of each byte.
+_NTH_BIT = np.array([([i for i in range(8) if b >> i & 1] + [8] * 8)[:8] for b in range(256)], dtype=np.int64)
 
 
 class EliasFano:
@@ -50,6 +54,7 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, samples: np.ndarray) -> None:
         self.n, self.low_bits, self._low, self._high, self._samples = n, low_bits, low, high, samples
+        self._ones: np.ndarray | None = None
 
     @classmethod
     def of(cls, numbers: np.ndarray) -> EliasFano:
@@ -104,13 +109,19 @@ class EliasFano:
         place = byte * 8 + (word & -word).bit_length() - 1
         return (place - i) << self.low_bits | self._low_of(i)
 
-    def all(self) -> np.ndarray:
-        """All numbers."""
-        place = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[:self.n]
-        out = (place - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits and self.n:
-            each = np.unpackbits(self._low, bitorder="little")[:self.n * self.low_bits].reshape(self.n, -1).astype(np.uint64)
-            out |= (each << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    def selects(self, places: np.ndarray) -> np.ndarray:
+        """The numbers at some places."""
+        places = np.asarray(places, dtype=np.int64)
+        if len(places) and not 0 <= places.min() <= places.max() < self.n:
+            raise IndexError(places)
+        if self._ones is None:
+            self._ones = common.offsets(np.bitwise_count(self._high))
+        byte = np.searchsorted(self._ones, places, side="right") - 1
+        bit = byte * 8 + _NTH_BIT[self._high[byte], places - self._ones[byte]]
+        out = (bit - places).astype(np.uint64) << np.uint64(self.low_bits)
+        for i in range(self.low_bits):
+            at = places * self.low_bits + i
+            out |= ((self._low[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.uint64) << np.uint64(i)
         return out
 
 
@@ -142,10 +153,22 @@ class Shard:
         """Ids of the i-th document, by two selects."""
         return self.ids[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
 
+    def spans(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of some documents start and end."""
+        ends = self.ends.selects(places).astype(np.int64)
+        start = np.zeros(len(places), dtype=np.int64)
+        start[places > 0] = self.ends.selects(places[places > 0] - 1).astype(np.int64)
+        return start, ends
+
     def doc_ids(self) -> list[int | None]:
-        known = (self._doc_ids.all() + np.uint64(self._least)).view(np.int64)
+        known = (self._doc_ids.selects(np.arange(self._doc_ids.n)) + np.uint64(self._least)).view(np.int64)
         return [None] * self._nulls + known.tolist()
 
+    def places(self, doc_ids: np.ndarray) -> np.ndarray:
+        """Places of the documents that have one of some ids."""
+        known = (self._doc_ids.selects(np.arange(self._doc_ids.n)) + np.uint64(self._least)).view(np.int64)
+        return np.flatnonzero(np.isin(known, doc_ids)) + self._nulls
+
 
 #: The letters that stand for bytes.
 _BYTES = dict(enumerate(byte_letters()))
@@ -208,7 +231,7 @@ class _Encoder:
         return [np.array(x, dtype=np.int64) for x in self._lists([t.decode() for t in texts])]
 
 
-_SHARD = "part int, seq int, n_docs long, n_ids long, payload binary"
+_SHARD = "part int, seq int, n_docs long, n_ids long, first_doc long, last_doc long, payload binary"
 _ENCODERS: dict[int, _Encoder] = {}
 
 
@@ -226,6 +249,7 @@ def _packer(sent, end_id: int):
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
                 "n_docs": pa.array([len(docs)], pa.int64()), "n_ids": pa.array([held], pa.int64()),
+                "first_doc": pa.array([next((d for d in docs if d is not None), None)], pa.int64()), "last_doc": pa.array([docs[-1]], pa.int64()),
                 "payload": pa.array([Shard.pack(docs, ids, width)], pa.binary())})
 
         for piece in common.pieces(batches, "text", 1 << 20):
@@ -257,26 +281,37 @@ def write_tokens(docs: DataFrame, tokenizer: str, to: str, end_id: int) -> None:
      .write.option("compression", "zstd").parquet(to))
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part, seq, payload in zip(*(batch.column(c) for c in ("part", "seq", "payload")), strict=True):
-            shard = Shard(payload.as_py())
-            ends = shard.ends.all().astype(np.int64)
-            start = np.concatenate([[0], ends[:-1]])
-            wide = shard.ids.astype("<u4")
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array([part.as_py()] * shard.n_docs, pa.int32()), "seq": pa.array([seq.as_py()] * shard.n_docs, pa.int32()),
-                "doc_id": pa.array(shard.doc_ids(), pa.int64()), "at": pa.array(start),
-                "n_tokens": pa.array(ends - start), "ids": pa.array([wide[a:b].tobytes() for a, b in zip(start, ends, strict=True)], pa.binary())})
+def _unpacker(chosen: np.ndarray | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, seq, payload in zip(*(batch.column(c) for c in ("part", "seq", "payload")), strict=True):
+                shard = Shard(payload.as_py())
+                places = np.arange(shard.n_docs) if chosen is None else shard.places(chosen)
+                start, ends = shard.spans(places)
+                docs = pa.array(shard.doc_ids(), pa.int64()).take(pa.array(places))
+                ids = [shard.ids[a:b].astype("<u4").tobytes() for a, b in zip(start, ends, strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([part.as_py()] * len(places), pa.int32()), "seq": pa.array([seq.as_py()] * len(places), pa.int32()),
+                    "doc_id": docs, "at": pa.array(start), "n_tokens": pa.array(ends - start), "ids": pa.array(ids, pa.binary())})
+    return run
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, doc_ids: Sequence[int] | None = None) -> DataFrame:
     """Rows (part, seq, doc_id, at, n_tokens, ids) of a dataset: ``at`` counts
     the ids of the documents before in the same shard, ``ids`` are
-    little-endian u32."""
+    little-endian u32.  With ``doc_ids`` only of documents with one of them: shards
+    that cannot have one are not read (by the files' statistics), and of
+    the others only those documents' ids are."""
     ship(spark)
-    return spark.read.schema(_SHARD).parquet(path).select("part", "seq", "payload").mapInArrow(
-        _unpack, "part int, seq int, doc_id long, at long, n_tokens long, ids binary")
+    shards, chosen = spark.read.schema(_SHARD).parquet(path), None
+    if doc_ids is not None:
+        chosen = np.unique(np.array(list(doc_ids), dtype=np.int64))
+        if not len(chosen):
+            shards = shards.limit(0)
+        else:
+            shards = shards.where((F.col("last_doc") >= int(chosen[0])) & (F.col("first_doc") <= int(chosen[-1])))
+    return shards.select("part", "seq", "payload").mapInArrow(
+        _unpacker(chosen), "part int, seq int, doc_id long, at long, n_tokens long, ids binary")
 
 
 def with_starts(docs: DataFrame, path: str) -> DataFrame:

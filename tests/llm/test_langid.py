@@ -23,6 +23,99 @@ def test_words_of_mixed_texts_are_labelled(spark):
     assert min(words["en"], words["de"]) > 0.3 * sum(words.values())
 
 
+def _line(docs, lang, n, skip=0):
+    words = []
+    for r in docs.where((F.col("lang") == lang) & (F.length("text") > 900)).orderBy("doc_id").select("text").limit(8).collect():
+        words += [w for c in langid.chains(r["text"]) for w in c]
+    return words[skip:skip + n]
+
+
+def test_a_switch_within_a_line_is_found(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where("doc_id % 3 > 0"))
+    held = docs.where("doc_id % 3 = 0")
+    rows, want = [], []
+    for i, (a, b) in enumerate([("en", "de"), ("de", "fr"), ("fr", "es"), ("es", "en")] * 3):
+        rows.append((i, " ".join(_line(held, a, 18, 20 * i) + _line(held, b, 10, 20 * i))))
+        want.append((a, b))
+    got = {r["doc_id"]: r["words"] for r in model.transform(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (a, b) in enumerate(want):
+        assert abs(got[i].get(a, 0) - 18) <= 2 and abs(got[i].get(b, 0) - 10) <= 2, (a, b, got[i])
+
+
+def test_transitions_are_fitted_to_switches(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    spliced = langid.fit(docs, per_lang=40)
+    monkeypatch.setattr(langid, "SPLICED", 0.0)
+    plain_chains = langid.fit(docs, per_lang=40)
+    off = ~np.eye(len(spliced.langs), dtype=bool)
+    assert spliced.links[off].mean() > plain_chains.links[off].mean() + 0.3
+    assert (spliced.links[~off] > spliced.links[off].max()).all()
+
+
+def test_spliced_chains_keep_their_words_and_labels():
+    draw = np.random.default_rng(4)
+    length = draw.integers(0, langid.CHAIN + 1, 500)
+    label = draw.integers(0, 3, 500)
+    words = np.repeat(label, length) * 1_000_000 + np.arange(length.sum())
+    got, truth, size = langid._spliced(words, length, label, draw)
+    assert (got // 1_000_000 == truth).all() and len(got) == size.sum() and size.min() >= 0 and size.max() <= langid.CHAIN
+    ends = np.cumsum(size)
+    switched = sum(len(set(truth[e - n:e])) > 1 for e, n in zip(ends, size))
+    assert 0.1 < switched / len(size) < 0.3
+
+
+def test_lexicons_are_the_most_frequent_words(spark):
+    rows = [("aa bb bb cc cc cc cc " + "dd " * 8, "x"), ("aa " * 8 + "ee ee", "y"), ("aa bb", "y"), ("z" * 65, "y")]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    lexicon, letters = langid.lexicons(frame, ["x", "y"], 4)
+    assert lexicon == {"dd": (0,), "cc": (0,), "aa": (1,), "ee": (1,)} and letters == frozenset("dcae")
+
+
+def test_scores_match_a_plain_field(spark, texts):
+    """The query's answers, word by word in plain Python."""
+    import math
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs, per_lang=30)
+    few = dict(sorted(texts.items())[:60])
+    k = len(model.langs)
+    got = {r["doc_id"]: r for r in model.transform(spark.createDataFrame(list(few.items()), "doc_id long, text string")).collect()}
+    for i, text in few.items():
+        share, known, words = [0.0] * k, 0, 0
+        for chain in langid.chains(text):
+            scores = []
+            for w in chain:
+                own = langid.features(w) + [langid.BUCKETS + j for j in model.lexicon.get(w, (k,))]
+                scores.append([float(sum(model.weights[f, y] for f in own)) for y in range(k)])
+                known += w in model.lexicon
+                words += 1
+            ahead, back = [], [[0.0] * k]
+            total = lambda xs: max(xs) + math.log(sum(math.exp(x - max(xs)) for x in xs))
+            for s in scores:
+                ahead.append([s[y] + (total([ahead[-1][x] + model.links[x, y] for x in range(k)]) if ahead else 0) for y in range(k)])
+            for s in scores[:0:-1]:
+                back.append([total([model.links[x, y] + s[y] + back[-1][y] for y in range(k)]) for x in range(k)])
+            for a, b in zip(ahead, back[::-1]):
+                whole = total([x + y for x, y in zip(a, b)])
+                for y in range(k):
+                    share[y] += math.exp(a[y] + b[y] - whole)
+        if words:
+            best = max(range(k), key=lambda y: share[y])
+            assert got[i]["lang_pred"] == model.langs[best]
+            assert abs(got[i]["score"] - share[best] / words) < 1e-3 and abs(got[i]["known"] - known / words) < 1e-9
+        else:
+            assert got[i]["lang_pred"] == "und"
+
+
+def test_too_many_languages_are_an_error(spark):
+    import pytest
+
+    frame = spark.createDataFrame([(i, "text here", f"l{i}") for i in range(6)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        langid.fit(frame, max_langs=5)
+
+
 def test_forward_backward_matches_all_paths():
     draw = np.random.default_rng(2)
     lengths = np.array([3, 1, 4])

@@ -70,3 +70,27 @@ def test_mix_of_odd_rows(spark, odd):
     assert all(r["epochs"] == 1 for r in got if r["tokens"])
     assert mixing.mix(odd.limit(0), ("lang", "source"), 1.0, {}).collect() == []
     assert mixing.mix(odd.where("doc_id < 3"), ("lang",), 1.0, {}).count() == 3
+
+
+def test_a_parent_with_very_many_children(spark):
+    from conftest import executed_plans
+
+    frame = spark.range(100_000).select(F.lit("web").alias("domain"), F.concat(F.lit("s"), "id").alias("source"), (F.col("id") % 97).alias("tokens"))
+    frame = frame.unionByName(spark.createDataFrame([("books", "b", 10**6)], "domain string, source string, tokens long"))
+    with executed_plans(spark) as plans:
+        got = mixing.budgets(frame, ("domain", "source"), 2_000_000, {"domain": {"web": 3}}, 1).toPandas()
+    web = got[got["domain"] == "web"]
+    # 1,500,000 tokens for 100,000 sources that can use at most id % 97 each
+    import numpy as np
+
+    capacity = web["tokens"].to_numpy()
+    low, high = 0.0, 97.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if np.minimum(capacity, middle).sum() < 1_500_000 else (low, middle)
+    assert (web["allotted"].to_numpy() == np.floor(np.minimum(capacity, low) + 1e-6)).all()
+    assert got[got["domain"] == "books"]["allotted"].item() == 500_000
+    # windows go over range partitions and the table of their totals, never over siblings
+    text = "\n".join(plans)
+    assert "Window [" in text or "Window" in text
+    assert not any("windowspecdefinition(level_" in line or "windowspecdefinition(root" in line for line in text.splitlines())

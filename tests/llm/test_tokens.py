@@ -50,7 +50,7 @@ def test_ids_of_odd_texts_match_the_library(library):
 
 
 def test_the_memory_of_chunks_starts_over(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 5)
+    monkeypatch.setattr(bpe.common, "MEMORY", 600)
     own = bpe.Bpe(open(PATH, encoding="utf-8").read())
     known = bpe.Remembered(own.encode_chunks, own.special)
     for text in ("one two three", "four five six seven", "one eight", "two nine ten"):
@@ -76,7 +76,7 @@ def test_elias_fano_gives_every_number_back():
         numbers = np.sort(draw.integers(0, top, n, dtype=np.uint64)) if top else np.zeros(n, np.uint64)
         raw = b"x" + tokenfile.EliasFano.of(numbers).to_bytes() + b"rest"
         back, end = tokenfile.EliasFano.read(memoryview(raw), 1)
-        assert raw[end:] == b"rest" and (back.all() == numbers).all()
+        assert raw[end:] == b"rest" and (back.selects(np.arange(len(numbers))) == numbers).all()
         assert [back.select(i) for i in range(n)] == numbers.tolist()
         if n >= 1000:
             assert len(raw) < n * 8 / 3
@@ -111,6 +111,29 @@ def test_shards_end_where_they_are_full():
         tokenfile.Shard(b"something else, longer than a header is at the least")
 
 
+def test_select_of_many_and_of_one():
+    draw = np.random.default_rng(8)
+    for n, top in ((1, 1), (1, 2**63), (50, 60), (1000, 10**9), (5000, 5000 * 900), (300, 2**62)):
+        numbers = np.sort(draw.integers(0, top, n).astype(np.uint64))
+        coded, _ = tokenfile.EliasFano.read(memoryview(tokenfile.EliasFano.of(numbers).to_bytes()), 0)
+        places = draw.integers(0, n, 200)
+        assert (coded.selects(places) == numbers[places]).all() and [coded.select(int(i)) for i in places[:20]] == numbers[places[:20]].tolist()
+        with pytest.raises(IndexError):
+            coded.selects(np.array([n]))
+    assert len(tokenfile.EliasFano.of(np.empty(0, np.uint64)).selects(np.empty(0, np.int64))) == 0
+
+
+def test_chosen_documents_are_read_by_select(spark, texts):
+    path = scratch_path(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    tokenfile.write_tokens(docs, PATH, path, end_id=2)
+    every = {r["doc_id"]: bytes(r["ids"]) for r in tokenfile.read_tokens(spark, path).collect()}
+    wanted = sorted(texts)[5::97]
+    got = tokenfile.read_tokens(spark, path, [*wanted, -1]).collect()
+    assert {r["doc_id"]: bytes(r["ids"]) for r in got} == {i: every[i] for i in wanted} and len(got) == len(wanted)
+    assert tokenfile.read_tokens(spark, path, []).collect() == []
+
+
 def test_op8_edits_and_prefixes(spark, texts):
     ids = sorted(texts)
     got = {r["doc_id"]: r for r in queries.op8_prefix_hash_fingerprints(spark, SF).collect()}
@@ -126,6 +149,16 @@ def test_op8_edits_and_prefixes(spark, texts):
         if text == texts[nxt]:
             assert r["near_next"] == 1.0
     assert len(set(seen.values())) == len(seen)
+    # likeness against the whole sets of spans: within 4 deviations of a share of KEEP draws
+    spans = lambda t: {t[i:i + fingerprint.SPAN] for i in range(len(t) - fingerprint.SPAN + 1)} if len(t) >= fingerprint.SPAN else {t} - {""}
+    far = []
+    for i, nxt in zip(ids, [*ids[1:], ids[0]]):
+        a, own = spans(texts[i]), got[i]
+        swap = len(texts[i]) // 4
+        for b, found in ((spans(texts[i][:len(texts[i]) - swap] + texts[nxt][:swap]), own["near_edited"]), (spans(texts[nxt]), own["near_next"])):
+            true = len(a & b) / len(a | b) if a | b else 1.0
+            far.append(abs(found - true) / max((true * (1 - true) / fingerprint.KEEP) ** 0.5, 1 / fingerprint.KEEP))
+    assert max(far) <= 4.5 and sum(x > 3 for x in far) <= 0.02 * len(far)
     long = [r for r in got.values() if r["n_chars"] > 400]
     assert sum(r["near_edited"] > r["near_next"] for r in long) / len(long) > 0.98
 
