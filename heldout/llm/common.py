@@ -18,25 +18,6 @@ MEMORY = 64 << 20
 LONGEST, ENTRY = 64, 110
 
 
-class _Hashes(dict):
-    """Word (bytes) to its 64-bit hash; bounded in bytes by starting over."""
-
-    held = 0
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= LONGEST:
-            if self.held >= MEMORY:
-                self.clear()
-                self.held = 0
-            self.held += sys.getsizeof(word) + ENTRY
-            self[word] = value
-        return value
-
-
-_HASHES = _Hashes()
-
-
 class Numbers(dict):
     """Key to its number, in order of first sight.  ``fresh`` lists keys that
     were new; keys too long to remember are in ``long``, number -1 and down,
@@ -111,8 +92,67 @@ def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=U64, count=len(words))
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[0x20, *range(0x09, 0x0E)]] = True
+#: Letters' values and bases of two independent hashes of words; the values are drawn.
+_VALUES = np.random.Generator(np.random.PCG64(77)).integers(1, 2**64, (2, 256), dtype=U64)
+_BASES = (0x9E3779B97F4A7C55, 0xD1B54A32D192ED03)
+#: Bytes of text that are hashed at a time.
+HASHED = 1 << 18
+
+
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as far as asked."""
+
+    def __init__(self, base: int) -> None:
+        self._base = base
+        self._up = self._down = np.ones(1, dtype=U64)
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self._up) < n:
+            m = 1 << (n - 1).bit_length()
+            self._up, self._down = (np.concatenate([np.ones(1, U64), np.cumprod(np.full(m - 1, b, dtype=U64))])
+                                    for b in (self._base, pow(self._base, -1, 1 << 64)))
+        return self._up, self._down
+
+
+_POWERS = [Powers(b) for b in _BASES]
+
+
+def word_hashes(texts: list[bytes], kinds: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of all texts' words (runs of bytes that are no ASCII white space), one
+    after another, ``kinds`` independent ones, and where each text's words start.
+
+    A word of up to ``LONGEST`` bytes is a polynomial of its bytes' values, from prefix
+    sums over the text; of longer ones, whose polynomials modulo 2^64 could be made
+    to collide, it is the bytes' own 64-bit hash.
+    """
+    joined = b"\n".join([*texts, b""])
+    raw = np.frombuffer(joined, dtype=np.uint8)
+    gap = _GAP[raw]
+    before = np.concatenate([[True], gap[:-1]])
+    start, end = np.flatnonzero(before & ~gap), np.flatnonzero(gap & ~before)
+    at = np.searchsorted(start, offsets([len(t) + 1 for t in texts]))
+    size = end - start
+    out = [np.empty(len(start), dtype=U64) for _ in range(kinds)]
+    i = 0
+    while i < len(start):
+        low = int(start[i])
+        j = max(i + 1, int(np.searchsorted(start, low + HASHED)))
+        part = raw[low:min(int(end[j - 1]), low + HASHED + LONGEST)]
+        # beyond the part there are ends of long words only
+        one, two = start[i:j] - low, np.minimum(end[i:j] - low, len(part))
+        for k in range(kinds):
+            up, down = _POWERS[k].get(HASHED + LONGEST + 1)
+            sums = np.zeros(len(part) + 1, dtype=U64)
+            np.cumsum(_VALUES[k][part] * up[:len(part)], out=sums[1:])
+            out[k][i:j] = mix((sums[two] - sums[one]) * down[one] + size[i:j].astype(U64))
+        i = j
+    for i in np.flatnonzero(size > LONGEST):
+        word = joined[start[i]:end[i]]
+        for k in range(kinds):
+            out[k][i] = xxhash.xxh64_intdigest(word, seed=k)
+    return out, at
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -377,7 +377,7 @@ def fit(docs: DataFrame, per_lang: int = 250, per_doc: int = 200, epochs: int =
             real = np.bincount((real_label[:-1] * k + real_label[1:])[inside[:-1]], minlength=k * k).reshape(k, k)
             step = (real - pairs) / len(word) * 100 - 1e-3 * links
             seen_l += step * step
-            links += 0.1 * step / np.sqrt(seen_l)
+            links += 0.4 * step / np.sqrt(seen_l)
     return Model(langs, weights.astype(np.float32), links, lexicon, letters)
 
 
@@ -388,7 +388,7 @@ def _spliced(words: np.ndarray, length: np.ndarray, label: np.ndarray, draw: np.
     start, length, label = common.offsets(length)[:-1][keep], length[keep], label[keep]
     other = draw.integers(0, max(len(length), 1), len(length))
     cut = np.where((draw.random(len(length)) < SPLICED) & (length > 1), (length * draw.random(len(length))).astype(np.int64), length)
-    tail = np.where(cut < length, np.minimum(length[other], CHAIN - cut), 0)
+    tail = np.where(cut < length, np.minimum(length[other], np.maximum(CHAIN - cut, 0)), 0)
     spans = np.stack([cut, tail], axis=1).ravel()
     places = common.spans(np.stack([start, start[other] + length[other] - tail], axis=1).ravel(), spans)
     return words[places], np.repeat(np.stack([label, label[other]], axis=1).ravel(), spans), cut + tail

@@ -68,10 +68,11 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     """Distinct hashes of each text's runs of ``n`` words, sorted.  A-Z are
     lower-cased and words end at ASCII white space; fewer words are one
     shingle, no words an empty set."""
-    out = []
-    for text in texts:
-        hashes = common.hash_words(text.lower().split())
-        out.append(np.unique(common.gram_hashes(hashes, min(n, len(hashes)))) if len(hashes) else hashes)
+    (hashes,), at = common.word_hashes([t.lower() for t in texts])
+    runs, out = common.gram_hashes(hashes, n), []
+    for start, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        own = runs[start:end - n + 1] if end - start >= n else common.gram_hashes(hashes[start:end], end - start)
+        out.append(np.unique(own) if end > start else hashes[:0])
     return out
 
 

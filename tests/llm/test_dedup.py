@@ -214,13 +214,64 @@ def test_equal_passages_have_equal_inner_symbols():
     a = list(draw.choice(vocabulary, 25)) + shared + list(draw.choice(vocabulary, 11))
     b = list(draw.choice(vocabulary, 7)) + shared + list(draw.choice(vocabulary, 30))
     w = recompression.Words([b" ".join(a), b" ".join(b)])
-    for s in recompression.levels(w, 4):
+    for s in recompression.levels(w, 6):
         def inner(start):
             keep = (s.low >= start) & (s.high <= start + 60)
             return list(zip(s.name[keep], s.low[keep] - start, s.high[keep] - start))
         assert inner(25) == inner(len(a) + 7) != []
 
 
+def test_high_symbols_hold_their_own_words():
+    draw = np.random.default_rng(13)
+    vocabulary = [b"w%d" % i for i in range(30)]
+    shared = list(draw.choice(vocabulary, 2000))
+    docs = [list(draw.choice(vocabulary, 50)) + shared + list(draw.choice(vocabulary, 70)), shared[300:] + [b"x"] * 40, [], [b"y"]]
+    w = recompression.Words([b" ".join(d) for d in docs])
+    text, key, check, start, many = recompression.passages(w, 13)
+    names = {}
+    flat = [x for d in docs for x in d]
+    for k, c, s, m, t in zip(key.tolist(), check.tolist(), start.tolist(), many.tolist(), text.tolist()):
+        assert w.at[t] <= s and s + m + 12 <= w.at[t + 1] and m > 0
+        assert names.setdefault((k, c), flat[s:s + m + 12]) == flat[s:s + m + 12]
+    assert len({k for k, _ in names}) == len(names)
+    # most of the shared words lie in symbols that both texts have
+    both = set(zip(key[text == 0].tolist(), check[text == 0].tolist())) & set(zip(key[text == 1].tolist(), check[text == 1].tolist()))
+    inside = np.zeros(len(flat), dtype=bool)
+    for k, c, s, m, t in zip(key.tolist(), check.tolist(), start.tolist(), many.tolist(), text.tolist()):
+        if t == 1 and (k, c) in both:
+            inside[s:s + m + 12] = True
+    assert inside[w.at[1]:w.at[1] + 1700].mean() > 0.8
+
+
+def test_a_long_passage_is_settled_by_its_symbols(spark, monkeypatch):
+    """What is shuffled for a passage in many texts grows with the rims, not with
+    its length."""
+    draw = np.random.default_rng(14)
+    entries = spark.sparkContext.accumulator(0)
+    inner = recompression._blocks
+
+    def counted(part, kind, columns):
+        for row in inner(part, kind, columns):
+            entries.add(len(row[2]) // (8 * len(columns)))
+            yield row
+
+    sent = []
+    for n in (0, 2_000, 10_000):
+        passage = [f"p{x}" for x in draw.integers(0, 3000, n)]
+        docs = {i: " ".join([*(f"a{x}" for x in draw.integers(0, 10**6, 30)), *passage, *(f"b{x}" for x in draw.integers(0, 10**6, 30))]) for i in range(40)}
+        frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(8)
+        want = plain.without_repeats(docs, 13)
+        before = entries.value
+        monkeypatch.setattr(recompression, "_blocks", counted)
+        got = remove_repeats(frame, 13, layout=False).collect()
+        monkeypatch.setattr(recompression, "_blocks", inner)
+        assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"].encode().split()) for r in got} == want
+        sent.append(entries.value - before)
+    # 40 texts of 10,000 shared words; only the first of them is compared window by window
+    rest = [x - sent[0] for x in sent]
+    assert rest[1] < 40 * 2_000 and rest[2] < 4 * 10_000 + 40 * 600, sent
+
+
 def test_cutting_keeps_the_rest_as_it_was(spark, odd):
     passage = " ".join(f"p{i}" for i in range(20))
     frame = spark.createDataFrame([(1, f"first\n\n{passage}\tend"), (2, f"  kept \n{passage}\n\n rest\n of it "), (3, "clean\n text  here")],
