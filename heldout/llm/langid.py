@@ -41,6 +41,8 @@ BUCKETS = 1 << 16
 CHAIN = 48
 #: Words of all lexicons together; words that a task counts before it sends them off.
 LEXICON, COUNTED = 50_000, 200_000
+#: Least occurrences of a lexicon's word.
+SEEN = 3
 #: Most languages that are told apart, and the share of spliced chains in training.
 MAX_LANGS, SPLICED = 200, 0.3
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -233,35 +235,43 @@ def _scorer(sent, carry: list[str]):
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word, n): of the words that can be in a lexicon, and of the letters."""
+    """(lang, word, n): of the words that can be in a lexicon, and of all letters, with a
+    space in front."""
     held: dict[str, Counter] = {}
 
     def send() -> pa.RecordBatch:
-        rows = [(lang, word, n) for lang, own in held.items() for word, n in own.items()]
+        for own in held.values():
+            letters: Counter = Counter()
+            for word, n in own.items():
+                for c in word:
+                    letters[c] += n
+            own.update({f" {c}": n for c, n in letters.items() if c != " "})
+        rows = [(lang, word, n) for lang, own in held.items() for word, n in own.items() if len(word) <= common.LONGEST]
         lang, word, n = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())],
                                           names=["lang", "word", "n"])
 
     for piece in common.pieces(batches, "text", 1 << 20):
         for text, lang in zip(piece.column("text").to_pylist(), piece.column("lang").to_pylist(), strict=True):
-            own = held.setdefault(lang, Counter())
-            own.update(x for x in _LETTERS.findall(text.lower()) if len(x) <= common.LONGEST)
+            held.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
         if sum(map(len, held.values())) >= COUNTED:
             yield send()
-            held = {}
+            held.clear()
     if held:
         yield send()
 
 
-def lexicons(known: DataFrame, langs: list[str], words: int = LEXICON) -> tuple[dict[str, tuple[int, ...]], frozenset[str]]:
+def lexicons(known: DataFrame, langs: list[str], words: int = LEXICON, seen: int = SEEN) -> tuple[dict[str, tuple[int, ...]], frozenset[str]]:
     """Each language's most frequent words, as places in ``langs``, and the letters
     of all.  Words are counted over all rows (text, lang); a language has at
     most ``words / len(langs)``: all words from some frequency on, told apart
-    by eighths of a doubling.  Words of over 64 letters are in no lexicon.  A letter
-    is a language's if at least one in 10,000 of its lexicon's letters is it.
+    by eighths of a doubling, that were seen ``seen`` times at least.  Words of over 64 letters are in no lexicon.  A letter
+    is a language's if at least one in 10,000 of its letters is it.
     """
-    counts = materialize(known.select("text", "lang").mapInArrow(_word_counts, "lang string, word string, n long")
-                         .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    every = materialize(known.select("text", "lang").mapInArrow(_word_counts, "lang string, word string, n long")
+                        .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    letter = F.col("word").startswith(" ")
+    counts = every.where(~letter)
     step = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
     # at most 512 rows a language
     sizes = counts.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -275,15 +285,16 @@ def lexicons(known: DataFrame, langs: list[str], words: int = LEXICON) -> tuple[
             least[lang] = at
     floor = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
     # at most ``words`` rows
-    kept = sorted(counts.where(step >= floor[F.col("lang")]).collect())
-    release(counts)
+    kept = sorted(counts.where((F.col("n") >= seen) & (step >= floor[F.col("lang")])).collect())
     found: dict[str, tuple[int, ...]] = {}
-    letters: dict[str, Counter] = {lang: Counter() for lang in langs}
-    for lang, word, n in kept:
+    for lang, word, _ in kept:
         found[word] = (*found.get(word, ()), langs.index(lang))
-        for c in word:
-            letters[lang][c] += n
-    return found, frozenset(c for own in letters.values() for c, n in own.items() if n * 10_000 >= own.total())
+    # at most 10,000 rows a language
+    letters = every.where(letter)
+    total = letters.groupBy("lang").agg(F.sum("n").alias("total"))
+    common_ = letters.join(total, "lang").where(F.col("n") * 10_000 >= F.col("total")).select(F.substring("word", 2, 1).alias("c")).distinct().collect()
+    release(every)
+    return found, frozenset(r["c"] for r in common_)
 
 
 def _sampled(per_doc: int):

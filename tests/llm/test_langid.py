@@ -73,8 +73,9 @@ def test_spliced_chains_keep_their_words_and_labels():
 def test_lexicons_are_the_most_frequent_words(spark):
     rows = [("aa bb bb cc cc cc cc " + "dd " * 8, "x"), ("aa " * 8 + "ee ee", "y"), ("aa bb", "y"), ("z" * 65, "y")]
     frame = spark.createDataFrame(rows, "text string, lang string")
-    lexicon, letters = langid.lexicons(frame, ["x", "y"], 4)
-    assert lexicon == {"dd": (0,), "cc": (0,), "aa": (1,), "ee": (1,)} and letters == frozenset("dcae")
+    lexicon, letters = langid.lexicons(frame, ["x", "y"], 4, 2)
+    assert lexicon == {"dd": (0,), "cc": (0,), "aa": (1,), "ee": (1,)} and letters == frozenset("abcdez")
+    assert set(langid.lexicons(frame, ["x", "y"], 4, 3)[0]) == {"dd", "cc", "aa"}
 
 
 def test_scores_match_a_plain_field(spark, texts):
