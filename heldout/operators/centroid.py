@@ -80,10 +80,17 @@ class CentroidModel:
 
 def fit_centroids(df: DataFrame, feature_col: str, label_col: str,
                   max_classes: int = MAX_CLASSES, max_values: int = MAX_MODEL_VALUES) -> CentroidModel:
-    """Mean vector of each class, over the rows that have a label and a vector.
-    More classes or values than the limits are an error."""
+    """Mean vector of each class, over the rows that have a label and a sound
+    vector: of the length that most have (the greater of equally frequent ones), with
+    no null or NaN entry.  More classes or values than the limits are an error."""
+    vector = F.col(feature_col)
+    known = df.where(F.col(label_col).isNotNull() & vector.isNotNull()
+                     & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x)))
+    # one row a length; only the most frequent one reaches the driver
+    most = (known.groupBy(F.size(vector).alias("size")).agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.max(F.struct("n", "size")).alias("top")).first()["top"])
     means = materialize(
-        df.where(F.col(label_col).isNotNull() & F.col(feature_col).isNotNull())
+        known.where(F.size(vector) == F.lit(most["size"] if most else 0))
         .groupBy(label_col)
         .agg(Summarizer.mean(array_to_vector(F.col(feature_col))).alias("_mean"))
         .select(label_col, vector_to_array("_mean").alias("_mean"))
@@ -97,4 +104,4 @@ def fit_centroids(df: DataFrame, feature_col: str, label_col: str,
         raise ValueError(f"more than {max_values} centroid values")
     rows = sorted(means.collect(), key=lambda r: r[label_col])
     return CentroidModel(feature_col, tuple(r[label_col] for r in rows),
-                         np.array([r["_mean"] for r in rows], dtype=float).reshape(len(rows), -1))
+                         np.array([r["_mean"] for r in rows], dtype=float) if rows else np.zeros((0, 0)))

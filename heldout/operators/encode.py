@@ -43,6 +43,20 @@ def pivot_values(df: DataFrame, col: str, max_values: int = MAX_ONE_HOT_VALUES)
     return sorted(r[0] for r in rows)
 
 
+def _column_names(values: list, taken: str) -> list[str]:
+    """A column name for each value: its text, with ``_2``, ``_3`` ... behind it if
+    the key column or an earlier value has it, whatever the case."""
+    used, out = {taken.lower()}, []
+    for value in values:
+        name, n = str(value), 1
+        while name.lower() in used:
+            n += 1
+            name = f"{value}_{n}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def one_hot_counts(df: DataFrame, key_col: str, col: str,
                    max_values: int = MAX_ONE_HOT_VALUES) -> DataFrame:
     """One row per key, one column per value of ``col`` holding how many of
@@ -50,11 +64,14 @@ def one_hot_counts(df: DataFrame, key_col: str, col: str,
 
     A single grouped aggregation of conditional counts: one shuffle on the
     key, pre-combined, so a hot key is combined in every task.  Columns are
-    named by the values' text; nulls of ``col`` have no column.  More than
+    in order of the values and named by their text; a name that the key column or
+    an earlier value has already, in any case, gets ``_2``, ``_3`` and so on
+    behind it.  Nulls of ``col`` have no column.  More than
     ``max_values`` values, a documented limit of the caller's choice, are an
     error, since each is a column of the result.
     """
     values = pivot_values(df, col, max_values)
     return df.groupBy(key_col).agg(*[
-        F.count(F.when(F.col(col) == F.lit(v), 1)).alias(str(v)) for v in values
+        F.count(F.when(F.col(col) == F.lit(v), 1)).alias(name)
+        for v, name in zip(values, _column_names(values, key_col), strict=True)
     ]) if values else df.select(key_col).distinct()

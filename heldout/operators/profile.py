@@ -32,6 +32,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, c in enumerate(columns)])
 
 
+def _unordered(kind: T.DataType) -> bool:
+    """Whether a type, or one inside it, can be neither ordered nor grouped."""
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def column_profile(df: DataFrame, columns: Sequence[str],
                    approx_distinct_rsd: float | None = None) -> DataFrame:
     """One row per column: n, n_null, n_distinct, min, max, mean, stddev.
@@ -41,6 +50,9 @@ def column_profile(df: DataFrame, columns: Sequence[str],
     one in common, else they are cast to strings.  Mean (``avg``) and sample
     deviation are doubles, null for columns that are not numbers.  NaN is a
     value: it is counted, is the greatest, and makes mean and deviation NaN.
+    Values of types without an order or a grouping (maps, variants, and what
+    holds them) are profiled by their JSON text, so equal maps whose entries
+    are in another order count as different.
 
     Plain statistics come from one aggregation pass; exact distinct counts
     from a second (see ``distinct_counts``), and the two results, one row per
@@ -49,6 +61,7 @@ def column_profile(df: DataFrame, columns: Sequence[str],
     the first pass.  Their state is a few kilobytes per column however large
     the table, so there is no second pass and no shuffle of distinct values.
     """
+    df = df.select(*[F.to_json(F.col(c)).alias(c) if _unordered(df.schema[c].dataType) else F.col(c) for c in columns])
     kinds = {c: df.schema[c].dataType for c in columns}
     shown = next(iter(kinds.values())) if len(set(kinds.values())) == 1 else T.StringType()
     aggs, entries = [], []

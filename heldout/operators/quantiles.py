@@ -14,9 +14,12 @@ values at the needed ranks by narrowing an interval of values around each:
 3. the at most ``finish_rows`` values of each final interval are numbered in
    order (a window sort), and the rows at the needed positions are kept.
 
-Joins of the data with intervals are salted by the task that read a row, and
-what they feed is aggregated, so a hot group is spread over ``salts`` parts and
-combined before it is shuffled by group.  Statistics and the state after each
+Groups of more than ``finish_rows`` rows, as the first count shows them, are hot:
+in joins of the data with intervals they are salted by the task that read a
+row, into as many parts as they have times ``finish_rows`` rows (``salts`` at
+most), and what the joins feed is aggregated, so a hot group is spread and
+combined before it is shuffled by group.  Other groups have one interval row a
+rank.  Statistics and the state after each
 round (one row per group and rank) are stored.
 
 With ``n`` values and fraction ``p``, ``h = (n - 1) p`` and the answer is
@@ -58,12 +61,24 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     key = (F.struct(*[F.col(g) for g in group_cols]) if group_cols
            else F.struct(F.lit(0).alias("all")))
     given = df.select(key.alias(_KEY), F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    data = given.where(~F.isnan("_x")).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    data = given.where(~F.isnan("_x"))
 
     number = F.when(~F.isnan("_x"), F.col("_x"))
     stats = materialize(given.groupBy(_KEY).agg(
         F.count("_x").alias("_all"), F.count(number).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")))
 
+    most = stats.agg(F.max("_all").alias("n")).first()["n"] or 0
+    # an explode, as a literal would fold the key of a single group away
+    hot, once = None, F.explode(F.array(F.lit(0)))
+    data = data.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(1)))
+    if most > finish_rows and salts > 1:
+        # one row a hot group; a hot group's rows may be split in this join by AQE
+        parts_of = F.least(F.lit(salts), F.ceil(F.col("_all") / F.lit(finish_rows))).cast("int")
+        hot = materialize(stats.where(F.col("_all") > finish_rows).select(_KEY, parts_of.alias("_parts")))
+        data = (data.drop("_salt").withColumn("_task", F.spark_partition_id()).join(hot, _KEY, "left")
+                .select(_KEY, "_x", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+                    F.pmod(F.col("_task"), F.col("_parts"))).alias("_salt")))
+
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
 
     def position(p: Column) -> Column:
@@ -84,7 +99,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     state = ranks.where("_r < _cnt")
 
     def in_intervals(intervals: DataFrame) -> DataFrame:
-        salted = intervals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        if hot is None:
+            return data.join(intervals.withColumn("_salt", once), [_KEY, "_salt"]).where("_x >= _lo and _x <= _hi")
+        salted = intervals.join(hot, _KEY, "left").withColumn("_salt", F.explode(F.sequence(
+            F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
         return data.join(salted, [_KEY, "_salt"]).where("_x >= _lo and _x <= _hi")
 
     is_open = (F.col("_cnt") > finish_rows) & (F.col("_lo") < F.col("_hi"))

@@ -3,6 +3,9 @@
 Fitting is one global aggregation that yields one row of statistics; like a
 Spark ML scaler model it is kept on the driver, and applying it is a
 projection with literal constants (no join, no shuffle).
+
+Nulls and NaNs are left out of the fit; a null scales to null and a NaN to NaN.
+Infinities are values like others: they make the statistics infinite or NaN.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ def fit_scalers(df: DataFrame, columns: Sequence[str]) -> dict[str, ScalerStats]
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
         aggs += [F.min(x), F.max(x), F.avg(x), F.stddev_samp(x)]
     row = df.agg(*aggs).first()
     return {c: ScalerStats(*row[4 * i: 4 * i + 4]) for i, c in enumerate(columns)}

@@ -39,3 +39,10 @@ def test_empty_table(spark):
 def test_dotted_column_names(spark):
     frame = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0)], "a double, b double")
     assert correlations(frame, [("a", "b")]).first()["corr"] == pytest.approx(-1.0)
+
+
+def test_maps_are_profiled_by_their_text(spark):
+    frame = spark.createDataFrame([({"a": 1}, [{"b": 2}]), ({"a": 1}, None), (None, [{}])], "m map<string,int>, l array<map<string,int>>")
+    one, two = _row(frame, "m"), _row(frame, "l")
+    assert (one["n"], one["n_null"], one["n_distinct"], one["min_value"], one["mean"]) == (2, 1, 1, '{"a":1}', None)
+    assert (two["n"], two["n_distinct"]) == (2, 2)

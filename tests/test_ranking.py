@@ -74,3 +74,12 @@ def test_profile_approx_distinct_close_to_exact(spark):
     for c in cols:
         assert approx[c]["n_distinct"] == pytest.approx(exact[c]["n_distinct"], rel=0.08)
         assert approx[c]["mean"] == exact[c]["mean"] and approx[c]["n"] == exact[c]["n"]
+
+
+def test_one_hot_names_that_clash_get_a_number(spark):
+    from heldout.operators import encode
+
+    rows = [("x", "a"), ("x", "A"), ("x", "k"), ("y", "a"), ("y", "a_2")]
+    got = encode.one_hot_counts(spark.createDataFrame(rows, "K string, v string"), "K", "v")
+    assert got.columns == ["K", "A", "a_2", "a_2_2", "k_2"]
+    assert sorted(tuple(r) for r in got.select("K", "a", "A_2", "a_2_2", "k_2").collect()) == [("x", 1, 1, 0, 1), ("y", 0, 1, 1, 0)]
