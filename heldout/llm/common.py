@@ -188,3 +188,17 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     at = np.arange(total, dtype=np.int64)
     return at + np.repeat(np.asarray(starts, dtype=np.int64) - (np.cumsum(lengths) - lengths), lengths)
+
+
+def carried(below: int, lists: pa.Array) -> np.ndarray:
+    """Row by row, which of the numbers less than ``below`` that several lists
+    hold each list holds (0 or 1)."""
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    flat = lists.flatten().to_numpy()
+    row, flat = row[flat < below], flat[flat < below]
+    _, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    keep = count[place] > 1
+    out = np.zeros((len(lists), int((count > 1).sum())), dtype=np.float32)
+    out[row[keep], shared[place[keep]]] = 1
+    return out

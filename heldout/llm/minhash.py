@@ -25,8 +25,9 @@ verify them, full shingle sets to confirm them.
    their own members, as long as that at least halves them.
 5. In buckets with several labels, each member outside the bucket's largest
    label is compared by odd sketch with every member of another label, in
-   blocks of bounded size; the best ``fan`` of each are confirmed.  Rounds go
-   on, with a wider fan, until no untested pair is left.  So every pair with
+   blocks of bounded size; the best ``fan`` of each are confirmed.  A pair that has
+   several keys in common counts under the smallest of them.  Rounds go on,
+   with a wider fan, until no untested pair is left.  So every pair with
    a common band key and a sketch within the bound is either confirmed, refuted,
    or joined by other links; no pair list of a group is ever made.
 
@@ -180,12 +181,26 @@ def _star_pairs(threshold: float):
     return run
 
 
+def _met_before(key: int, lists: pa.Array, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether the rows of each pair have a key below ``key`` in common."""
+    hit = np.unique(np.concatenate([one, two]))
+    x, y = np.searchsorted(hit, one), np.searchsorted(hit, two)
+    carried = common.carried(key, lists.take(pa.array(hit)))
+    out = np.zeros(len(one), dtype=bool)
+    for i in range(0, len(hit) if carried.shape[1] else 0, 256):
+        mine = np.flatnonzero((x >= i) & (x < i + 256))
+        if len(mine):
+            out[mine] = (carried[i:i + 256] @ carried.T)[x[mine] - i, y[mine]] > 0
+    return out
+
+
 def _close_pairs(threshold: float, fan: int):
     """Per block of a bucket: for each query the ``fan`` closest targets of
     another label whose sketches are within the bound; ``more`` if there were
     others."""
     def run(table: pa.Table) -> pa.Table:
         ids, labels, n = (table.column(c).to_numpy() for c in ("rep", "label", "n"))
+        key, lists = table.column("key")[0].as_py(), table.column("keys").combine_chunks()
         ask = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False))
         words = _words(table.column("sketch"))
         folded = np.bitwise_xor.reduce(words.reshape(len(ids), BITS // FOLDED, -1), axis=1)
@@ -203,6 +218,9 @@ def _close_pairs(threshold: float, fan: int):
                 x, y = q[one[i:i + 20_000]], two[i:i + 20_000]
                 over[i:i + 20_000] = np.bitwise_count(words[x] ^ words[y]).sum(axis=1) - bound(n[x], n[y], threshold)
             one, two, over = one[over <= 0], two[over <= 0], over[over <= 0]
+            if len(one):
+                first = ~_met_before(key, lists, q[one], two)
+                one, two, over = one[first], two[first], over[first]
             order = np.lexsort((ids[two], over, one))
             one, two = one[order], two[order]
             size = np.bincount(one, minlength=len(q))
@@ -319,9 +337,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
         return every
 
     def labelled(stale: DataFrame | None) -> DataFrame:
-        new = materialize(connected_components(so_far().where("linked").select("a", "b").unionByName(ties)))
-        if stale is not None:
-            release(stale)
+        """Labels with the latest links: those between labels make components of
+        the labels that there were."""
+        links = tested[-1].where("linked").select("a", "b")
+        if stale is None:
+            return materialize(connected_components(links.unionByName(ties)))
+        for end in ("a", "b"):
+            links = (links.join(stale.select(F.col("id").alias(end), F.col("label").alias("root")), end, "left")
+                     .withColumn(end, F.coalesce("root", end)).drop("root"))
+        merged = materialize(connected_components(links))
+        moved = merged.select(F.col("id").alias("label"), F.col("label").alias("new"))
+        # an old label is in no row of its own, so a merged one gets one here
+        new = materialize(stale.join(moved, "label", "left").select("id", F.coalesce("new", "label").alias("label")).unionByName(merged))
+        release(stale, merged)
         return new
 
     def named(of: DataFrame) -> DataFrame:
@@ -359,13 +387,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
         release(fine)
 
     fan, linked = 8, False
+    keys = materialize(buckets.groupBy("rep").agg(F.collect_list("key").alias("keys")))
     while True:
         every = so_far()
         if linked:
             labels = labelled(labels)
         own = named(buckets)
         mixed = (own.join(sizes(own).select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("there"),
-                                            F.ceil(F.col("outside") / BLOCK).cast("int").alias("asking")), "key").join(sketches, "rep")
+                                            F.ceil(F.col("outside") / BLOCK).cast("int").alias("asking")), "key").join(sketches, "rep").join(keys, "rep")
                  .withColumn("asks", F.col("label") != F.col("main"))
                  .withColumn("slot", F.xxhash64("rep")))
         targets = (mixed.withColumn("i", F.pmod("slot", "there").cast("int"))
@@ -373,7 +402,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
                    .withColumn("asks", F.lit(False)))
         asking = (mixed.where("asks").withColumn("j", F.pmod("slot", "asking").cast("int"))
                   .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("there") - 1))))
-        columns = ["key", "i", "j", "rep", "label", "asks", "n", "sketch"]
+        columns = ["key", "i", "j", "rep", "label", "asks", "n", "sketch", "keys"]
         close = (targets.select(columns).unionByName(asking.select(columns)).groupBy("key", "i", "j")
                  .applyInArrow(_close_pairs(threshold, fan), "a long, b long, more boolean"))
         pairs = materialize(close.groupBy("a", "b").agg(F.max("more").alias("more")))
@@ -392,7 +421,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     renamed = materialize(labels.join(hashed.select(F.col("rep").alias("label")), "label", "left_semi")
                           .join(hashed.select(F.col("rep").alias("id")), "id", "left_anti")
                           .groupBy("label").agg(F.min("id").alias("smallest")))
-    release(sets, crowded, hashed, buckets, texts, ties, *tested)
+    release(sets, crowded, hashed, buckets, keys, texts, ties, *tested)
     return (placed.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
             .withColumn("label", F.coalesce("label", "rep")).join(renamed, "label", "left")
             .select("doc_id", "n_shingles", F.coalesce("smallest", "label", "doc_id").alias("component_id"))

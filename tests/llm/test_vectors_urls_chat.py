@@ -219,6 +219,16 @@ def test_each_example_has_all_turns_before_its_reply(spark):
     assert chat.read_back(chat.format_examples(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).collect() == []
 
 
+def test_a_very_long_conversation(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t} </s> " + "x" * (t % 50)) for t in range(400)] + [(2, 0, "user", "y" * 200_000), (2, 1, "assistant", "z" * 200_000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    examples = chat.format_examples(frame)
+    assert examples.count() == 201
+    back = {r["conv_id"]: r for r in chat.read_back(examples).collect()}
+    assert [(t["role"], t["text"]) for t in back[1]["turns"]] == [(r, x) for i, _, r, x in rows if i == 1]
+    assert back[1]["loss"] == [x for i, t, _, x in rows if i == 1 and t % 2] and back[2]["loss"] == ["z" * 200_000]
+
+
 def test_chat_runs_without_python(spark):
     plan = queries.op5_prefix_target_chat(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
