@@ -27,6 +27,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -158,10 +159,14 @@ class _Scores:
         self._numbers = common.Numbers()
         self._rows = np.empty((1024, len(self.model.langs) + 2), dtype=np.float32)
 
-    def _row(self, word: str) -> np.ndarray:
-        model = self.model
-        own = model.weights[[*features(word), *in_lexicons(word, model.lexicon, len(model.langs))]].sum(axis=0)
-        return np.append(own, (word in model.lexicon, sum(c not in model.letters for c in word)))
+    def _scored(self, words: list[str]) -> np.ndarray:
+        model, k = self.model, len(self.model.langs)
+        own = [features(w) + in_lexicons(w, model.lexicon, k) for w in words]
+        at = common.offsets([len(x) for x in own])
+        flat = np.fromiter(chain.from_iterable(own), dtype=np.int64, count=int(at[-1]))
+        known = [w in model.lexicon for w in words]
+        foreign = [sum(c not in model.letters for c in w) for w in words]
+        return np.column_stack([np.add.reduceat(model.weights[flat], at[:-1], axis=0), known, foreign])
 
     def of(self, words: list[str]) -> np.ndarray:
         if self._numbers.held + self._rows.nbytes > common.MEMORY:
@@ -172,8 +177,9 @@ class _Scores:
         new = numbers.fresh + numbers.long
         while used + len(new) > len(self._rows):
             self._rows = np.concatenate([self._rows, np.empty_like(self._rows)])
-        for i, word in enumerate(new, used):
-            self._rows[i] = self._row(word)
+        for i in range(0, len(new), 20_000):
+            some = new[i:i + 20_000]
+            self._rows[used + i:used + i + len(some)] = self._scored(some)
         # long words lie behind the others until the next call
         place = np.where(place < 0, len(numbers) - 1 - place, place)
         numbers.fresh, numbers.long = [], []
@@ -199,10 +205,10 @@ def _scorer(sent, carry: list[str]):
                 known = _KNOWN[model.token] = _Scores(model)
             doc, length, words = [], [], []
             for i, text in enumerate(piece.column("text").to_pylist()):
-                for chain in chains(text):
+                for line in chains(text):
                     doc.append(i)
-                    length.append(len(chain))
-                    words += chain
+                    length.append(len(line))
+                    words += line
             n, langs = piece.num_rows, len(model.langs)
             share = np.zeros((n, langs))
             count = np.zeros((n, langs), dtype=np.int64)
