@@ -21,7 +21,7 @@ without overlap from there on, which bounds the copies of a vector in a tree.
    of near copies).  A pair is counted in the smallest leaf name that both carry, so
    nothing is counted twice and no list of pairs leaves the task, which itself holds
    at most about ``PAIRS`` and those of one slice of rows: per block each vector has
-   its count of links and one edge to the smallest vector linked with it there.
+   its count of links and one edge to the smallest vector that links lead to there.
 
 Vectors that are equal entry by entry are compared once and counted as often as
 they occur.
@@ -276,6 +276,20 @@ def _moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "vector": batch.column("vector").take(rows), "leaf": pa.array([x[5] for x in nodes], pa.int64()), **_node_columns(nodes)})
 
 
+def _joined(least: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The smallest row that each row reaches, given that without the links
+    between ``one`` and ``two``."""
+    while True:
+        a, b = least[one], least[two]
+        apart = a != b
+        if not apart.any():
+            return least
+        one, two, a, b = one[apart], two[apart], a[apart], b[apart]
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        while (least[least] != least).any():
+            least = least[least]
+
+
 def _compare(threshold: float):
     def exact(a: np.ndarray, b: np.ndarray) -> bool:
         dot = math.fsum(a * b)
@@ -295,8 +309,8 @@ def _compare(threshold: float):
         least = np.arange(len(ids))
 
         def add_up(one: np.ndarray, two: np.ndarray) -> None:
-            np.minimum.at(least, one, two)
-            np.minimum.at(least, two, one)
+            nonlocal least
+            least = _joined(least, one, two)
             # counted in the block and in the smallest leaf that both are in
             first = (np.minimum(cell[one], cell[two]) == bi) & (np.maximum(cell[one], cell[two]) == bj)
             one, two = one[first], two[first]

@@ -1,4 +1,5 @@
 import datetime
+import math
 import random
 
 import numpy as np
@@ -52,6 +53,36 @@ def test_op4_recall_on_the_test_table_at_a_lower_threshold(spark):
     assert links.sum() > 50 and found <= links.sum() and found / links.sum() >= 0.9
 
 
+def test_rows_that_only_a_larger_id_links_are_in_one_component(spark):
+    # 5 links with 1 and with 3, which do not link; then a chain in mixed order
+    turned = lambda ids, step: [(i, [math.cos(math.radians(step * k)), math.sin(math.radians(step * k))]) for k, i in enumerate(ids)]
+    frame = spark.createDataFrame(turned([1, 5, 3], 20), "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in near_vectors(frame).collect()} == {(1, 1, 1, True), (5, 2, 1, False), (3, 1, 1, False)}
+    chain = [7, 2, 9, 4, 11, 3, 8, 5, 10, 6]
+    frame = spark.createDataFrame(turned(chain, 18), "vec_id long, embedding array<double>")
+    for block in (2_000, 3):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(frame, block=block).collect()}
+        assert got == {i: (1 if i in (7, 6) else 2, 2) for i in chain}
+
+
+def test_links_join_rows_as_plain_labels_do():
+    draw = np.random.default_rng(2)
+    for n, links in ((1, 0), (30, 20), (400, 350), (400, 4000)):
+        near = np.zeros((n, n), dtype=bool)
+        one, two = draw.integers(0, n, links), draw.integers(0, n, links)
+        near[one, two] = near[two, one] = True
+        label = np.arange(n)
+        while True:
+            new = np.array([min([label[i], *label[near[i]]]) for i in range(n)])
+            if (new == label).all():
+                break
+            label = new
+        least = np.arange(n)
+        for part in np.array_split(np.arange(links), 3):
+            least = rpforest._joined(least, one[part], two[part])
+        assert (least == label).all()
+
+
 def test_vectors_that_link_with_nothing(spark):
     nan, inf, big = float("nan"), float("inf"), 1e200
     rows = [(1, [1.0, 0.0, 0.0], "x"), (2, [2.0, 0.0, -0.0], "x"), (3, [big, 0.0, 0.0], None), (4, [0.0, 0.0, 0.0], "x"), (5, None, "x"),
