@@ -8,6 +8,7 @@ by the hashed feature count, not by the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -31,6 +32,9 @@ NUM_TEXT_FEATURES = 2048
 MAX_ITER = 20
 REG_PARAM = 0.05
 SEED = 7
+#: Most training rows of a partition.  The tree fits hold a bin number of each feature
+#: of each row, so a row takes many times its stored size (24 KB are read a row).
+TRAIN_ROWS = 5_000
 
 
 def text_features(docs: DataFrame, num_features: int = NUM_TEXT_FEATURES) -> DataFrame:
@@ -77,6 +81,15 @@ MODEL_KINDS = ("logistic_regression", "decision_tree", "random_forest",
                "gradient_boosted_trees")
 
 
+def evenly(df: DataFrame, most: int) -> DataFrame:
+    """``df`` as it is if no partition has more than ``most`` rows, else dealt out
+    over as many partitions as that takes.  Files are split by their bytes, which
+    tell little of what a row of sparse vectors takes in a fit."""
+    sizes = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    return df if (largest or 0) <= most else df.repartition(math.ceil(total / most))
+
+
 def holdout_auc(table: DataFrame, kinds: Sequence[str], targets: Sequence[str],
                 parallelism: int = 4) -> DataFrame:
     """One row per (model, target): held-out rows, positives, negatives and
@@ -85,12 +98,12 @@ def holdout_auc(table: DataFrame, kinds: Sequence[str], targets: Sequence[str],
     The (model, target) fits are independent, so up to ``parallelism`` of them
     are submitted at once from driver threads, as Spark ML's
     ``CrossValidator(parallelism=...)`` does; they share one persisted copy of
-    the training vectors.  The held-out rows are read once: each fitted model
+    the training vectors, in partitions of about ``TRAIN_ROWS`` rows at most.  The held-out rows are read once: each fitted model
     adds its score to the same row, and the scores of all models and targets
     are measured by one grouped ROC pass.
     """
-    train = table.where("is_train").select("features", *[
-        F.col(t).cast("double").alias(f"label_{t}") for t in targets]).persist()
+    train = evenly(table.where("is_train").select("features", *[
+        F.col(t).cast("double").alias(f"label_{t}") for t in targets]), TRAIN_ROWS).persist()
 
     def fit(task):
         kind, target = task

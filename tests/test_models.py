@@ -69,3 +69,32 @@ def test_grouped_auc_equals_spark_ml_evaluator_on_model_scores(spark):
         theirs = BinaryClassificationEvaluator(
             rawPredictionCol="score", labelCol="label", numBins=0).evaluate(scored)
         assert ours == pytest.approx(theirs, abs=1e-12), target
+
+
+def test_training_rows_are_fitted_in_partitions_of_a_bounded_size(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from heldout.operators import models
+
+    rows = [(i, Vectors.dense([float(i % 7), float(i % 2)]), i % 2, i % 5 != 0) for i in range(500)]
+    table = spark.createDataFrame(rows, ["doc_id", "features", "quality", "is_train"]).coalesce(1)
+    real, seen = models._estimator, []
+
+    class Watched:
+        def __init__(self, kind, label):
+            self.real = real(kind, label)
+
+        def fit(self, frame):
+            seen.append(frame.rdd.glom().map(len).collect())
+            return self.real.fit(frame)
+
+    monkeypatch.setattr(models, "_estimator", Watched)
+    monkeypatch.setattr(models, "TRAIN_ROWS", 60, raising=False)
+    found = models.holdout_auc(table, ["logistic_regression"], ["quality"]).collect()
+    assert sum(seen[0]) == 400 and len(seen[0]) == 7 and max(seen[0]) <= 60
+    assert [(r["n_test"], r["auc"]) for r in found] == [(100, 1.0)]
+    # partitions that are small enough, and tables without rows, stay as they are
+    small = table.repartition(10)
+    assert models.evenly(small, 60) is small
+    none = table.limit(0)
+    assert models.evenly(none, 60) is none
